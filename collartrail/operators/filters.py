@@ -24,19 +24,18 @@ def valid_longitude(lon: str = "longitude") -> Column:
 def select_collars(df: DataFrame, ids: Iterable[int] | DataFrame, col: str = "collar_id") -> DataFrame:
     """Rows of the given collars, by exact id: a short list or a DataFrame of ids."""
     if isinstance(ids, DataFrame):
-        wanted = ids.select(F.col(ids.columns[0]).alias(col)).distinct()
+        wanted = ids.select(F.col(ids.columns[0]).alias(col))
         return df.join(wanted, col, "left_semi")
     return df.filter(F.col(col).isin(list(ids)))
 
 
 def before_removal(df: DataFrame, removed: DataFrame, t: str = "acquisitiontime") -> DataFrame:
     """Drop fixes at or after a collar's removal time; collars without one keep all."""
-    cut = removed.groupBy("collar_id").agg(F.min("removed_at").alias("_removed_at"))
-    return (
-        df.join(cut, "collar_id", "left")
-        .filter(F.col("_removed_at").isNull() | (F.col(t) < F.col("_removed_at")))
-        .drop("_removed_at")
+    cut = removed.filter(F.col("removed_at").isNotNull()).select(
+        F.col("collar_id").alias("_collar"), "removed_at"
     )
+    late = (F.col(t) >= F.col("removed_at")) | F.col(t).isNull()
+    return df.join(cut, (F.col("collar_id") == F.col("_collar")) & late, "left_anti")
 
 
 def filter_fixes(

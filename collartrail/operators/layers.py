@@ -68,10 +68,11 @@ def base_fixes(
 ) -> DataFrame:
     """Located fixes inside the study window with their deployments' cut-off.
 
-    The filters sit below the join. Which side is broadcast, if any, is left to the planner:
-    deployments below its size limit are, larger ones are shuffled and skew-split. A collar
-    deployed twice has each fix once per deployment. Rows are not sorted here; ``ordered``
-    gives the order where a result is to be looked at.
+    The filters sit below the join. The planner broadcasts deployments below its size limit;
+    larger ones are shuffled. The join has a key column of its own, dropped afterwards: what
+    follows then does not rest on the rows being together by collar, so AQE may split a
+    collar that has too many. A collar deployed twice has each fix once per deployment. Rows
+    are not sorted here; ``ordered`` gives the order where a result is to be looked at.
     """
     kept = filter_fixes(
         fixes.filter(valid_longitude()),
@@ -80,11 +81,12 @@ def base_fixes(
         coordinates=False,
     )
     dep = deployments.select(
-        F.col("collarid").alias("collar_id"),
+        F.col("collarid").alias("_key"),
         "starttestingdate",
         "lastfixoutsidemortclust_UTC",
     )
-    return kept.join(dep, "collar_id", "left").withColumnRenamed("collar_id", "CollarID")
+    joined = kept.withColumn("_key", F.col("collar_id")).join(dep, "_key", "left").drop("_key")
+    return joined.withColumnRenamed("collar_id", "CollarID")
 
 
 def ordered(df: DataFrame, collar: str = "CollarID", t: str = "acquisitiontime") -> DataFrame:

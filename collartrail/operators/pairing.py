@@ -89,9 +89,21 @@ def _copies(df: DataFrame) -> list[str]:
     return [COPIES] if COPIES in df.columns else []
 
 
-def _join_fixes(videos: DataFrame, fixes: DataFrame, hour: str, evening: bool) -> DataFrame:
-    """Videos with the earliest fix of their collar, date and ``hour``, if any."""
-    slots = earliest_fixes(fixes, evening)
+def _hours_with_fix(fixes: DataFrame) -> DataFrame:
+    """Distinct (collar, hour) in which there is any fix, in the shape of a join side."""
+    t = F.col("acquisitiontime")
+    hours = fixes.select(
+        F.col("collar_id").alias("_collar"), tu.date_of(t).alias("_date"), tu.hour_of(t).alias("_hour")
+    ).distinct()
+    return hours.select(
+        "_collar",
+        tu.hour_slot(F.col("_date"), F.col("_hour")).alias("_slot"),
+        F.lit(True).alias("fix_found"),
+    )
+
+
+def _join_hour(videos: DataFrame, slots: DataFrame, hour: str) -> DataFrame:
+    """Videos with what ``slots`` has for their collar, date and ``hour``, if anything."""
     # a collar id that is not written as a plain number equals no fix's id
     number = F.col("CollarID").try_cast("bigint")
     keyed = videos.withColumns(
@@ -118,43 +130,56 @@ def with_date(videos: DataFrame) -> DataFrame:
 
 
 def _pass_1(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> DataFrame:
-    paired = _join_fixes(
-        with_date(with_deployment(videos, deployments)), fixes, "Hour", evening=False
-    )
+    rows = with_date(with_deployment(videos, deployments))
+    paired = _join_hour(rows, earliest_fixes(fixes), "Hour")
     return _classify(paired, is_in(F.col("Hour"), SCHEDULED_HOURS), "Exact", "Missing")
 
 
-def _pass_2(left_over: DataFrame, fixes: DataFrame, null_poisons: bool) -> DataFrame:
-    """Evening pairing of rows that still have their deployment but no fix."""
-    rows = left_over.drop(*_FIX, "fix_found", "status", "coordinates", COPIES).withColumn(
-        "Hour2", tu.approx_hour(F.col("Hour"), F.col("Minute"))
+def _pass_1_keys(videos: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Which videos pass 1 settles, without the columns and rows this does not depend on."""
+    rows = with_date(videos).select(*_VIDEO, "TimeStamp_UTC", "Minute")
+    found = _join_hour(rows, _hours_with_fix(fixes), "Hour")
+    settled = F.col("fix_found") | is_in(F.col("Hour"), SCHEDULED_HOURS)
+    return found.withColumn("status", F.when(settled, "settled"))
+
+
+def _left_over(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows without a status, unless the same animal has one of the same second with a
+    status (whatever its collar)."""
+    same = ["AnimalID", "TimeStamp_UTC"]
+    settled = keys.filter(F.col("status").isNotNull()).select(*same).distinct()
+    rows = rows.filter(F.col("status").isNull())
+    return rows.join(settled, null_safe(rows, settled, same), "left_anti")
+
+
+def _with_hour2(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("Hour2", tu.approx_hour(F.col("Hour"), F.col("Minute")))
+
+
+def _pass_2(first: DataFrame, keys: DataFrame, fixes: DataFrame, null_poisons: bool) -> DataFrame:
+    """Evening pairing of the rows pass 1 left over; they still have their deployment."""
+    rows = _with_hour2(
+        _left_over(first, keys).drop(*_FIX, "fix_found", "status", "coordinates", COPIES)
     )
+    evening = is_in(F.col("Hour2"), [EVENING_HOUR])
     paired = _classify(
-        _join_fixes(rows, fixes, "Hour2", evening=True),
-        is_in(F.col("Hour2"), [EVENING_HOUR]),
+        _join_hour(rows, earliest_fixes(fixes, evening=True), "Hour2"),
+        evening,
         "Approximate",
         "ApproxMissing",
     )
-    if null_poisons:
-        # only hour 19 holds both rows that look at 21 h and rows that do not; there the
-        # latter have no time, which leaves the hour's minimum unknown and drops the former
-        unpaired = (
-            rows.filter((F.col("Hour") == 19) & ~is_in(F.col("Hour2"), [EVENING_HOUR]))
-            .select(*_VIDEO)
-            .distinct()
-        )
-        same = null_safe(paired, unpaired, _VIDEO)
-        paired = paired.join(unpaired, same & paired["fix_found"], "left_anti")
-    return paired
-
-
-def _left_over(pass_1: DataFrame) -> DataFrame:
-    """Pass-1 rows without a status, unless the same animal has a row of the same second
-    with one (whatever its collar)."""
-    keys = ["AnimalID", "TimeStamp_UTC"]
-    settled = pass_1.filter(F.col("status").isNotNull()).select(*keys).distinct()
-    open_ = pass_1.filter(F.col("status").isNull())
-    return open_.join(settled, null_safe(open_, settled, keys), "left_anti")
+    if not null_poisons:
+        return paired
+    # only hour 19 holds both rows that look at 21 h and rows that do not; there the latter
+    # have no time, which leaves the hour's minimum unknown and drops the former
+    unpaired = (
+        _with_hour2(_left_over(keys.filter(F.col("Hour") == 19), keys))
+        .filter(~evening)
+        .select(*_VIDEO)
+        .distinct()
+    )
+    same = null_safe(paired, unpaired, _VIDEO)
+    return paired.join(unpaired, same & paired["fix_found"], "left_anti")
 
 
 def _result(df: DataFrame) -> DataFrame:
@@ -170,8 +195,8 @@ def pair_approx(
     videos: DataFrame, fixes: DataFrame, deployments: DataFrame, null_poisons: bool = True
 ) -> DataFrame:
     """Pass 2: videos pass 1 left without a status, with the evening's 21 h fix, or none."""
-    left_over = _left_over(_pass_1(videos, fixes, deployments))
-    return _result(_pass_2(left_over, fixes, null_poisons))
+    first, keys = _pass_1(videos, fixes, deployments), _pass_1_keys(videos, fixes)
+    return _result(_pass_2(first, keys, fixes, null_poisons))
 
 
 def pair_videos(
@@ -183,15 +208,17 @@ def pair_videos(
 ) -> DataFrame:
     """Both passes in one table, with the key ``bindingcolumn`` of the output folder.
 
-    The second pass reads the first one's result several times. With ``staged`` it is
-    written below the shared folder and read back instead of being computed again; use it
-    where the join is large.
+    Pass 2 needs the result of pass 1. With ``staged`` that is written below the shared
+    folder and read back instead of being computed again; use it where the join is large.
     """
     first = _pass_1(videos, fixes, deployments)
     if staged:
-        first = stage(first, "pass-1")
-    second = _pass_2(_left_over(first), fixes, null_poisons)
-    both = _result(first.filter(F.col("status").isNotNull())).unionByName(_result(second))
+        keys = first = stage(first, "pass-1")
+    else:
+        keys = _pass_1_keys(videos, fixes)
+    second = _pass_2(first, keys, fixes, null_poisons)
+    settled = first.filter(F.col("status").isNotNull())
+    both = _result(settled.unionByName(second.drop("Hour2")))
     return both.withColumn("bindingcolumn", folder_key())
 
 
