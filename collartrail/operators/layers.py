@@ -94,9 +94,13 @@ def ordered(df: DataFrame, collar: str = "CollarID", t: str = "acquisitiontime")
     return df.orderBy(F.col(collar).asc_nulls_last(), F.col(t).asc_nulls_last())
 
 
-def mappable_videos(pairs: DataFrame, study_start=STUDY_START) -> DataFrame:
-    """Paired videos from the study start on, in order; unpaired ones have no time."""
-    return ordered(filter_fixes(pairs, study_start=study_start, study_end=None, coordinates=False))
+def mappable_videos(pairs: DataFrame, study_start=STUDY_START, in_order: bool = True) -> DataFrame:
+    """Paired videos from the study start on; unpaired ones have no time.
+
+    In order unless that is turned off: a full sort is for looking at, not for layers.
+    """
+    kept = filter_fixes(pairs, study_start=study_start, study_end=None, coordinates=False)
+    return ordered(kept) if in_order else kept
 
 
 def fix_layers(

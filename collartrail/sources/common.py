@@ -20,14 +20,18 @@ def load(spark: SparkSession, path: str, fmt: str, names: Sequence[str]) -> Data
     return spark.read.format(fmt).load(path)
 
 
-def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast to ``schema``; text that does not parse becomes NULL, a missing column is an error."""
+def to_schema(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """Cast to ``schema``; text that does not parse becomes NULL, a missing column is an error.
+
+    Columns named in ``keep`` are passed on as they are if present; others are dropped.
+    """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     kinds = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *[_typed(F.col(f.name), kinds[f.name], f.dataType).alias(f.name) for f in schema.fields]
+        *[_typed(F.col(f.name), kinds[f.name], f.dataType).alias(f.name) for f in schema.fields],
+        *[c for c in keep if c in df.columns],
     )
 
 

@@ -8,17 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collartrail.functions.timeutil import at, parse_iso
+from collartrail.operators.copies import COPIES, merge_copies
 from collartrail.operators.filters import select_collars
 from collartrail.schemas import FETCH_START, FIXES
 from collartrail.sources.common import load, to_schema
 
+#: Partition column of a landed table.
+DAY = "acquisition_date"
+
 
 def read_fixes(
-    spark: SparkSession, path: str, fmt: str = "parquet", start: str = FETCH_START
+    spark: SparkSession, path: str, fmt: str = "parquet", start: str = FETCH_START, end=None
 ) -> DataFrame:
-    """Fixes acquired from ``start`` on. On typed columns the bound reaches the file scan.
+    """Fixes acquired from ``start`` on and, if given, before ``end``.
 
-    ``idcollar`` is accepted as the name of the collar column.
+    ``idcollar`` is accepted as the name of the collar column. On a table written by
+    ``land_fixes`` the bounds also select the day folders; Spark does not skip row groups
+    by a zoneless time alone. A ``copies`` column is kept.
     """
     df = load(spark, path, fmt, [*FIXES.names, "idcollar"])
     if "idcollar" in df.columns:
@@ -26,12 +32,29 @@ def read_fixes(
         df = df.withColumn("collar_id", F.coalesce(*named))
     if dict(df.dtypes).get("acquisitiontime") == "string":
         df = df.withColumn("acquisitiontime", parse_iso(F.col("acquisitiontime")))
-    return to_schema(df, FIXES).filter(F.col("acquisitiontime") >= at(start))
+    if DAY in df.columns:
+        df = df.filter(F.col(DAY) >= F.to_date(at(start)))
+        df = df.filter(F.col(DAY) <= F.to_date(at(end))) if end is not None else df
+    fixes = to_schema(df, FIXES, keep=[COPIES]).filter(F.col("acquisitiontime") >= at(start))
+    return fixes.filter(F.col("acquisitiontime") < at(end)) if end is not None else fixes
 
 
-def select_sources(fixes: DataFrame, ids: Iterable[int] | DataFrame) -> DataFrame:
-    """Fixes of the given collars. Ids are compared whole: 399 does not match 39971.
+def land_fixes(fixes: DataFrame, out: str) -> None:
+    """Write downloaded fixes by day, each distinct one once with its ``copies``.
 
-    On a table partitioned by ``collar_id`` this prunes folders.
+    Overlapping downloads thus cost nothing later on: operators that merge copies take such
+    a table as it is. A day's size decides its number of files.
     """
+    (
+        merge_copies(fixes)
+        .withColumn(DAY, F.to_date("acquisitiontime"))
+        .hint("rebalance", DAY)
+        .write.mode("overwrite")
+        .partitionBy(DAY)
+        .parquet(out)
+    )
+
+
+def select_sources(fixes: DataFrame, ids: Iterable[int] | DataFrame) -> DataFrame:
+    """Fixes of the given collars. Ids are compared whole: 399 does not match 39971."""
     return select_collars(fixes, ids)

@@ -52,23 +52,34 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
     well. Parts a name lacks are NULL, further ones are ignored, and an impossible time is
     NULL; the row stays.
     """
-    rel = F.col("_rel")
-    folder = F.split(F.regexp_replace(rel, "/[^/]*$", ""), _SEPARATOR)
-    name = F.split(F.substring_index(rel, "/", -1), _SEPARATOR)
-    clock = F.get(name, F.lit(3))
+    rel = _relative(root)
+    split = df.select(
+        _plain(F.col("path")).alias("directoryname"),
+        F.split(F.regexp_replace(rel, "/[^/]*$", ""), _SEPARATOR).alias("folder"),
+        F.split(F.substring_index(rel, "/", -1), _SEPARATOR).alias("name"),
+    )
+    clock = F.get("name", F.lit(3))
     parts = {
-        "Year": F.get(name, F.lit(0)),
-        "Month": F.get(name, F.lit(1)),
-        "Day": F.get(name, F.lit(2)),
+        "Year": F.get("name", F.lit(0)),
+        "Month": F.get("name", F.lit(1)),
+        "Day": F.get("name", F.lit(2)),
         "Hour": F.substring(clock, 1, 2),
         "Minute": F.substring(clock, 3, 2),
         "Second": F.substr(clock, F.lit(5)),
     }
-    named = df.withColumn("_rel", _relative(root)).select(
-        F.get(folder, F.lit(0)).alias("AnimalID"),
-        F.get(folder, F.lit(1)).alias("CollarID"),
-        *[to_number(part).alias(key) for key, part in parts.items()],
-        _plain(F.col("path")).alias("directoryname"),
+    # one struct through a generator: filters on the parts then stay above it, and names are
+    # not split anew for each of them
+    named = split.select(
+        F.inline(
+            F.array(
+                F.struct(
+                    F.get("folder", F.lit(0)).alias("AnimalID"),
+                    F.get("folder", F.lit(1)).alias("CollarID"),
+                    *[to_number(part).alias(key) for key, part in parts.items()],
+                )
+            )
+        ),
+        "directoryname",
     )
     time = make_time(*[F.col(c) for c in parts])
     return named.select(

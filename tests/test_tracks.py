@@ -1,0 +1,295 @@
+"""Clusters and mortality dates: hand-made tracks, brute force, invariants."""
+
+import datetime as dt
+import math
+import random
+
+import pytest
+
+from collartrail.operators import groups, mortality, ordered, tracks
+from collartrail.plans.mortality import ClusterRule, record, review
+from collartrail.schemas import DEPLOYMENTS
+from tests.util import hour, rows, track, ts
+
+TRACKS = {
+    "ends in cluster": (
+        [(0, 0, 0), (3, 100, 0), (6, 200, 0), (9, 205, 0), (12, 208, 0), (15, 206, 0)],
+        {9, 12, 15}, (3, 6, 15), {9, 12, 15},
+    ),
+    "always moving": ([(0, 0, 0), (3, 100, 0), (6, 200, 0)], set(), (3, 6, None), set()),
+    "moved after": (
+        [(0, 0, 0), (3, 0, 0), (6, 0, 0), (9, 0, 0), (12, 500, 0)],
+        set(), (9, 12, None), {3, 6, 9},
+    ),
+    "removed before the move": (
+        [(0, 0, 0), (3, 0, 0), (6, 0, 0), (9, 0, 0)], {3, 6, 9}, (None, 0, 9), {3, 6, 9},
+    ),
+    "at the thresholds": (
+        [(0, 0, 0), (3, 10, 0), (6, 20, 0)], {3, 6}, (None, 0, 6), {3, 6},
+    ),
+    "too few steps": ([(0, 0, 0), (3, 100, 0), (12, 101, 0)], set(), (3, 12, None), set()),
+    "too short": ([(0, 0, 0), (1, 1, 0), (2, 2, 0)], set(), (1, 2, None), set()),
+}
+
+
+def test_hand_made_tracks(spark):
+    names = list(TRACKS)
+    all_tracks = None
+    for i, name in enumerate(names):
+        one = track(spark, TRACKS[name][0], i)
+        all_tracks = one if all_tracks is None else all_tracks.unionByName(one)
+    for scope, want in (("terminal", 1), ("all", 3)):
+        flagged = tracks.flag_defunct_clusters(all_tracks, 10, 2, 6, scope)
+        got = {i: set() for i in range(len(names))}
+        for r in flagged.filter("defunct_cluster_").collect():
+            got[r.collar_id].add(hour(r.t_))
+        assert {names[i]: s for i, s in got.items()} == {n: TRACKS[n][want] for n in names}
+        assert flagged.count() == all_tracks.count()
+    dates = tracks.mortality_dates(tracks.flag_defunct_clusters(all_tracks, 10, 2, 6))
+    for r in dates.collect():
+        got = tuple(hour(r[c]) for c in ("lastlivefix", "firstfixinendclust", "lastfixinendclust"))
+        assert got == TRACKS[names[r.collar_id]][2], names[r.collar_id]
+        assert r.has_cluster == (got[2] is not None)
+
+
+def brute_force(fixes, zeta, eta, theta, scope):
+    """Per collar, in plain Python: [(collar, t, x, y, step, run, flag)]."""
+    out = []
+    for collar in sorted({f[0] for f in fixes}):
+        own = sorted(f for f in fixes if f[0] == collar)
+        runs, steps = [], []
+        for i, (_, t, x, y) in enumerate(own):
+            step = None if i == 0 else math.sqrt((x - own[i - 1][2]) ** 2 + (y - own[i - 1][3]) ** 2)
+            steps.append(step)
+            runs.append(1 if i == 0 else runs[-1] + (step > zeta))
+        for i, f in enumerate(own):
+            members = [j for j in range(len(own)) if runs[j] == runs[i]]
+            long = (own[members[-1]][1] - own[members[0]][1]).total_seconds() >= theta * 3600
+            good = len(members) - 1 >= eta and long
+            if scope == "terminal":
+                good = good and runs[i] == runs[-1]
+            out.append((*f, steps[i], runs[i], good and i != members[0]))
+    return out
+
+
+def random_fixes(seed, collars=4, n=120):
+    """Slow walkers with rests, repeated fixes and several fixes at one time."""
+    rng = random.Random(seed)
+    fixes = []
+    for collar in range(collars):
+        t, x, y = dt.datetime(2023, 1, 1, 20), 0.0, 0.0
+        for _ in range(n):
+            t += dt.timedelta(minutes=rng.choice([0, 7, 60, 180, 900]))
+            if rng.random() < 0.4:
+                x, y = x + rng.choice([0, 3, 50]), y + rng.choice([0, 4, 80])
+            fixes += [(collar, t, x, y)] * rng.choice([1, 1, 1, 2, 5])
+    rng.shuffle(fixes)
+    return fixes
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("scope", ["terminal", "all"])
+def test_flags_equal_brute_force(spark, seed, scope):
+    fixes = random_fixes(seed)
+    df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
+    for zeta, eta, theta in ((0, 1, 0), (5, 2, 6), (60, 3, 12.5)):
+        want = sorted((f[0], f[1], f[2], f[3], f[6]) for f in brute_force(fixes, zeta, eta, theta, scope))
+        flagged = tracks.flag_defunct_clusters(df, zeta, eta, theta, scope)
+        got = []
+        for r in flagged.collect():
+            got += [(r.collar_id, r.t_, r.x_, r.y_, r.defunct_cluster_)] * r.copies
+        assert sorted(got) == want
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_steps_and_runs_equal_brute_force(spark, seed):
+    fixes = random_fixes(seed)
+    df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
+    want = brute_force(fixes, 5, 1, 0, "all")
+    first = {}
+    for f in want:
+        first.setdefault(f[:4], (f[4], f[5]))
+    steps = {tuple(r[:4]): r.step for r in tracks.step_lengths(df).collect()}
+    assert steps == {k: v[0] for k, v in first.items()}
+    runs = tracks.nonmovement_runs(df, 5)
+    assert {tuple(r[:4]): (r.step, r.run) for r in runs.collect()} == first
+    stats = {}
+    for f in want:
+        stats.setdefault((f[0], f[5]), []).append(f[1])
+    want_stats = {k: (len(v) - 1, min(v), max(v)) for k, v in stats.items()}
+    got = {(r.collar_id, r.run): (r.steps, r.run_begin, r.run_end) for r in tracks.run_stats(runs).collect()}
+    assert got == want_stats
+    for r in runs.collect():
+        assert (r.run_fixes - 1, r.run_begin, r.run_end) == want_stats[r.collar_id, r.run]
+
+
+def test_invariants(spark):
+    fixes = random_fixes(9)
+    df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
+
+    def flags(*args):
+        flagged = tracks.flag_defunct_clusters(df, *args).filter("defunct_cluster_")
+        return {tuple(r[:4]) for r in flagged.collect()}
+
+    terminal, every = flags(60, 2, 6), flags(60, 2, 6, "all")
+    assert terminal <= every
+    assert flags(60, 4, 6, "all") <= every
+    assert flags(60, 2, 30, "all") <= every
+    firsts = {min(f for f in fixes if f[0] == c) for c in {f[0] for f in fixes}}
+    assert not any(f in every and fixes.count(f) == 1 for f in firsts)
+    for c in {f[0] for f in fixes}:
+        own = sorted({f for f in fixes if f[0] == c})
+        marks = [f in terminal for f in own]
+        assert marks == sorted(marks)
+
+
+def test_copies_are_counted_once_and_kept(spark):
+    df = track(spark, [(0, 0, 0), (0, 0, 0), (0, 0, 0), (7, 1, 0)])
+    flagged = tracks.flag_defunct_clusters(df, 10, 2, 6)
+    got = sorted((hour(r.t_), r.defunct_cluster_, r.copies) for r in flagged.collect())
+    assert got == [(0, False, 1), (0, True, 2), (7, True, 1)]
+    merged = df.groupBy(*df.columns).count().withColumnRenamed("count", "copies")
+    assert rows(tracks.flag_defunct_clusters(merged, 10, 2, 6)) == rows(flagged)
+
+
+def test_rows_share_one_shuffle_with_their_summary(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.createDataFrame(
+            random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
+        )
+        plan = tracks.flag_defunct_clusters(df, 5, 2, 6)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan
+    # copies, segments, segment summary to groups and back
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 4
+
+
+def test_bad_parameters(spark):
+    df = track(spark, [(0, 0, 0)])
+    with pytest.raises(ValueError):
+        tracks.flag_defunct_clusters(df, 1, 1, 1, "some")
+    with pytest.raises(ValueError):
+        ordered.with_runs(df, -1)
+
+
+def test_fix_without_position_is_no_movement(spark):
+    data = [
+        (1, ts("2023-01-01 00:00:00"), 0.0, 0.0),
+        (1, ts("2023-01-01 03:00:00"), None, 0.0),
+        (1, ts("2023-01-01 06:00:00"), 0.0, 0.0),
+        (1, None, 0.0, 0.0),
+    ]
+    df = spark.createDataFrame(
+        data, "collar_id bigint, acquisitiontime timestamp_ntz, longitude double, latitude double"
+    )
+    made = tracks.make_track(df)
+    assert made.count() == 2
+    assert rows(tracks.step_lengths(made), "step") == [(0.0,), (None,)]
+
+
+def test_latest_per_group(spark):
+    data = [("a", 1, 5), ("a", 3, 9), ("a", 3, 2), ("a", 2, 7), ("b", 4, 1), ("c", None, 1)]
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    assert rows(groups.latest_per_group(df, ["k"], "t")) == [("a", 3, 2), ("b", 4, 1), ("c", None, 1)]
+    assert rows(groups.latest_per_group(df, ["k"], "t", rank=2)) == [("a", 2, 7)]
+    plan = groups.latest_per_group(df, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_earliest_keep_ties(spark):
+    data = [("a", 1, 1), ("a", 1, 2), ("a", 2, 3), ("b", 1, 4), ("b", None, 5), (None, 2, 6), (None, 3, 7)]
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    assert rows(groups.earliest_keep_ties(df, ["k"], "t"), "v") == [(1,), (2,), (5,), (6,)]
+    off = groups.earliest_keep_ties(df, ["k"], "t", null_poisons=False)
+    assert rows(off, "v") == [(1,), (2,), (4,), (5,), (6,)]
+
+
+def test_append_rows(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None), (3, "z")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (4, "w")], "k int, v string")
+    want = sorted([(1, "x")] * 6 + [(2, None), (3, "z"), (4, "w")], key=repr)
+    assert rows(groups.append_rows(a, b)) == want
+
+
+def _deployments(spark, data):
+    names = {f.name: None for f in DEPLOYMENTS.fields}
+    return spark.createDataFrame([tuple({**names, **d}.values()) for d in data], DEPLOYMENTS)
+
+
+def test_apply_mortality_touches_accepted_rows_only(spark):
+    dep = _deployments(
+        spark,
+        [
+            {"animalid": "B1", "collarid": 0, "fate": 0, "cause": "old"},
+            {"animalid": "B2", "collarid": 1, "fate": 0, "beginremoved_UTC": ts("2022-01-01")},
+            {"animalid": "B3", "collarid": None, "fate": 0, "cause": "kept"},
+            {"animalid": "B4", "collarid": 0, "fate": 0},
+            {"animalid": "B5", "collarid": 5, "fate": 0, "lastlivefix": ts("2020-01-01")},
+        ],
+    )
+    both = track(spark, TRACKS["ends in cluster"][0], 0).unionByName(
+        track(spark, TRACKS["always moving"][0], 1)
+    )
+    dates = tracks.mortality_dates(tracks.flag_defunct_clusters(both, 10, 2, 6))
+    accepted = spark.createDataFrame(
+        [(0, "cougar", ts("2023-01-02")), (1, "unknown", None)],
+        "collar_id bigint, cause string, removed_at timestamp_ntz",
+    )
+    got = {r.animalid: r for r in mortality.apply_mortality(dep, dates, accepted, 10, 2, 6).collect()}
+    assert len(got) == 5
+    for animal in ("B1", "B4"):
+        r = got[animal]
+        assert (hour(r.lastlivefix), hour(r.firstfixinendclust), hour(r.lastfixinendclust)) == (3, 6, 15)
+        assert (r.fate, r.zeta_m, r.eta_fixes, r.theta_hr, r.cause) == (1, 10.0, 2, 6.0, "cougar")
+        assert r.beginremoved_UTC == ts("2023-01-02")
+    assert got["B2"].lastfixinendclust is None and got["B2"].fate == 1
+    assert got["B2"].beginremoved_UTC == ts("2022-01-01")
+    assert (got["B3"].fate, got["B3"].cause, got["B3"].zeta_m) == (0, "kept", None)
+    assert (got["B5"].fate, got["B5"].lastlivefix) == (0, ts("2020-01-01"))
+
+
+def test_dates_as_cutoff_is_optional_and_keeps_given_ones(spark):
+    dep = _deployments(
+        spark,
+        [
+            {"animalid": "a", "lastlivefix": ts("2023-01-01")},
+            {"animalid": "b", "lastlivefix": ts("2023-01-01"), "lastfixoutsidemortclust_UTC": ts("2023-02-01")},
+        ],
+    )
+    got = rows(mortality.dates_as_cutoff(dep), "animalid", "lastfixoutsidemortclust_UTC")
+    assert got == [("a", ts("2023-01-01")), ("b", ts("2023-02-01"))]
+
+
+def test_review_and_record(spark, tmp_path):
+    # 0.0003 degrees of latitude are about 33 m
+    day = dt.datetime(2023, 1, 1)
+    lats = [29.0, 29.01, 29.02, 29.0203, 29.0203, 29.0203, 29.5, 29.5]
+    fixes = spark.createDataFrame(
+        [(39966, day + dt.timedelta(hours=6 * i), lat, -111.0, None, None) for i, lat in enumerate(lats)],
+        "collar_id bigint, acquisitiontime timestamp_ntz, latitude double, longitude double, "
+        "height double, temperature double",
+    )
+    rule = ClusterRule(40.0, 2, 6.0)
+    removed = spark.createDataFrame(
+        [(39966, day + dt.timedelta(hours=36))], "collar_id bigint, removed_at timestamp_ntz"
+    )
+    dates = review(fixes, rule, str(tmp_path / "review"), removed=removed, ids=[39966])
+    assert [tuple(hour(v) for v in r[1:4]) for r in dates.collect()] == [(6, 12, 30)]
+    # without the removal time the fixes at the end hide the cluster
+    whole = review(fixes, rule, str(tmp_path / "whole"))
+    assert [r.has_cluster for r in whole.collect()] == [False]
+    layers = spark.read.parquet(str(tmp_path / "review" / "layers"))
+    counts = {r["layer"]: r["count"] for r in layers.groupBy("layer").count().collect()}
+    assert counts == {
+        "live_points": 3, "defunct_points": 3, "last_live_point": 1, "live_path": 1, "post_mortem_path": 1,
+    }
+    dep = _deployments(spark, [{"animalid": "B", "collarid": 39966}])
+    accepted = spark.createDataFrame(
+        [(39966, "cougar", None)], "collar_id bigint, cause string, removed_at timestamp_ntz"
+    )
+    record(dep, dates, accepted, rule, str(tmp_path / "out"))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), "fate", "cause") == [(1, "cougar")]

@@ -13,7 +13,7 @@ from collartrail.functions import geo, nulls
 from collartrail.functions import timeutil as tu
 from collartrail.operators import copies, filters, groups, layers, mortality, pairing, paths, tracks
 from collartrail.schemas import VIDEO_PAIR_COLUMNS
-from collartrail.session import new_folder
+from collartrail.session import new_folder, stage
 from collartrail.sources import deployments as dep_io
 from collartrail.sources import fixes as fix_io
 from collartrail.sources import sinks
@@ -191,7 +191,7 @@ def mortality_dates(spark, d):
 def mortality_from_fixes(spark, d):
     """From raw fixes to dates: window, projection, track, clusters."""
     kept = filters.filter_fixes(views.fixes(spark, d), **STUDY)
-    track = tracks.make_track(tracks.project_utm(kept))
+    track = tracks.project_utm(tracks.make_track(kept), "x_", "y_")
     return tracks.mortality_dates(tracks.flag_defunct_clusters(track, 30_000.0, 2, 6.0))
 
 
@@ -396,7 +396,7 @@ def copy_manifest(spark, d):
 
 @query
 def copy_manifest_by_key(spark, d):
-    pairs = _pairs(spark, d)
+    pairs = stage(_pairs(spark, d), "pairs")  # read twice
     manifest = sinks.copy_manifest_by_key(pairs, sinks.video_groups(pairs), views.ROOT)
     return manifest.select("AnimalID", "TimeStamp_UTC", "source", "target")
 
@@ -427,13 +427,13 @@ def fix_layers_window(spark, d):
 
 @query
 def fix_video_layers(spark, d):
-    videos = layers.mappable_videos(_pairs(spark, d), views.STUDY_START)
+    videos = layers.mappable_videos(_pairs(spark, d), views.STUDY_START, in_order=False)
     return layers.fix_layers(_base(spark, d), videos, begin=BEGIN, end=END)
 
 
 @query
 def mortality_layers(spark, d):
-    flagged = _flagged(spark, d)
+    flagged = stage(_flagged(spark, d), "flagged")  # read several times
     return mortality.mortality_layers(flagged, tracks.mortality_dates(flagged))
 
 
