@@ -116,11 +116,15 @@ def _join_hour(videos: DataFrame, slots: DataFrame, hour: str) -> DataFrame:
     return joined.withColumn("fix_found", F.coalesce("fix_found", F.lit(False)))
 
 
-def _classify(df: DataFrame, unsuccessful, exact: str, missing: str) -> DataFrame:
+def _classify(df: DataFrame, unsuccessful, exact: str, missing: str, none) -> DataFrame:
+    """Status and coordinates: a fix with or without longitude, a failed try, or neither."""
     found, located = F.col("fix_found"), F.col("longitude").isNotNull()
     status = F.when(found, "Successful").when(unsuccessful, "Unsuccessful")
     coordinates = (
-        F.when(found & located, exact).when(found, missing).when(unsuccessful, "None")
+        F.when(found & located, exact)
+        .when(found, missing)
+        .when(unsuccessful, "None")
+        .otherwise(F.lit(none))
     )
     return df.withColumns({"status": status, "coordinates": coordinates})
 
@@ -132,7 +136,7 @@ def with_date(videos: DataFrame) -> DataFrame:
 def _pass_1(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> DataFrame:
     rows = with_date(with_deployment(videos, deployments))
     paired = _join_hour(rows, earliest_fixes(fixes), "Hour")
-    return _classify(paired, is_in(F.col("Hour"), SCHEDULED_HOURS), "Exact", "Missing")
+    return _classify(paired, is_in(F.col("Hour"), SCHEDULED_HOURS), "Exact", "Missing", "")
 
 
 def _pass_1_keys(videos: DataFrame, fixes: DataFrame) -> DataFrame:
@@ -167,6 +171,7 @@ def _pass_2(first: DataFrame, keys: DataFrame, fixes: DataFrame, null_poisons: b
         evening,
         "Approximate",
         "ApproxMissing",
+        None,
     )
     if not null_poisons:
         return paired
@@ -187,7 +192,10 @@ def _result(df: DataFrame) -> DataFrame:
 
 
 def pair_exact(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> DataFrame:
-    """Pass 1: every video with the earliest fix of its own hour, or none."""
+    """Pass 1: every video with the earliest fix of its own hour, or none.
+
+    Rows it does not settle have no status and empty coordinates.
+    """
     return _result(_pass_1(videos, fixes, deployments))
 
 

@@ -75,7 +75,7 @@ def test_each_pass(one):
     first = {r[0]: r[1:] for r in rows(pairing.pair_exact(*one), *COLS)}
     assert len(first) == len(VIDEO_CASES)
     for t, n, s, c, a in VIDEO_CASES:
-        assert first[ts(t)] == ((s, c, ts(a)) if n == 1 else (None, None, None))
+        assert first[ts(t)] == ((s, c, ts(a)) if n == 1 else (None, "", None))
     second = {r[0] for r in rows(pairing.pair_approx(*one), *COLS)}
     assert second == {ts(c[0]) for c in VIDEO_CASES if c[1] == 2}
 

@@ -184,7 +184,7 @@ _CTES: dict[str, str] = {
                case when longitude is not null then 'Successful'
                     when Hour in (0, 15) then 'Unsuccessful' end as status,
                case when longitude <= 5000 then 'Exact' when longitude > 5000 then 'Missing'
-                    when Hour in (0, 15) then 'None' end as coordinates,
+                    when Hour in (0, 15) then 'None' else '' end as coordinates,
                case when latitude <= 5000 then latitude end as latitude,
                case when longitude <= 5000 then longitude end as longitude
         from joined_1""",
@@ -253,6 +253,16 @@ def _fix_layers(source: str) -> str:
         group by collar_id, phase"""
 
 
+def _video_points(test: str) -> str:
+    return f"""
+        union all
+        select case coordinates when 'Exact' then 'videos_exact' else 'videos_approximate' end,
+               'point', collar_id, acquisitiontime, 0,
+               {_wkt('POINT', 'longitude', 'latitude')},
+               case coordinates when 'Exact' then 'purple' else 'orange' end, 'NAD83 longlat'
+        from shown_videos where {test}"""
+
+
 _IN_WINDOW = f"between timestamp '{BEGIN}' and timestamp '{END}'"
 _TRACKED = "longitude is not null and latitude is not null"
 
@@ -263,7 +273,7 @@ _CTES["shown_videos"] = f"""
     select *, "CollarID"::bigint as collar_id from pairs
     where status = 'Successful' and coordinates in ('Exact', 'Approximate')
       and (longitude is not null or latitude is not null)
-      and acquisitiontime >= timestamp '{views.STUDY_START}' and acquisitiontime {_IN_WINDOW}"""
+      and acquisitiontime >= timestamp '{views.STUDY_START}'"""
 _CTES["far"] = "select collar_id, acquisitiontime as t_, easting as x_, northing as y_ from projected"
 _CTES["path_order"] = f"""
     select collar_id, acquisitiontime as t_, longitude as x_, latitude as y_,
@@ -427,14 +437,9 @@ _SELECTS: dict[str, str] = {
     "fix_layers": "select * from layer_rows",
     "layers_out": "select * from layer_rows",
     "fix_layers_window": _fix_layers("layer_window_pre"),
-    "fix_video_layers": f"""
-        {_fix_layers("layer_window")}
-        union all
-        select case coordinates when 'Exact' then 'videos_exact' else 'videos_approximate' end,
-               'point', collar_id, acquisitiontime, 0,
-               {_wkt('POINT', 'longitude', 'latitude')},
-               case coordinates when 'Exact' then 'purple' else 'orange' end, 'NAD83 longlat'
-        from shown_videos""",
+    "fix_video_layers": _fix_layers("layer_window")
+    + _video_points(f"acquisitiontime {_IN_WINDOW}"),
+    "organised_layers": _fix_layers("layer_fixes") + _video_points("true"),
     "mortality_layers": f"""
         select case when defunct_cluster_ then 'defunct_points' else 'live_points' end as layer,
                'point' as kind, collar_id, t_, 0::bigint as part,
@@ -488,7 +493,7 @@ def build() -> dict[str, str]:
     kept = f"""select collar_id, t_, x_, y_ from far
         where x_ is not null and y_ is not null
           and t_ >= timestamp '{views.STUDY_START}' and t_ < timestamp '{views.STUDY_END}'"""
-    sql["mortality_from_fixes"] = _with(
+    sql["mortality_from_fixes"] = sql["mortality_review"] = _with(
         "select * from far_dates",
         xy=kept,
         **chain,

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from collartrail.functions import geo, nulls
 from collartrail.functions import timeutil as tu
 from collartrail.operators import copies, filters, groups, layers, mortality, pairing, paths, tracks
+from collartrail.plans.mortality import ClusterRule, review
+from collartrail.plans.videos import organise
 from collartrail.schemas import VIDEO_PAIR_COLUMNS
 from collartrail.session import new_folder, stage
 from collartrail.sources import deployments as dep_io
@@ -437,6 +439,32 @@ def mortality_layers(spark, d):
     return mortality.mortality_layers(flagged, tracks.mortality_dates(flagged))
 
 
+# --- whole jobs: results written below the shared folder ---------------------------------
+
+
+@query
+def mortality_review(spark, d):
+    rule = ClusterRule(30_000.0, 2, 6.0)
+    out = new_folder(spark, "review")
+    return review(
+        views.fixes(spark, d), rule, out, start=views.STUDY_START, study_end=views.STUDY_END
+    )
+
+
+@query
+def organised_layers(spark, d):
+    return organise(
+        spark,
+        views.fixes(spark, d),
+        views.deployments(spark, d),
+        new_folder(spark, "organised"),
+        videos=_videos(spark, d),
+        save_metadata=True,
+        as_of=views.AS_OF,
+        **STUDY,
+    )
+
+
 # --- sinks: written below the shared folder and read back --------------------------------
 
 
