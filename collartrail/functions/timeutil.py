@@ -49,6 +49,12 @@ def hour_of(col: Column) -> Column:
     return F.hour(col)
 
 
+def whole_seconds(col: Column) -> Column:
+    """Seconds since 1970, fractions cut off."""
+    days = F.date_diff(F.to_date(col), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+
+
 def make_time(year, month, day, hour, minute, second) -> Column:
     """Time from parts; impossible or missing parts -> NULL."""
     return F.try_make_timestamp_ntz(year, month, day, hour, minute, second)

@@ -1,44 +1,67 @@
-"""Order-dependent work on long groups, in two levels.
-
-A plain window over ``collar_id`` would sort one collar's whole history in one task. Here a
-group is cut into segments, one per calendar day. Rows are windowed within (group, segment);
-a summary with one row per segment is windowed over the group, which says what each segment
-inherits from the earlier ones; the two are joined on (group, segment), for which the rows
-need no second shuffle. A group's summary has as many rows as it has days, whatever the
-number of fixes. Copies are merged first, so a segment holds distinct fixes only.
+"""Order-dependent work on tracks, with no group too long for a task.
+
+A window over ``collar_id`` sorts a collar's whole history in one task. That is the fast way
+for a collar of ordinary length, and it costs one shuffle. Groups of more than ``max_rows``
+fixes take another way, in two levels: copies are merged, the group is cut into time slices,
+and fixes are windowed within (group, slice); a summary of one row per slice is windowed over
+the group, which says what each slice inherits from those before it; and the two are joined
+on (group, slice), for which the fixes need no further shuffle. A slice is at most an hour
+wide, so at the one-second resolution of fix times it holds at most 3600 distinct times.
+
+Which groups are long is counted first, from the key and time columns alone. The list is
+broadcast: it has at most one row per ``max_rows`` rows of the track, a millionth of it.
+
+Rows of the results carry ``copies``, the number of identical fixes a row stands for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collartrail.functions.geo import distance
-from collartrail.operators.copies import COPIES, merge_copies
+from collartrail.functions.timeutil import whole_seconds
+from collartrail.operators.copies import COPIES, MAX_ROWS, long_groups
 
 SEGMENT = "_segment"
 XYT = ["t_", "x_", "y_"]
+_SLICE_SECONDS = 3600
 _BY = ("collar_id",)
 
+Way = Callable[[DataFrame, list[str]], DataFrame]
+
 
-def segmented(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
-    """Distinct fixes of a track with ``copies`` and the segment they are in.
+def _split(track: DataFrame, by: Sequence[str], max_rows: int, short: Way, long: Way) -> DataFrame:
+    """Send each group the way its length asks for and put the results together.
 
-    Rows that lack a time or a group key belong to no group. Saying so here keeps the plans
-    of rows and summary alike down to the scan, so that they share one shuffle.
+    Rows that lack a time or a group key belong to no group.
     """
-    cols = [*by, *XYT]
-    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
-    track = track.filter(placed & F.to_date("t_").isNotNull())
-    copies = [COPIES] if COPIES in track.columns else []
-    return merge_copies(track.select(*cols, *copies), cols).withColumn(SEGMENT, F.to_date("t_"))
+    by = list(by)
+    merged = COPIES in track.columns
+    if not merged:
+        track = track.withColumn(COPIES, F.lit(1).cast("bigint"))
+    placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, "t_"]])
+    track = track.select(*by, *XYT, COPIES).filter(placed)
+    t0, t1 = whole_seconds(F.col("_t0")), whole_seconds(F.col("_t1"))
+    share = ((t1 - t0) / (F.col("_n") / max_rows)).cast("bigint")
+    width = F.greatest(F.lit(1), F.least(F.lit(_SLICE_SECONDS), share))
+    ends = F.min("t_").alias("_t0"), F.max("t_").alias("_t1")
+    groups = long_groups(track, by, max_rows, *ends).select(*by, width.alias("_width"))
+    slices = track.join(groups, by).withColumn(
+        SEGMENT, F.floor(whole_seconds(F.col("t_")) / F.col("_width"))
+    )
+    # said here, the join on it adds no filter of its own to one side: both read one shuffle
+    slices = slices.filter(F.col(SEGMENT).isNotNull()).drop("_width")
+    if not merged:
+        slices = slices.groupBy(*by, SEGMENT, *XYT).agg(F.sum(COPIES).alias(COPIES))
+    return short(track.join(groups, by, "left_anti"), by).unionByName(long(slices, by))
 
 
-def _in_segment(by: Sequence[str]):
-    return Window.partitionBy(*by, SEGMENT).orderBy(*XYT)
+def _in_order(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*XYT)
 
 
 def _over_segments(by: Sequence[str]):
@@ -49,46 +72,52 @@ def _before(window):
     return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _upto(window):
+    # rows, not the range of tied values
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def _zero(col: Column) -> Column:
     return F.coalesce(col, F.lit(0).cast("bigint"))
 
 
-def with_position(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
-    """Distinct fixes with ``copies`` and ``start``, the number of fixes before them."""
-    rows = segmented(track, by).withColumn(
-        "_inner", _zero(F.sum(COPIES).over(_before(_in_segment(by))))
-    )
-    carried = (
-        rows.groupBy(*by, SEGMENT)
-        .agg(F.sum(COPIES).alias("_n"))
-        .withColumn("_offset", _zero(F.sum("_n").over(_before(_over_segments(by)))))
-        .drop("_n")
-    )
-    return (
-        rows.join(carried, [*by, SEGMENT])
-        .withColumn("start", F.col("_offset") + F.col("_inner"))
-        .select(*by, *XYT, COPIES, "start")
-    )
+# --- position ---------------------------------------------------------------------------
 
 
-def with_step(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
-    """Distinct fixes with ``copies`` and ``step``, the distance from the fix before.
+def with_position(
+    track: DataFrame, by: Sequence[str] = _BY, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """Fixes with ``start``, the number of fixes of their group before them."""
 
-    The first fix of a group has a NULL step. Further copies of a fix have step 0.
-    """
-    w = _in_segment(by)
-    rows = _with_inner_step(segmented(track, by), w)
-    carried = _with_entry_step(rows.groupBy(*by, SEGMENT).agg(*_ends()), by).select(
-        *by, SEGMENT, "_entry_step"
-    )
-    return (
-        rows.join(carried, [*by, SEGMENT])
-        .withColumn("step", F.when(F.col("_first"), F.col("_entry_step")).otherwise(F.col("step")))
-        .select(*by, *XYT, COPIES, "step")
-    )
+    def short(rows: DataFrame, by: list[str]) -> DataFrame:
+        start = _zero(F.sum(COPIES).over(_before(_in_order(by))))
+        return rows.withColumn("start", start)
+
+    def long(rows: DataFrame, by: list[str]) -> DataFrame:
+        rows = rows.withColumn(
+            "_inner", _zero(F.sum(COPIES).over(_before(_in_order([*by, SEGMENT]))))
+        )
+        carried = (
+            rows.groupBy(*by, SEGMENT)
+            .agg(F.sum(COPIES).alias("_n"))
+            .withColumn("_offset", _zero(F.sum("_n").over(_before(_over_segments(by)))))
+            .drop("_n")
+        )
+        return (
+            rows.join(carried, [*by, SEGMENT])
+            .withColumn("start", F.col("_offset") + F.col("_inner"))
+            .select(*by, *XYT, COPIES, "start")
+        )
+
+    return _split(track, by, max_rows, short, long)
+
+
+# --- steps ------------------------------------------------------------------------------
 
 
-def _with_inner_step(rows: DataFrame, w) -> DataFrame:
+def _with_inner_step(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``step`` from the row before and ``_first`` where there is none."""
+    w = _in_order(keys)
     before = rows.withColumns({f"_p{c}": F.lag(c).over(w) for c in XYT})
     step = distance(F.col("_px_"), F.col("_py_"), F.col("x_"), F.col("y_"))
     return before.withColumns({"_first": F.col("_pt_").isNull(), "step": step}).drop(
@@ -109,44 +138,111 @@ def _with_entry_step(summary: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def with_runs(track: DataFrame, zeta: float, by: Sequence[str] = _BY, inner_stats: bool = True) -> DataFrame:
-    """Distinct fixes with the non-movement run they belong to.
+def with_step(track: DataFrame, by: Sequence[str] = _BY, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Fixes with ``step``, the distance from the fix before; NULL for a group's first.
+
+    Of a row that stands for several fixes, the further ones have step 0.
+    """
+
+    def short(rows: DataFrame, by: list[str]) -> DataFrame:
+        return _with_inner_step(rows, by).drop("_first")
+
+    def long(rows: DataFrame, by: list[str]) -> DataFrame:
+        rows = _with_inner_step(rows, [*by, SEGMENT])
+        carried = _with_entry_step(rows.groupBy(*by, SEGMENT).agg(*_ends()), by).select(
+            *by, SEGMENT, "_entry_step"
+        )
+        step = F.when(F.col("_first"), F.col("_entry_step")).otherwise(F.col("step"))
+        return (
+            rows.join(carried, [*by, SEGMENT])
+            .withColumn("step", step)
+            .select(*by, *XYT, COPIES, "step")
+        )
+
+    return _split(track, by, max_rows, short, long)
+
+
+# --- runs -------------------------------------------------------------------------------
+
+_RUN_COLUMNS = ["step", "run", "anchor", "is_last_run", "run_fixes", "run_begin", "run_end"]
+
+
+def with_runs(
+    track: DataFrame,
+    zeta: float,
+    by: Sequence[str] = _BY,
+    last_only: bool = False,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Fixes with the non-movement run they belong to.
 
     A run is an anchor fix and all following fixes at most ``zeta`` from the fix before.
     Adds ``step``, ``run`` (1, 2, ... per group), ``anchor``, ``is_last_run`` and the run's
-    ``run_fixes``, ``run_begin``, ``run_end``. With ``inner_stats`` off, the run columns are
-    filled only for runs that touch a segment border; the last run always does.
+    ``run_fixes``, ``run_begin``, ``run_end``. With ``last_only``, those three need hold only
+    for the last run of a group, which saves a sort.
     """
     if zeta < 0:
         raise ValueError("zeta must not be negative")
-    by = list(by)
-    w = _in_segment(by)
-    moved = ~F.col("_first") & (F.col("step") > F.lit(float(zeta)))
+    zeta = float(zeta)
+    return _split(
+        track,
+        by,
+        max_rows,
+        lambda rows, by: _short_runs(rows, zeta, by, last_only),
+        lambda rows, by: _long_runs(rows, zeta, by, last_only),
+    )
+
+
+def _totals(window, rows: Column | None = None) -> dict[str, Column]:
+    """Size, begin and end of a run over ``window``, counting only ``rows`` if given."""
+
+    def of(name: str) -> Column:
+        return F.col(name) if rows is None else F.when(rows, F.col(name))
+
+    return {
+        "fixes": F.sum(of(COPIES)).over(window),
+        "begin": F.min(of("t_")).over(window),
+        "end": F.max(of("t_")).over(window),
+    }
+
+
+def _short_runs(rows: DataFrame, zeta: float, by: list[str], last_only: bool) -> DataFrame:
+    group = Window.partitionBy(*by)
+    rows = (
+        _with_inner_step(rows, by)
+        .withColumn("anchor", F.col("_first") | (F.col("step") > zeta))
+        .withColumn("run", F.sum(F.col("anchor").cast("bigint")).over(_upto(_in_order(by))))
+        .withColumn("is_last_run", F.col("run") == F.max("run").over(group))
+    )
+    if last_only:
+        totals = _totals(group, F.col("is_last_run"))
+    else:
+        totals = _totals(Window.partitionBy(*by, "run"))
+    return rows.withColumns({f"run_{name}": col for name, col in totals.items()}).select(
+        *by, *XYT, COPIES, *_RUN_COLUMNS
+    )
+
+
+def _long_runs(rows: DataFrame, zeta: float, by: list[str], last_only: bool) -> DataFrame:
+    keys = [*by, SEGMENT]
+    w = _in_order(keys)
     rows = (
-        _with_inner_step(segmented(track, by), w)
-        .withColumn("_moved", moved)
+        _with_inner_step(rows, keys)
+        .withColumn("_moved", ~F.col("_first") & (F.col("step") > zeta))
         .withColumns(
             {
-                # a running count over rows, not over the range of tied values
-                "_moves": F.sum(F.col("_moved").cast("bigint")).over(
-                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
+                "_moves": F.sum(F.col("_moved").cast("bigint")).over(_upto(w)),
                 "_before": _zero(F.sum(COPIES).over(_before(w))),
             }
         )
     )
-    carried = _run_carry(rows, zeta, by)
-    rows = rows.join(carried, [*by, SEGMENT])
+    rows = rows.join(_run_carry(rows, zeta, by), keys)
     head_run, tail_run = F.col("_moves") == 0, F.col("_moves") == F.col("_inner_moves")
     inside = {name: F.lit(None) for name in ("fixes", "begin", "end")}
-    if inner_stats:
-        wr = Window.partitionBy(*by, SEGMENT, "_moves")
-        inside = {
-            "fixes": F.sum(COPIES).over(wr),
-            "begin": F.min("t_").over(wr),
-            "end": F.max("t_").over(wr),
-        }
-    stats = {
+    if not last_only:
+        # runs that touch no border of their slice; the last run always does
+        inside = _totals(Window.partitionBy(*keys, "_moves"))
+    totals = {
         f"run_{name}": F.when(head_run, F.col(f"_head_run.{name}"))
         .when(tail_run, F.col(f"_tail_run.{name}"))
         .otherwise(value)
@@ -154,27 +250,17 @@ def with_runs(track: DataFrame, zeta: float, by: Sequence[str] = _BY, inner_stat
     }
     return rows.withColumns(
         {
-            **stats,
+            **totals,
             "step": F.when(F.col("_first"), F.col("_entry_step")).otherwise(F.col("step")),
             "run": F.col("_head_no") + F.col("_moves"),
             "anchor": F.when(F.col("_first"), F.col("_entry_moved")).otherwise(F.col("_moved")),
+            "is_last_run": F.col("_head_no") + F.col("_moves") == F.col("_last_no"),
         }
-    ).select(
-        *by,
-        *XYT,
-        COPIES,
-        "step",
-        "run",
-        "anchor",
-        (F.col("run") == F.col("_last_no")).alias("is_last_run"),
-        "run_fixes",
-        "run_begin",
-        "run_end",
-    )
+    ).select(*by, *XYT, COPIES, *_RUN_COLUMNS)
 
 
 def _run_carry(rows: DataFrame, zeta: float, by: list[str]) -> DataFrame:
-    """One row per segment: the numbers and totals of its first and last run.
+    """One row per slice: the numbers and totals of its first and last run.
 
     Everything after the aggregation is partitioned by the group alone.
     """
@@ -188,51 +274,41 @@ def _run_carry(rows: DataFrame, zeta: float, by: list[str]) -> DataFrame:
         F.max(F.when(F.col("_moves") == 0, F.col("t_"))).alias("_head_end"),
         F.max(F.when(F.col("_moved"), F.col("t_"))).alias("_tail_begin"),
     )
-    w = _over_segments(by)
+    entry_moved = F.col("_prev").isNull() | (F.col("_entry_step") > zeta)
+    moves = F.col("_inner_moves") + F.col("_entry_moved").cast("bigint")
     summary = (
         _with_entry_step(summary, by)
-        .withColumn(
-            "_entry_moved",
-            F.col("_prev").isNull() | (F.col("_entry_step") > F.lit(float(zeta))),
-        )
-        .withColumn(
-            "_tail_no",
-            F.sum(F.col("_inner_moves") + F.col("_entry_moved").cast("bigint")).over(
-                w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
-        )
+        .withColumn("_entry_moved", entry_moved)
+        .withColumn("_tail_no", F.sum(moves).over(_upto(_over_segments(by))))
         .withColumn("_head_no", F.col("_tail_no") - F.col("_inner_moves"))
     )
     head = F.struct(
         F.col("_head_no").alias("run"),
-        F.coalesce("_head_fixes", "_fixes").alias("fixes"),
+        F.coalesce("_head_fixes", "_fixes").alias(COPIES),
         F.col("_head.t_").alias("begin"),
         F.col("_head_end").alias("end"),
     )
     tail = F.struct(
         F.col("_tail_no").alias("run"),
-        (F.col("_fixes") - F.col("_tail_start")).alias("fixes"),
+        (F.col("_fixes") - F.col("_tail_start")).alias(COPIES),
         F.col("_tail_begin").alias("begin"),
         F.col("_tail.t_").alias("end"),
     )
     parts = F.when(F.col("_inner_moves") > 0, F.array(head, tail)).otherwise(F.array(head))
-    wr = Window.partitionBy(*by, "part.run")
+    run = Window.partitionBy(*by, "part.run")
+    total = F.struct(
+        F.sum(f"part.{COPIES}").over(run).alias("fixes"),
+        F.min("part.begin").over(run).alias("begin"),
+        F.max("part.end").over(run).alias("end"),
+    )
     runs = (
         summary.withColumn("part", F.explode(parts))
-        .withColumn(
-            "total",
-            F.struct(
-                F.sum("part.fixes").over(wr).alias("fixes"),
-                F.min("part.begin").over(wr).alias("begin"),
-                F.max("part.end").over(wr).alias("end"),
-            ),
-        )
+        .withColumn("total", total)
         .withColumn("_last_no", F.max("_tail_no").over(Window.partitionBy(*by)))
     )
-    # at most two rows per segment come back together here
-    return runs.groupBy(
-        *by, SEGMENT, "_head_no", "_inner_moves", "_entry_moved", "_entry_step", "_last_no"
-    ).agg(
+    # at most two rows per slice come back together here
+    fixed = ["_head_no", "_inner_moves", "_entry_moved", "_entry_step", "_last_no"]
+    return runs.groupBy(*by, SEGMENT, *fixed).agg(
         F.max(F.when(F.col("part.run") == F.col("_head_no"), F.col("total"))).alias("_head_run"),
         F.max(F.when(F.col("part.run") == F.col("_tail_no"), F.col("total"))).alias("_tail_run"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from collartrail.functions import timeutil as tu
 from collartrail.functions.nulls import id_text, if_known, is_in, paste
-from collartrail.operators.copies import COPIES, expand_copies, merge_copies
+from collartrail.operators.copies import COPIES, MAX_ROWS, expand_copies, merge_copies_if_long
 from collartrail.operators.groups import null_safe
 from collartrail.schemas import MAX_COORDINATE, VIDEO_DEPLOYMENT_COLUMNS, VIDEO_PAIR_COLUMNS
 from collartrail.session import stage
@@ -62,18 +62,20 @@ def mark_missing(fixes: DataFrame) -> DataFrame:
     return fixes.withColumns({**keep, "fix_found": F.lit(True)})
 
 
-def earliest_fixes(fixes: DataFrame, evening: bool = False) -> DataFrame:
+def earliest_fixes(
+    fixes: DataFrame, evening: bool = False, max_rows: int = MAX_ROWS
+) -> DataFrame:
     """The earliest fix of every collar and hour, ties kept, ready to join as ``_slot``.
 
     Reducing before the join gives what filtering after it would: all rows of a group of
-    videos share one hour. Copies are merged first, and the rank filter drops all but a
-    task's own earliest rows before the second shuffle.
+    videos share one hour. The rank filter drops all but a task's own earliest rows before
+    the shuffle; copies of one fix, which it cannot drop, are merged in long collars.
     """
     fixes = fixes.select(F.col("collar_id").alias("_collar"), *_FIX, *_copies(fixes))
     hour = tu.hour_of(F.col("acquisitiontime"))
     if evening:
         fixes = fixes.filter(hour == EVENING_HOUR)
-    fixes = mark_missing(merge_copies(fixes)).withColumns(
+    fixes = mark_missing(merge_copies_if_long(fixes, ["_collar"], max_rows)).withColumns(
         {"_date": tu.date_of(F.col("acquisitiontime")), "_hour": hour}
     )
     w = Window.partitionBy("_collar", "_date", "_hour").orderBy("acquisitiontime")

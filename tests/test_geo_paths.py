@@ -46,12 +46,13 @@ def _vertices(wkt):
     return [tuple(float(v) for v in p.split()) for p in wkt[len("LINESTRING (") : -1].split(", ")]
 
 
+@pytest.mark.parametrize("max_rows", [7, 1_000_000])
 @pytest.mark.parametrize("seed,limit", [(1, 2), (1, 3), (2, 7), (3, 10_000)])
-def test_parts_laid_end_to_end_are_the_path(spark, seed, limit):
+def test_parts_laid_end_to_end_are_the_path(spark, seed, limit, max_rows):
     fixes = random_fixes(seed, collars=3, n=60)
     df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     got = {}
-    for r in paths.movement_path(df, max_vertices=limit).collect():
+    for r in paths.movement_path(df, max_vertices=limit, max_rows=max_rows).collect():
         vertices = _vertices(r.geometry_wkt)
         assert 2 <= len(vertices) == r.vertices <= limit
         got.setdefault(r.collar_id, {})[r.part] = vertices

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from collartrail.functions import timeutil as tu
 from collartrail.operators import groups, pairing
+from collartrail.operators.copies import expand_copies
 from collartrail.schemas import VIDEO_PAIR_COLUMNS, VIDEOS
 from collartrail.sources.videos import parse_video_paths
 from tests.test_geo_paths import _fixes
@@ -152,6 +153,16 @@ def test_tied_and_copied_fixes_are_all_kept(spark, one):
     assert rows(got, "latitude") == [(28.0,), (28.0,), (28.0,), (29.1,)]
 
 
+def test_merging_copies_does_not_show(spark, one):
+    _, fixes, _ = one
+    more = fixes.unionByName(fixes).unionByName(fixes.filter("latitude > 29.2"))
+    cols = ["acquisitiontime", "latitude"]
+    short = pairing.earliest_fixes(more)
+    long = pairing.earliest_fixes(more, max_rows=3)
+    assert short.count() == 15 and long.count() == 6
+    assert rows(expand_copies(short), *cols) == rows(expand_copies(long), *cols)
+
+
 def test_placeholder_coordinates_are_missing(spark, one):
     videos, _, dep = one
     fixes = _fixes(spark, [(1, "2023-02-01 15:00:40", 7777.0, 7777.0), (1, "2023-02-01 08:00:00", 7777.0, -111.0)])

@@ -9,7 +9,7 @@ import pytest
 from collartrail.operators import groups, mortality, ordered, tracks
 from collartrail.plans.mortality import ClusterRule, record, review
 from collartrail.schemas import DEPLOYMENTS
-from tests.util import hour, rows, track, ts
+from tests.util import at_hour, formatted, hour, rows, track, ts
 
 TRACKS = {
     "ends in cluster": (
@@ -34,10 +34,10 @@ TRACKS = {
 
 def test_hand_made_tracks(spark):
     names = list(TRACKS)
-    all_tracks = None
+    data = []
     for i, name in enumerate(names):
-        one = track(spark, TRACKS[name][0], i)
-        all_tracks = one if all_tracks is None else all_tracks.unionByName(one)
+        data += [(i, at_hour(h), float(x), float(y)) for h, x, y in TRACKS[name][0]]
+    all_tracks = spark.createDataFrame(data, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     for scope, want in (("terminal", 1), ("all", 3)):
         flagged = tracks.flag_defunct_clusters(all_tracks, 10, 2, 6, scope)
         got = {i: set() for i in range(len(names))}
@@ -87,32 +87,55 @@ def random_fixes(seed, collars=4, n=120):
     return fixes
 
 
+# a group longer than this is cut into slices; the results must not tell
+LENGTHS = [40, ordered.MAX_ROWS]
+
+
+def _per_fix(rows):
+    """(collar, t, x, y, ...) of one row per fix; further copies follow the first."""
+    out = []
+    for r in rows:
+        values = tuple(v for k, v in r.asDict().items() if k != "copies")
+        out += [values] * r.copies
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("max_rows", LENGTHS)
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("scope", ["terminal", "all"])
-def test_flags_equal_brute_force(spark, seed, scope):
+def test_flags_equal_brute_force(spark, seed, scope, max_rows):
     fixes = random_fixes(seed)
     df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     for zeta, eta, theta in ((0, 1, 0), (5, 2, 6), (60, 3, 12.5)):
-        want = sorted((f[0], f[1], f[2], f[3], f[6]) for f in brute_force(fixes, zeta, eta, theta, scope))
-        flagged = tracks.flag_defunct_clusters(df, zeta, eta, theta, scope)
-        got = []
-        for r in flagged.collect():
-            got += [(r.collar_id, r.t_, r.x_, r.y_, r.defunct_cluster_)] * r.copies
-        assert sorted(got) == want
+        want = [(*f[:4], f[6]) for f in brute_force(fixes, zeta, eta, theta, scope)]
+        flagged = tracks.flag_defunct_clusters(df, zeta, eta, theta, scope, max_rows)
+        assert _per_fix(flagged.collect()) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("max_rows", LENGTHS)
 @pytest.mark.parametrize("seed", [4, 5])
-def test_steps_and_runs_equal_brute_force(spark, seed):
+def test_steps_and_runs_equal_brute_force(spark, seed, max_rows):
     fixes = random_fixes(seed)
     df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     want = brute_force(fixes, 5, 1, 0, "all")
+
+    def known(rows, value):
+        """First value of each distinct fix; those of its further copies are 0 or the same."""
+        out = {}
+        for r in rows:
+            out.setdefault(tuple(r[:4]), []).append(value(r))
+        return out
+
     first = {}
     for f in want:
         first.setdefault(f[:4], (f[4], f[5]))
-    steps = {tuple(r[:4]): r.step for r in tracks.step_lengths(df).collect()}
-    assert steps == {k: v[0] for k, v in first.items()}
-    runs = tracks.nonmovement_runs(df, 5)
-    assert {tuple(r[:4]): (r.step, r.run) for r in runs.collect()} == first
+    steps = known(tracks.step_lengths(df, max_rows).collect(), lambda r: r.step)
+    for fix, values in steps.items():
+        assert sorted(values, key=repr) == sorted([first[fix][0]] + [0.0] * (len(values) - 1), key=repr)
+    runs = tracks.nonmovement_runs(df, 5, max_rows)
+    assert {k: v[0] for k, v in known(runs.collect(), lambda r: r.run).items()} == {
+        k: v[1] for k, v in first.items()
+    }
     stats = {}
     for f in want:
         stats.setdefault((f[0], f[5]), []).append(f[1])
@@ -121,6 +144,8 @@ def test_steps_and_runs_equal_brute_force(spark, seed):
     assert got == want_stats
     for r in runs.collect():
         assert (r.run_fixes - 1, r.run_begin, r.run_end) == want_stats[r.collar_id, r.run]
+    anchors = runs.filter("anchor").groupBy("collar_id", "run").count()
+    assert {r["count"] for r in anchors.collect()} == {1}
 
 
 def test_invariants(spark):
@@ -143,16 +168,17 @@ def test_invariants(spark):
         assert marks == sorted(marks)
 
 
-def test_copies_are_counted_once_and_kept(spark):
+def test_copies_of_the_anchor_follow_it(spark):
     df = track(spark, [(0, 0, 0), (0, 0, 0), (0, 0, 0), (7, 1, 0)])
-    flagged = tracks.flag_defunct_clusters(df, 10, 2, 6)
-    got = sorted((hour(r.t_), r.defunct_cluster_, r.copies) for r in flagged.collect())
-    assert got == [(0, False, 1), (0, True, 2), (7, True, 1)]
     merged = df.groupBy(*df.columns).count().withColumnRenamed("count", "copies")
-    assert rows(tracks.flag_defunct_clusters(merged, 10, 2, 6)) == rows(flagged)
+    for source in (df, merged):
+        for max_rows in LENGTHS + [1]:
+            flagged = tracks.flag_defunct_clusters(source, 10, 2, 6, max_rows=max_rows)
+            got = [(hour(r[1]), r[4]) for r in _per_fix(flagged.collect())]
+            assert got == [(0, False), (0, True), (0, True), (7, True)]
 
 
-def test_rows_share_one_shuffle_with_their_summary(spark):
+def test_long_groups_share_one_shuffle_with_their_summary(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -163,9 +189,30 @@ def test_rows_share_one_shuffle_with_their_summary(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "ReusedExchange" in plan
-    # copies, segments, segment summary to groups and back
-    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 4
+    lines = [line for line in plan.splitlines() if "_segment" in line]
+    shuffles = [line for line in lines if "Exchange hashpartitioning(collar_id" in line]
+    # copies; slices, used twice; the summary on its way back
+    assert sum("ReusedExchange" in line for line in shuffles) == 1
+    assert len(shuffles) == 4
+
+
+def test_ordinary_groups_need_one_shuffle(spark):
+    df = spark.createDataFrame(
+        random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
+    )
+    flagged = tracks.flag_defunct_clusters(df, 5, 2, 6)
+    flagged.collect()
+    plan = flagged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # the count of each group, and the fixes; the way of long groups has gone
+    assert plan.count("Exchange hashpartitioning") <= 2 and "_segment" not in plan
+
+
+def test_reductions_start_before_the_shuffle(spark):
+    df = spark.createDataFrame(
+        random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
+    )
+    dates = tracks.mortality_dates(tracks.flag_defunct_clusters(df, 5, 2, 6))
+    assert "WindowGroupLimit" in formatted(dates)
 
 
 def test_bad_parameters(spark):

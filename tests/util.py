@@ -16,11 +16,14 @@ def rows(df, *cols):
 
 def track(spark, points, collar=1):
     """Points (hour, x, y) of one collar, in hours from 2023-01-01."""
-    start = dt.datetime(2023, 1, 1)
-    data = [(collar, start + dt.timedelta(hours=h), float(x), float(y)) for h, x, y in points]
+    data = [(collar, at_hour(h), float(x), float(y)) for h, x, y in points]
     return spark.createDataFrame(data, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
 
 
+def at_hour(h: float) -> dt.datetime:
+    return dt.datetime(2023, 1, 1) + dt.timedelta(hours=h)
+
+
 def hour(t: dt.datetime | None):
     return None if t is None else (t - dt.datetime(2023, 1, 1)).total_seconds() / 3600
 
