@@ -30,6 +30,7 @@ def organise(
     begin=None,
     end=None,
     video_root: str | None = None,
+    mounted: bool = False,
     videos: DataFrame | None = None,
     save_metadata: bool = False,
     subdivide: bool = False,
@@ -39,7 +40,8 @@ def organise(
 ) -> DataFrame:
     """Write the map layers below ``out`` and return them; with ``video``, pair the videos.
 
-    Videos come from the files below ``video_root``, or from ``videos``, a parsed listing.
+    Videos come from the files below ``video_root`` (``mounted``: listed by the tasks), or
+    from ``videos``, a parsed listing.
     Pairs are written once to ``out``; the CSV (``save_metadata``), the layers and the copies
     into group folders (``subdivide``) read that table.
     """
@@ -51,7 +53,7 @@ def organise(
     base = base_fixes(fixes, dep, study_start, study_end)
     shown = None
     if video:
-        listed = videos if videos is not None else list_videos(spark, video_root)
+        listed = videos if videos is not None else list_videos(spark, video_root, mounted)
         made = pair_videos(listed, fixes, dep, staged=True)
         made.write.mode("overwrite").parquet(f"{out}/pairs")
         pairs = spark.read.schema(made.schema).parquet(f"{out}/pairs")

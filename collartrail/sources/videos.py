@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from itertools import batched
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collartrail.functions.timeutil import make_time, to_number
+from collartrail.session import new_folder
 
 GROUPED = "groupedvideos"
 
@@ -18,7 +24,8 @@ def scan_videos(spark: SparkSession, root: str) -> DataFrame:
     """Video files below ``root``: (path, length, modificationTime).
 
     Files in ``root`` itself and in its output folder ``groupedvideos`` are left out. Names
-    starting with ``.`` or ``_`` are not listed by Spark. Only the listing is read.
+    starting with ``.`` or ``_`` are not listed by Spark. Only the listing is read; the
+    driver holds it, so for very many files use ``scan_mounted_videos`` or an inventory.
     """
     files = (
         spark.read.format("binaryFile")
@@ -30,6 +37,49 @@ def scan_videos(spark: SparkSession, root: str) -> DataFrame:
     return files.filter(_below_root(root))
 
 
+_ENTRY = "path string, is_folder boolean, length bigint, modificationTime timestamp"
+
+
+def _entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What is directly in each folder."""
+    for batch in batches:
+        for folder in batch["folder"]:
+            with os.scandir(folder) as entries:
+                for some in batched(entries, 10_000):
+                    stats = [e.stat(follow_symlinks=False) for e in some]
+                    yield pd.DataFrame(
+                        {
+                            "path": [e.path for e in some],
+                            "is_folder": [e.is_dir(follow_symlinks=False) for e in some],
+                            "length": [s.st_size for s in stats],
+                            "modificationTime": pd.to_datetime(
+                                [s.st_mtime_ns // 1_000_000 for s in stats], unit="ms", utc=True
+                            ),
+                        }
+                    )
+
+
+def scan_mounted_videos(spark: SparkSession, root: str, tasks: int | None = None) -> DataFrame:
+    """As ``scan_videos``, for a folder all executors mount, hidden files included.
+
+    Folders are listed by the tasks, one level of the tree after the other; each level is
+    written below the shared folder, and no listing goes through the driver.
+    """
+    root = root.rstrip("/")
+    tasks = tasks or spark.sparkContext.defaultParallelism * 4
+    out, levels = new_folder(spark, "listing"), []
+    folders = spark.createDataFrame([(root,)], "folder string")
+    while not levels or not folders.isEmpty():
+        levels.append(f"{out}/{len(levels)}")
+        listed = folders.repartition(tasks, "folder").mapInPandas(_entries, _ENTRY)
+        listed.write.parquet(levels[-1])
+        seen = spark.read.schema(_ENTRY).parquet(levels[-1])
+        inside = F.col("is_folder") & (F.col("path") != f"{root}/{GROUPED}")
+        folders = seen.filter(inside).select(F.col("path").alias("folder"))
+    files = spark.read.schema(_ENTRY).parquet(*levels).filter(~F.col("is_folder"))
+    return files.drop("is_folder").filter(_below_root(root))
+
+
 def _relative(root: str):
     """Path below ``root``; works for plain paths and for ``scheme:`` ones."""
     base = _plain(F.lit(root.rstrip("/") + "/"))
@@ -87,6 +137,7 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
     )
 
 
-def list_videos(spark: SparkSession, root: str) -> DataFrame:
-    """Scan and parse in one."""
-    return parse_video_paths(scan_videos(spark, root), root)
+def list_videos(spark: SparkSession, root: str, mounted: bool = False) -> DataFrame:
+    """Scan and parse in one; ``mounted`` chooses the scan for mounted folders."""
+    scan = scan_mounted_videos if mounted else scan_videos
+    return parse_video_paths(scan(spark, root), root)

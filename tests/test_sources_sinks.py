@@ -49,6 +49,27 @@ def test_scan_and_parse(spark, tmp_path):
     assert "content" not in plan
 
 
+def test_mounted_scan_lists_hidden_files_too(spark, tmp_path):
+    root = str(tmp_path / "v")
+    _touch(
+        root, "B1_1/a.mp4", "B1_1/deep/er/b.mp4", "B1_1/x.MP4", "a.mp4", "groupedvideos/1/a.mp4",
+        "B2_1/.h.mp4", "B2_1/_u.mp4",
+    )
+    os.makedirs(root + "/empty")
+    got = [(os.path.relpath(r.path, root), r.length) for r in videos.scan_mounted_videos(spark, root).collect()]
+    names = ["B1_1/a.mp4", "B1_1/deep/er/b.mp4", "B2_1/.h.mp4", "B2_1/_u.mp4"]
+    assert sorted(got) == [(n, len(n)) for n in names]
+    seen = rows(videos.list_videos(spark, root), "directoryname")
+    mounted = rows(videos.list_videos(spark, root + "/", mounted=True), "directoryname")
+    assert set(seen) < set(mounted) and len(mounted) == 4
+    plain = {tuple(r) for r in videos.scan_videos(spark, root).select("length", F.date_trunc("second", "modificationTime")).collect()}
+    listed = {tuple(r) for r in videos.scan_mounted_videos(spark, root).select("length", F.date_trunc("second", "modificationTime")).collect()}
+    assert plain <= listed
+    nothing = str(tmp_path / "nothing")
+    os.makedirs(nothing)
+    assert videos.scan_mounted_videos(spark, nothing).count() == 0
+
+
 def test_parse_odd_names(spark):
     data = ["/v/B-1_7/2023-02-01 15.mp4", "/v/B1_7/2023-02-01 150012 extra parts.mp4", "/v/B1_7/x.mp4"]
     got = rows(
@@ -106,8 +127,9 @@ def test_landed_copies_are_not_shuffled_again(spark, tmp_path):
     fixes = _fixes(spark, FIXES)
     fix_io.land_fixes(fixes.unionByName(fixes), out)
     landed = fix_io.read_fixes(spark, out)
-    one = rows(pairing.earliest_fixes(fixes.unionByName(fixes)), "acquisitiontime", "copies")
-    assert rows(pairing.earliest_fixes(landed), "acquisitiontime", "copies") == one
+    cols = ["acquisitiontime", "latitude"]
+    plain = copies.expand_copies(pairing.earliest_fixes(fixes.unionByName(fixes)))
+    assert rows(copies.expand_copies(pairing.earliest_fixes(landed)), *cols) == rows(plain, *cols)
     assert formatted(pairing.earliest_fixes(landed)).count("hashpartitioning") == 1
     assert rows(copies.expand_copies(landed)) == rows(fixes.unionByName(fixes))
 

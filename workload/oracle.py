@@ -282,6 +282,10 @@ _CTES["path_order"] = f"""
            count(*) over (partition by collar_id) as n
     from fixes where {_TRACKED}"""
 
+_LISTING = f"""
+    select distinct path[{len(views.ROOT) + 1}:] as path, strlen(split_part(path, '/', 4)) as length
+    from video_paths"""
+
 _SELECTS: dict[str, str] = {
     "select_collars": "select * from fixes where collar_id in (select collarid from deployments)",
     "fixes_window": f"""
@@ -458,10 +462,8 @@ _SELECTS: dict[str, str] = {
                case when defunct_cluster_ then 'red' else 'darkgreen' end, 'NAD83 UTM 12N'
         from flagged group by collar_id, defunct_cluster_""",
     "video_metadata_csv": "select * exclude (bindingcolumn) from pairs",
-    "scan_videos": f"""
-        select distinct path[{len(views.ROOT) + 1}:] as path,
-               strlen(split_part(path, '/', 4)) as length
-        from video_paths""",
+    "scan_videos": _LISTING,
+    "scan_mounted_videos": _LISTING,
     "copy_videos": f"""
         select distinct source[{len(views.ROOT) + 1}:] as source,
                target[{len(views.ROOT) + 1}:] as target, 'copied' as outcome

@@ -520,13 +520,21 @@ def _below(root: str, col: str):
     return F.replace(F.col(col), F.lit(root), F.lit(""))
 
 
+def _plain_listing(files: DataFrame, root: str) -> DataFrame:
+    path = F.regexp_replace("path", "^file:/+", "/")
+    return files.select(F.replace(path, F.lit(root), F.lit("")).alias("path"), "length")
+
+
 @query
 def scan_videos(spark, d):
     root = _video_files(spark, d)
-    files = video_io.scan_videos(spark, root).select(
-        F.regexp_replace("path", "^file:/+", "/").alias("path"), "length"
-    )
-    return files.select(_below(root, "path").alias("path"), "length")
+    return _plain_listing(video_io.scan_videos(spark, root), root)
+
+
+@query
+def scan_mounted_videos(spark, d):
+    root = _video_files(spark, d)
+    return _plain_listing(video_io.scan_mounted_videos(spark, root), root)
 
 
 @query
