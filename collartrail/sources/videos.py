@@ -87,7 +87,12 @@ def _relative(root: str):
 
 
 def _plain(col):
-    return F.regexp_replace(col, "^file:/+", "/")
+    return F.when(col.startswith("file:"), F.regexp_replace(col, "^file:/+", "/")).otherwise(col)
+
+
+def _parts(col):
+    """Split at runs of separators. Splitting at one plain character compiles no pattern per row."""
+    return F.split(F.regexp_replace(col, _SEPARATOR, "_"), "_")
 
 
 def _below_root(root: str):
@@ -102,11 +107,14 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
     well. Parts a name lacks are NULL, further ones are ignored, and an impossible time is
     NULL; the row stays.
     """
-    rel = _relative(root)
-    split = df.select(
-        _plain(F.col("path")).alias("directoryname"),
-        F.split(F.regexp_replace(rel, "/[^/]*$", ""), _SEPARATOR).alias("folder"),
-        F.split(F.substring_index(rel, "/", -1), _SEPARATOR).alias("name"),
+    rel, name = F.col("rel"), F.substring_index("rel", "/", -1)
+    split = (
+        df.select(_plain(F.col("path")).alias("directoryname"), _relative(root).alias("rel"))
+        .select(
+            "directoryname",
+            _parts(F.left(rel, F.length(rel) - F.length(name) - 1)).alias("folder"),
+            _parts(name).alias("name"),
+        )
     )
     clock = F.get("name", F.lit(3))
     parts = {
