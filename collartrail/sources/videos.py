@@ -80,10 +80,10 @@ def scan_mounted_videos(spark: SparkSession, root: str, tasks: int | None = None
     return files.drop("is_folder").filter(_below_root(root))
 
 
-def _relative(root: str):
-    """Path below ``root``; works for plain paths and for ``scheme:`` ones."""
+def _relative(root: str, path: str):
+    """The part of a plain path below ``root``."""
     base = _plain(F.lit(root.rstrip("/") + "/"))
-    return F.substr(_plain(F.col("path")), F.length(base) + 1)
+    return F.substr(F.col(path), F.length(base) + 1)
 
 
 def _plain(col):
@@ -96,7 +96,8 @@ def _parts(col):
 
 
 def _below_root(root: str):
-    rel = _relative(root)
+    base = _plain(F.lit(root.rstrip("/") + "/"))
+    rel = F.substr(_plain(F.col("path")), F.length(base) + 1)
     return rel.contains("/") & ~rel.startswith(f"{GROUPED}/") & rel.endswith(_SUFFIX)
 
 
@@ -108,8 +109,11 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
     NULL; the row stays.
     """
     rel, name = F.col("rel"), F.substring_index("rel", "/", -1)
+    # through a generator here and below: what is computed once is not put into each of its
+    # uses, and filters on the parts stay above it
     split = (
-        df.select(_plain(F.col("path")).alias("directoryname"), _relative(root).alias("rel"))
+        df.select(F.explode(F.array(_plain(F.col("path")))).alias("directoryname"))
+        .withColumn("rel", _relative(root, "directoryname"))
         .select(
             "directoryname",
             _parts(F.left(rel, F.length(rel) - F.length(name) - 1)).alias("folder"),
@@ -125,8 +129,6 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
         "Minute": F.substring(clock, 3, 2),
         "Second": F.substr(clock, F.lit(5)),
     }
-    # one struct through a generator: filters on the parts then stay above it, and names are
-    # not split anew for each of them
     named = split.select(
         F.inline(
             F.array(
