@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Iterator
 from itertools import batched
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,3 +153,7 @@ def list_videos(spark: SparkSession, root: str, mounted: bool = False) -> DataFr
     """Scan and parse in one; ``mounted`` chooses the scan for mounted folders."""
     scan = scan_mounted_videos if mounted else scan_videos
     return parse_video_paths(scan(spark, root), root)
+
+
+# task functions travel with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

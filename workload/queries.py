@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -546,3 +548,7 @@ def copy_videos(spark, d):
     return log.select(
         _below(root, "source").alias("source"), _below(root, "target").alias("target"), "outcome"
     )
+
+
+# task functions travel with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
