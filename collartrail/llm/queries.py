@@ -8,13 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collartrail.llm import byte_bpe, exact_dedup, line_dedup, token_counts
+from collartrail.llm import byte_bpe, exact_dedup, line_dedup, token_counts, token_files
+from collartrail.session import new_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document, written to seekable files and read back."""
+    manifest = token_files.write_token_files(
+        table(spark, sf_dir, "documents"),
+        new_folder(spark, "token-files"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+    )
+    return token_files.read_token_files(manifest)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document."""
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +63,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_files": op2_token_files,
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,

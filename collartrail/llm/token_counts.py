@@ -9,15 +9,14 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from collartrail.llm.arrow import BATCH_BYTES, by_bytes
 from collartrail.llm.text import id_and_text
 
-BATCH_BYTES = 4_000_000
 CACHE_UNITS = 400_000
 _TWO_BLANKS = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -59,19 +58,6 @@ class UnitLengths(dict):
         return [sum(map(self.__getitem__, x)) for x in cut]
 
 
-def by_bytes(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut again so that each has about ``most`` bytes of text, one text at least."""
-    for batch in batches:
-        start = size = 0
-        for i, n in enumerate(batch.column("n_bytes").to_pylist()):
-            if size and size + n > most:
-                yield batch.slice(start, i - start)
-                start, size = i, 0
-            size += n
-        if start < batch.num_rows:
-            yield batch.slice(start)
-
-
 def count_tokens(
     docs: DataFrame,
     tokenizer_file: str,
