@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from collartrail.llm import byte_bpe, exact_dedup, line_dedup, token_counts, token_files
+from collartrail.llm import (
+    byte_bpe,
+    exact_dedup,
+    hyperminhash,
+    line_dedup,
+    token_counts,
+    token_files,
+)
 from collartrail.session import new_folder
 
 
@@ -45,6 +52,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays of those with equal text."""
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -66,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
+    "op8_hyperminhash": op8_hyperminhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }

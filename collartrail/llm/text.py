@@ -30,3 +30,15 @@ def remainder_of_id(divisor: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(
         F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(divisor)), F.lit(0)
     ).cast("int")
+
+
+def salted_join(
+    many: DataFrame, few: DataFrame, on: list[str], spread: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """Join to a table with one row per key, where a key may hold a large part of ``many``.
+
+    Rows of a key are dealt over ``salts`` places by their column ``spread``; ``few`` goes to all.
+    """
+    salted = many.withColumn("salt_", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = few.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "salt_"], how).drop("salt_")
