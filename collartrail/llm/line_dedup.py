@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collartrail.llm.text import BLANKS, NO_ID, ascii_lower
+from collartrail.llm.text import BLANKS, NO_ID, ascii_lower, salted_join
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -66,7 +66,7 @@ def drop_shared_lines(
         .select("h1", "h2", "last_id")
     )
     lost = (
-        lines.join(shared, ["h1", "h2"])
+        salted_join(lines, shared, ["h1", "h2"], "at_id")
         .filter(F.col("at_id") < F.col("last_id"))
         .groupBy("at_id", "at_text")
         .agg(F.collect_set("pos").alias("lost"))
