@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from collartrail.llm import (
     byte_bpe,
+    decontaminate,
     exact_dedup,
     hyperminhash,
     line_dedup,
@@ -34,6 +35,14 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that are in a window of a benchmark item."""
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("at_text")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document."""
     docs = table(spark, sf_dir, "documents")
@@ -76,6 +85,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
+    "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
     "op8_hyperminhash": op8_hyperminhash,
@@ -84,6 +94,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_decontamination": r"""
+        with doc as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from documents
+        ), item as (
+            select cast(item_id as varchar) as item, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from benchmark
+        ), item_window as (
+            select distinct item, least(len(w), 13) as n,
+                array_to_string(w[p : p + least(len(w), 13) - 1], ' ') as body
+            from (select item, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) as p
+                  from item where len(w) > 0)
+        ), place as (
+            select doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') as body
+            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as p
+                  from doc, (select distinct n from item_window) where len(w) >= n)
+        ), hit as (
+            select doc_id, p, n, item from place join item_window using (n, body)
+        ), hit_word as (
+            select doc_id, count(distinct q) as n_hit
+            from (select doc_id, unnest(range(p, p + n)) as q from hit) group by doc_id
+        ), hit_item as (
+            select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
+            from (select distinct doc_id, item from hit) group by doc_id
+        )
+        select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+            sha256(coalesce(names, '')) as items_sha256,
+            coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+        from doc left join hit_word using (doc_id) left join hit_item using (doc_id)""",
     "op6_line_dedup": r"""
         with lines as (
             select doc_id, unnest(parts) as line, unnest(range(len(parts))) as pos
