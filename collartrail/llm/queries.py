@@ -16,7 +16,9 @@ from collartrail.llm import (
     line_dedup,
     token_counts,
     token_files,
+    toxicity,
 )
+from collartrail.llm.text import remainder_of_id
 from collartrail.session import new_folder
 
 
@@ -61,6 +63,20 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of toxicity of each document; rows with ``held_out`` taught nothing."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    taught = labels.filter(remainder_of_id(4) != 2)
+    scored = toxicity.toxicity(docs.select("doc_id", "text"), docs, taught)
+    return scored.select(
+        "doc.doc_id",
+        (remainder_of_id(4, "doc.doc_id") == 2).alias("held_out"),
+        "found.severity",
+        "found.p_toxic",
+        "found.toxic",
+    )
+
+
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicate documents."""
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
@@ -88,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_hyperminhash": op8_hyperminhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
