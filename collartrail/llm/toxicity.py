@@ -21,6 +21,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from collartrail.llm.arrow import by_bytes
 from collartrail.llm.samples import labelled_sample
@@ -234,8 +235,8 @@ def score_toxicity(
             )
             yield pa.RecordBatch.from_arrays([batch.column("doc"), found], names=["doc", "found"])
 
-    found = "struct<severity: double, p_toxic: double, toxic: int>"
-    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, found {found}")
+    found = T.StructType.fromDDL("found struct<severity: double, p_toxic: double, toxic: int>")
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], *found.fields]))
 
 
 def toxicity(
