@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+import types
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,4 +29,15 @@ def by_bytes(
             yield batch.slice(start)
 
 
+def per_worker(key: tuple, make: Callable[[], object]):
+    """What ``make`` returns, made once in a Python worker and shared by all tasks it runs.
+
+    Task functions travel by value, so their own modules start anew in each task; this does not.
+    """
+    store = sys.modules.setdefault("collartrail_worker", types.ModuleType("collartrail_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -20,11 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from collartrail.llm.arrow import by_bytes
+from collartrail.llm.arrow import by_bytes, per_worker
 from collartrail.llm.seekable import Reader, Writer
 from collartrail.llm.text import id_and_text
 
-CACHE_UNITS = 300_000
+CACHE_UNITS = 600_000
 #: Units of a lower-cased text for vocabularies that split words, digits and punctuation apart:
 #: letters, a digit, punctuation. What stands next to a character of another kind, or an apostrophe
 #: in front of a letter, is taken to the end of its word, and the library splits it.
@@ -114,7 +114,10 @@ def write_token_files(
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        unit_ids, end = UnitIds(Tokenizer.from_file(tokenizer_file)), np.array([end_id], np.uint32)
+        unit_ids = per_worker(
+            ("ids", tokenizer_file), lambda: UnitIds(Tokenizer.from_file(tokenizer_file))
+        )
+        end = np.array([end_id], np.uint32)
         shard = TaskContext.get().partitionId()
         path = f"{folder}/ids-{shard:06d}-{uuid.uuid4().hex}.zst"
         writer = stream = None
