@@ -13,6 +13,7 @@ from collartrail.llm import (
     decontaminate,
     exact_dedup,
     hyperminhash,
+    line_crf,
     line_dedup,
     token_counts,
     token_files,
@@ -26,6 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document; rows with ``held_out`` taught nothing."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = line_crf.document_quality(docs, labels.filter(remainder_of_id(4) != 2))
+    return scored.select(
+        "doc_id",
+        (remainder_of_id(4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of each document, written to seekable files and read back."""
     manifest = token_files.write_token_files(
@@ -100,6 +113,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
     "op2_token_files": op2_token_files,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
