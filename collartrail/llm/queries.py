@@ -15,6 +15,7 @@ from collartrail.llm import (
     hyperminhash,
     line_crf,
     line_dedup,
+    pitman_yor,
     token_counts,
     token_files,
     toxicity,
@@ -65,6 +66,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of each document under the language model and under single words."""
+    return pitman_yor.language_model_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more share."""
     cleaned = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -117,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_decontamination": op3_decontamination,
     "op4_token_counts": op4_token_counts,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_hyperminhash": op8_hyperminhash,
