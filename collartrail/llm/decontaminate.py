@@ -22,13 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from collartrail.llm.arrow import by_bytes
+from collartrail.llm.bitmap import bitmap_of, in_bitmap
 from collartrail.llm.shingles import WordHashes, shingle_hashes
 from collartrail.llm.text import NO_ID, id_and_text, salted_join
 from collartrail.session import stage
 
 WINDOW = 13
 SHINGLE = 5
-BITMAP_BITS = 1 << 24
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
@@ -74,37 +74,6 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, shin
     return rows.mapInArrow(run, "item string, words array<string>, shingles array<long>")
 
 
-def bitmap_of(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """A Bloom filter of a fixed number of bits over the column ``shingle``, two bits for each."""
-    shift, mask = bits.bit_length() - 1, F.lit(bits - 1)
-    at = F.explode(
-        F.array(
-            F.col("shingle").bitwiseAND(mask),
-            F.shiftrightunsigned("shingle", shift).bitwiseAND(mask),
-        )
-    )
-    n = F.col("at") + 1
-    blocks = (
-        hashes.select(at.alias("at"))
-        .groupBy(F.bitmap_bucket_number(n).alias("block"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(n)).alias("set"))
-    )
-    out = np.zeros(bits // 8, np.uint8)
-    for block, found in blocks.collect():  # at most ``bits`` bits
-        start = (block - 1) * 4096
-        found = np.frombuffer(found, np.uint8)[: len(out) - start]
-        out[start : start + len(found)] = found
-    return out
-
-
-def in_bitmap(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
-    bits = len(bitmap) * 8
-    shift, mask = np.uint64(bits.bit_length() - 1), np.uint64(bits - 1)
-    first, second = hashes & mask, (hashes >> shift) & mask
-    held = lambda at: (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1
-    return (held(first) & held(second)).astype(bool)
-
-
 def _stretches(rows: DataFrame, bitmap, sizes: list[int]) -> DataFrame:
     """``doc_id, at_text, n_words, starts, bodies``: runs of words that the bitmap's shingles cover."""
 
@@ -232,7 +201,7 @@ def contamination(
     rows = id_and_text(docs, id_col, text_col).select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("at_text"), "text"
     )
-    known = spark.sparkContext.broadcast(bitmap_of(of_items))
+    known = spark.sparkContext.broadcast(bitmap_of(of_items, "shingle"))
     read = stage(_stretches(rows, known, sizes), "stretches")
     stretches = (
         read.filter(F.size("starts") > 0)
@@ -251,7 +220,7 @@ def contamination(
         .select("shingle", "window", "words", F.col("offset").cast("long").alias("offset")),
         "prefixes",
     )
-    rare = spark.sparkContext.broadcast(bitmap_of(prefixes))
+    rare = spark.sparkContext.broadcast(bitmap_of(prefixes, "shingle"))
     first = F.col("pos") - F.col("offset")
     n = F.size("words").cast("long")
     hits = stage(

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collartrail.llm.arrow import by_bytes
+from collartrail.llm.bitmap import bitmap_of, in_bitmap
 from collartrail.llm.components import components
 from collartrail.llm.shingles import WordHashes, mix, shingle_sets
 from collartrail.llm.text import NO_ID, id_and_text, salted_join
@@ -222,12 +223,20 @@ def signatures(rows: DataFrame, words: int, bands: int, least: int) -> DataFrame
     )
 
 
-def _sets(rows: DataFrame, words: int) -> DataFrame:
-    """``node, shingles``: the distinct hashes of each text in ascending order, as bytes."""
+def _sets(rows: DataFrame, words: int, needed: DataFrame) -> DataFrame:
+    """``node, shingles``: the distinct hashes of texts in ascending order, as bytes.
+
+    Of all documents in ``needed``, and of the few that its bitmap lets through in error.
+    """
+    some = rows.sparkSession.sparkContext.broadcast(
+        bitmap_of(needed.select(F.xxhash64("node").alias("hash")), "hash")
+    )
 
     def run(batches):
         hashes = WordHashes()
         for batch in by_bytes(batches):
+            hash_of_id = batch.column("hash").to_numpy().view(np.uint64)
+            batch = batch.filter(pa.array(in_bitmap(hash_of_id, some.value)))
             texts = batch.column("text").to_pylist()
             sets = shingle_sets([t.encode().lower().split() for t in texts], words, hashes)
             yield pa.RecordBatch.from_arrays(
@@ -235,7 +244,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
                 names=["node", "shingles"],
             )
 
-    return rows.mapInArrow(run, "node long, shingles binary")
+    hashed = rows.select("doc_id", F.xxhash64("doc_id").alias("hash"), "text")
+    return hashed.mapInArrow(run, "node long, shingles binary")
 
 
 def _links_in_blocks(blocks: DataFrame, percent: int, n_registers: int) -> DataFrame:
@@ -341,8 +351,7 @@ def near_duplicates(
     in_blocks = salted_join(members, groups, ["centre"], "node").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int")
     )
-    needed = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = stage(_sets(rows.join(needed, "doc_id", "left_semi"), words), "sets")
+    sets = stage(_sets(rows, words, members), "sets")
     of_centres = groups.filter("n_blocks > 1").select(
         "centre",
         F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("block"),
