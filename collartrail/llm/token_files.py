@@ -11,6 +11,7 @@ import sys
 import uuid
 import zlib
 from collections.abc import Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,19 @@ def units(text: str) -> list[bytes]:
     return body.split() if b"<|" in body else _UNIT.findall(body.lower())
 
 
+class Places(dict):
+    """Numbers units in the order in which they are first asked for; ``new`` lists the latest."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, unit: bytes) -> int:
+        self[unit] = place = len(self)
+        self.new.append(unit)
+        return place
+
+
 class UnitIds:
     """Ids of texts, each unit encoded once. Emptied when full: memory is bounded, ids the same."""
 
@@ -54,38 +68,35 @@ class UnitIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.at: dict[bytes, int] = {}
+        self.places = Places()
         self.flat = np.zeros(0, np.uint32)
         self.lengths = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int64)
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self) -> None:
         flat, lengths = [self.flat], [self.lengths]
-        for start in range(0, len(new), 8192):
-            part = [u.decode() for u in new[start : start + 8192]]
+        for start in range(0, len(self.places.new), 8192):
+            part = [u.decode() for u in self.places.new[start : start + 8192]]
             found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
-            flat.append(np.array([i for ids in found for i in ids], np.uint32))
-        self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
+            flat.append(np.fromiter(chain.from_iterable(found), np.uint32))
+        self.places.new = []
         self.flat, self.lengths = np.concatenate(flat), np.concatenate(lengths)
         self.starts = np.cumsum(self.lengths) - self.lengths
 
     def of(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cut = [units(t) for t in texts]
-        needed = set().union(*cut)
-        if len(self.at) + len(needed) > self.most:
+        if len(self.places) > self.most:
             self._clear()
-        if new := [u for u in needed if u not in self.at]:
-            self._learn(new)
-        out = []
-        for parts in cut:
-            if not parts:
-                out.append(np.zeros(0, np.uint32))
-                continue
-            at = np.fromiter(map(self.at.__getitem__, parts), np.int64, len(parts))
-            n = self.lengths[at]
-            ends = np.cumsum(n)
-            out.append(self.flat[np.repeat(self.starts[at] - ends + n, n) + np.arange(ends[-1])])
-        return out
+        cut = [units(t) for t in texts]
+        n_units = np.fromiter(map(len, cut), np.int64, len(cut))
+        place = self.places.__getitem__
+        at = np.fromiter(map(place, chain.from_iterable(cut)), np.int64, int(n_units.sum()))
+        if self.places.new:
+            self._learn()
+        n = self.lengths[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        ids = self.flat[np.repeat(self.starts[at] - ends[:-1], n) + np.arange(ends[-1])]
+        return np.split(ids, ends[np.cumsum(n_units)[:-1]])
 
 
 def write_token_files(
