@@ -1,21 +1,18 @@
 """Identical rows as one row with a count.
 
 Fix archives are fetched again and again, so copies of one fix can be a large share of a
-table. Operators that must bring rows of a collar together first merge the copies of long
-collars (partially already before the shuffle) into rows with ``copies``;
-``expand_copies`` gives them back.
+table. Operators that must bring rows of a collar together first merge copies, partially
+already before the shuffle, into rows with ``copies``; ``expand_copies`` gives them back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COPIES = "copies"
-#: Rows of a group that one task may hold.
-MAX_ROWS = 1_000_000
 _BLOCK = 10_000
 
 
@@ -33,29 +30,6 @@ def merge_copies(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.groupBy(*cols).agg(count.alias(COPIES))
 
 
-def long_groups(df: DataFrame, keys: Sequence[str], max_rows: int, *columns: Column) -> DataFrame:
-    """Keys, and ``columns`` (aggregates), of the groups of more than ``max_rows`` rows.
-
-    Counted from the columns used alone, and marked for broadcast: for every row here the
-    table has more than ``max_rows``.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *columns)
-    return F.broadcast(counted.filter(F.col("_n") > max_rows))
-
-
-def merge_copies_if_long(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
-    """Rows with ``copies``, merged only in groups too long for a task.
-
-    Merging costs a shuffle; the rows of ordinary groups are spared it.
-    """
-    if COPIES in df.columns:
-        return df
-    groups = long_groups(df, keys, max_rows).select(*keys)
-    short = df.join(groups, list(keys), "left_anti")
-    merged = merge_copies(df.join(groups, list(keys), "left_semi"))
-    return short.withColumn(COPIES, F.lit(1).cast("bigint")).unionByName(merged)
-
-
 def expand_copies(df: DataFrame) -> DataFrame:
     """As many rows as ``copies`` says; a missing count stands for one row.
 

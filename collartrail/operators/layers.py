@@ -15,7 +15,7 @@ from collartrail.operators.filters import (
     valid_longitude,
     with_phase,
 )
-from collartrail.operators.paths import movement_path
+from collartrail.operators.paths import MAX_VERTICES, movement_path
 from collartrail.schemas import STUDY_END, STUDY_START
 
 LAYER_COLUMNS = [
@@ -46,9 +46,16 @@ def layer_points(df: DataFrame, layer: Column, color: Column, crs: str) -> DataF
     return expand_copies(rows) if COPIES in rows.columns else rows
 
 
-def path_layers(df: DataFrame, group: str, layer: Column, color: Column, crs: str) -> DataFrame:
-    """Line rows from (collar_id, ``group``, t_, x_, y_); one per path part."""
-    return movement_path(df, ["collar_id", group]).select(
+def path_layers(
+    df: DataFrame,
+    group: str,
+    layer: Column,
+    color: Column,
+    crs: str,
+    max_vertices: int = MAX_VERTICES,
+) -> DataFrame:
+    """Line rows from (collar_id, ``group``, t_, x_, y_); one per path part of ``max_vertices``."""
+    return movement_path(df, ["collar_id", group], max_vertices=max_vertices).select(
         layer.alias("layer"),
         F.lit("line").alias("kind"),
         "collar_id",
@@ -85,7 +92,9 @@ def base_fixes(
         "starttestingdate",
         "lastfixoutsidemortclust_UTC",
     )
-    joined = kept.withColumn("_key", F.col("collar_id")).join(dep, "_key", "left").drop("_key")
+    # missing equals missing
+    same = F.col("_collar").eqNullSafe(F.col("_key"))
+    joined = kept.withColumn("_collar", F.col("collar_id")).join(dep, same, "left").drop("_key", "_collar")
     return joined.withColumnRenamed("collar_id", "CollarID")
 
 
@@ -110,11 +119,13 @@ def fix_layers(
     mortdata: bool = True,
     begin=None,
     end=None,
+    max_vertices: int = MAX_VERTICES,
 ) -> DataFrame:
     """Rows of the fix map: points and paths by phase, and paired videos if given.
 
     ``mortdata`` adds the post-mortality layers. ``ids`` and ``begin``..``end`` narrow the
-    map; without them all collars and times are included.
+    map; without them all collars and times are included. A path of more than
+    ``max_vertices`` fixes continues in further rows.
     """
     window = {"study_end": None, "begin": begin, "end": end}
     fixes = with_phase(filter_fixes(base.withColumnRenamed("CollarID", "collar_id"), ids, **window))
@@ -130,7 +141,7 @@ def fix_layers(
     color = F.when(F.col("phase") == "pre", "darkgreen").otherwise("red")
     name = F.concat(F.col("phase"), F.lit("mort_"))
     layers = layer_points(track, F.concat(name, F.lit("points")), color, CRS_LONGLAT).unionByName(
-        path_layers(track, "phase", F.concat(name, F.lit("path")), color, CRS_LONGLAT)
+        path_layers(track, "phase", F.concat(name, F.lit("path")), color, CRS_LONGLAT, max_vertices)
     )
     if videos is None:
         return layers

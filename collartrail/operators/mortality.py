@@ -11,6 +11,7 @@ from collartrail.functions.geo import crs_utm
 from collartrail.operators.copies import COPIES
 from collartrail.operators.layers import layer_points, path_layers
 from collartrail.operators.ordered import XYT
+from collartrail.operators.paths import MAX_VERTICES
 
 DATES = ["lastlivefix", "firstfixinendclust", "lastfixinendclust"]
 
@@ -25,12 +26,25 @@ def apply_mortality(
 ) -> DataFrame:
     """Write the dates and parameters of accepted collars into their deployment rows.
 
-    ``accepted`` (collar_id, cause, removed_at) holds one row per collar a reviewer has
-    confirmed; ``removed_at`` is stored where given. All other rows stay as they are.
+    ``accepted`` (collar_id, cause, removed_at) holds the collars a reviewer has confirmed;
+    ``removed_at`` is stored where given. Of several rows of one collar the one removed last
+    counts, then the first cause. Accepted collars without a row in ``dates``, and all rows of
+    other collars, stay as they are.
     """
+    # least of (not removed, later removals first, cause): one row per collar in one aggregate
+    order = F.struct(
+        F.col("removed_at").isNull().alias("open"),
+        (-F.unix_micros(F.col("removed_at").cast("timestamp"))).alias("late"),
+        F.col("cause").alias("cause"),
+        F.col("removed_at").alias("at"),
+    )
     update = (
-        accepted.select("collar_id", F.col("cause").alias("_cause"), F.col("removed_at").alias("_removed_at"))
-        .join(dates.select("collar_id", *[F.col(c).alias(f"_{c}") for c in DATES]), "collar_id", "left")
+        accepted.groupBy("collar_id")
+        .agg(F.min(order).alias("_one"))
+        .select(
+            "collar_id", F.col("_one.cause").alias("_cause"), F.col("_one.at").alias("_removed_at")
+        )
+        .join(dates.select("collar_id", *[F.col(c).alias(f"_{c}") for c in DATES]), "collar_id")
         .withColumnRenamed("collar_id", "_collar_id")
     )
     hit = F.col("_collar_id").isNotNull()
@@ -65,7 +79,9 @@ def last_live_points(fixes: DataFrame, dates: DataFrame, t: str = "t_") -> DataF
     return fixes.join(live, ["collar_id", t], "left_semi")
 
 
-def mortality_layers(flagged: DataFrame, dates: DataFrame, zone: int = 12) -> DataFrame:
+def mortality_layers(
+    flagged: DataFrame, dates: DataFrame, zone: int = 12, max_vertices: int = MAX_VERTICES
+) -> DataFrame:
     """Rows of the review map: fixes by flag, last live fix, live and post-mortem path."""
     flag = F.col("defunct_cluster_")
     points = layer_points(
@@ -86,5 +102,6 @@ def mortality_layers(flagged: DataFrame, dates: DataFrame, zone: int = 12) -> Da
         layer=F.when(flag, "post_mortem_path").otherwise("live_path"),
         color=F.when(flag, "red").otherwise("darkgreen"),
         crs=crs_utm(zone),
+        max_vertices=max_vertices,
     )
     return points.unionByName(last).unionByName(paths)

@@ -1,22 +1,17 @@
 """Order-dependent work on tracks, with no group too long for a task.
 
-A window over ``collar_id`` sorts a collar's whole history in one task. That is the fast way
-for a collar of ordinary length, and it costs one shuffle. Groups of more than ``max_rows``
-fixes take another way, in two levels: copies are merged, the group is cut into time slices,
-and fixes are windowed within (group, slice); a summary of one row per slice is windowed over
-the group, which says what each slice inherits from those before it; and the two are joined
-on (group, slice), for which the fixes need no further shuffle. A slice is at most an hour
-wide, so at the one-second resolution of fix times it holds at most 3600 distinct times.
-
-Which groups are long is counted first, from the key and time columns alone. The list is
-broadcast: it has at most one row per ``max_rows`` rows of the track, a millionth of it.
+Copies of a fix are merged, partially before the shuffle. A track is cut into calendar days, and fixes
+are windowed within (group, day); a summary of one row per day is windowed over the group, which says
+what each day inherits from those before it; and the two are joined on (group, day), for which the
+fixes need no further shuffle. So a task sorts a day of a collar, never a collar, and every track goes
+the same way whatever its length.
 
 Rows of the results carry ``copies``, the number of identical fixes a row stands for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,40 +19,29 @@ from pyspark.sql import functions as F
 
 from collartrail.functions.geo import distance
 from collartrail.functions.timeutil import whole_seconds
-from collartrail.operators.copies import COPIES, MAX_ROWS, long_groups
+from collartrail.operators.copies import COPIES
 
 SEGMENT = "_segment"
 XYT = ["t_", "x_", "y_"]
-_SLICE_SECONDS = 3600
+_DAY_SECONDS = 86_400
 _BY = ("collar_id",)
 
-Way = Callable[[DataFrame, list[str]], DataFrame]
-
 
-def _split(track: DataFrame, by: Sequence[str], max_rows: int, short: Way, long: Way) -> DataFrame:
-    """Send each group the way its length asks for and put the results together.
+def _slices(track: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per distinct fix, with its day and its number of copies.
 
     Rows that lack a time or a group key belong to no group.
     """
-    by = list(by)
-    merged = COPIES in track.columns
-    if not merged:
-        track = track.withColumn(COPIES, F.lit(1).cast("bigint"))
+    n = F.col(COPIES) if COPIES in track.columns else F.lit(1).cast("bigint")
     placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, "t_"]])
-    track = track.select(*by, *XYT, COPIES).filter(placed)
-    t0, t1 = whole_seconds(F.col("_t0")), whole_seconds(F.col("_t1"))
-    share = ((t1 - t0) / (F.col("_n") / max_rows)).cast("bigint")
-    width = F.greatest(F.lit(1), F.least(F.lit(_SLICE_SECONDS), share))
-    ends = F.min("t_").alias("_t0"), F.max("t_").alias("_t1")
-    groups = long_groups(track, by, max_rows, *ends).select(*by, width.alias("_width"))
-    slices = track.join(groups, by).withColumn(
-        SEGMENT, F.floor(whole_seconds(F.col("t_")) / F.col("_width"))
+    day = F.floor(whole_seconds(F.col("t_")) / _DAY_SECONDS)
+    return (
+        track.filter(placed)
+        .groupBy(*by, day.alias(SEGMENT), *XYT)
+        .agg(F.sum(n).alias(COPIES))
+        # said here, the join on it adds no filter of its own to one side: both read one shuffle
+        .filter(F.col(SEGMENT).isNotNull())
     )
-    # said here, the join on it adds no filter of its own to one side: both read one shuffle
-    slices = slices.filter(F.col(SEGMENT).isNotNull()).drop("_width")
-    if not merged:
-        slices = slices.groupBy(*by, SEGMENT, *XYT).agg(F.sum(COPIES).alias(COPIES))
-    return short(track.join(groups, by, "left_anti"), by).unionByName(long(slices, by))
 
 
 def _in_order(keys: Sequence[str]):
@@ -84,32 +68,22 @@ def _zero(col: Column) -> Column:
 # --- position ---------------------------------------------------------------------------
 
 
-def with_position(
-    track: DataFrame, by: Sequence[str] = _BY, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def with_position(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
     """Fixes with ``start``, the number of fixes of their group before them."""
-
-    def short(rows: DataFrame, by: list[str]) -> DataFrame:
-        start = _zero(F.sum(COPIES).over(_before(_in_order(by))))
-        return rows.withColumn("start", start)
-
-    def long(rows: DataFrame, by: list[str]) -> DataFrame:
-        rows = rows.withColumn(
-            "_inner", _zero(F.sum(COPIES).over(_before(_in_order([*by, SEGMENT]))))
-        )
-        carried = (
-            rows.groupBy(*by, SEGMENT)
-            .agg(F.sum(COPIES).alias("_n"))
-            .withColumn("_offset", _zero(F.sum("_n").over(_before(_over_segments(by)))))
-            .drop("_n")
-        )
-        return (
-            rows.join(carried, [*by, SEGMENT])
-            .withColumn("start", F.col("_offset") + F.col("_inner"))
-            .select(*by, *XYT, COPIES, "start")
-        )
-
-    return _split(track, by, max_rows, short, long)
+    by = list(by)
+    inner = _zero(F.sum(COPIES).over(_before(_in_order([*by, SEGMENT]))))
+    rows = _slices(track, by).withColumn("_inner", inner)
+    carried = (
+        rows.groupBy(*by, SEGMENT)
+        .agg(F.sum(COPIES).alias("_n"))
+        .withColumn("_offset", _zero(F.sum("_n").over(_before(_over_segments(by)))))
+        .drop("_n")
+    )
+    return (
+        rows.join(carried, [*by, SEGMENT])
+        .withColumn("start", F.col("_offset") + F.col("_inner"))
+        .select(*by, *XYT, COPIES, "start")
+    )
 
 
 # --- steps ------------------------------------------------------------------------------
@@ -138,28 +112,22 @@ def _with_entry_step(summary: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
-def with_step(track: DataFrame, by: Sequence[str] = _BY, max_rows: int = MAX_ROWS) -> DataFrame:
+def with_step(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
     """Fixes with ``step``, the distance from the fix before; NULL for a group's first.
 
     Of a row that stands for several fixes, the further ones have step 0.
     """
-
-    def short(rows: DataFrame, by: list[str]) -> DataFrame:
-        return _with_inner_step(rows, by).drop("_first")
-
-    def long(rows: DataFrame, by: list[str]) -> DataFrame:
-        rows = _with_inner_step(rows, [*by, SEGMENT])
-        carried = _with_entry_step(rows.groupBy(*by, SEGMENT).agg(*_ends()), by).select(
-            *by, SEGMENT, "_entry_step"
-        )
-        step = F.when(F.col("_first"), F.col("_entry_step")).otherwise(F.col("step"))
-        return (
-            rows.join(carried, [*by, SEGMENT])
-            .withColumn("step", step)
-            .select(*by, *XYT, COPIES, "step")
-        )
-
-    return _split(track, by, max_rows, short, long)
+    by = list(by)
+    rows = _with_inner_step(_slices(track, by), [*by, SEGMENT])
+    carried = _with_entry_step(rows.groupBy(*by, SEGMENT).agg(*_ends()), by).select(
+        *by, SEGMENT, "_entry_step"
+    )
+    step = F.when(F.col("_first"), F.col("_entry_step")).otherwise(F.col("step"))
+    return (
+        rows.join(carried, [*by, SEGMENT])
+        .withColumn("step", step)
+        .select(*by, *XYT, COPIES, "step")
+    )
 
 
 # --- runs -------------------------------------------------------------------------------
@@ -168,11 +136,7 @@ _RUN_COLUMNS = ["step", "run", "anchor", "is_last_run", "run_fixes", "run_begin"
 
 
 def with_runs(
-    track: DataFrame,
-    zeta: float,
-    by: Sequence[str] = _BY,
-    last_only: bool = False,
-    max_rows: int = MAX_ROWS,
+    track: DataFrame, zeta: float, by: Sequence[str] = _BY, last_only: bool = False
 ) -> DataFrame:
     """Fixes with the non-movement run they belong to.
 
@@ -183,48 +147,9 @@ def with_runs(
     """
     if zeta < 0:
         raise ValueError("zeta must not be negative")
-    zeta = float(zeta)
-    return _split(
-        track,
-        by,
-        max_rows,
-        lambda rows, by: _short_runs(rows, zeta, by, last_only),
-        lambda rows, by: _long_runs(rows, zeta, by, last_only),
-    )
-
-
-def _totals(window, rows: Column | None = None) -> dict[str, Column]:
-    """Size, begin and end of a run over ``window``, counting only ``rows`` if given."""
-
-    def of(name: str) -> Column:
-        return F.col(name) if rows is None else F.when(rows, F.col(name))
-
-    return {
-        "fixes": F.sum(of(COPIES)).over(window),
-        "begin": F.min(of("t_")).over(window),
-        "end": F.max(of("t_")).over(window),
-    }
-
-
-def _short_runs(rows: DataFrame, zeta: float, by: list[str], last_only: bool) -> DataFrame:
-    group = Window.partitionBy(*by)
-    rows = (
-        _with_inner_step(rows, by)
-        .withColumn("anchor", F.col("_first") | (F.col("step") > zeta))
-        .withColumn("run", F.sum(F.col("anchor").cast("bigint")).over(_upto(_in_order(by))))
-        .withColumn("is_last_run", F.col("run") == F.max("run").over(group))
-    )
-    if last_only:
-        totals = _totals(group, F.col("is_last_run"))
-    else:
-        totals = _totals(Window.partitionBy(*by, "run"))
-    return rows.withColumns({f"run_{name}": col for name, col in totals.items()}).select(
-        *by, *XYT, COPIES, *_RUN_COLUMNS
-    )
-
-
-def _long_runs(rows: DataFrame, zeta: float, by: list[str], last_only: bool) -> DataFrame:
+    zeta, by = float(zeta), list(by)
     keys = [*by, SEGMENT]
+    rows = _slices(track, by)
     w = _in_order(keys)
     rows = (
         _with_inner_step(rows, keys)
@@ -241,7 +166,12 @@ def _long_runs(rows: DataFrame, zeta: float, by: list[str], last_only: bool) ->
     inside = {name: F.lit(None) for name in ("fixes", "begin", "end")}
     if not last_only:
         # runs that touch no border of their slice; the last run always does
-        inside = _totals(Window.partitionBy(*keys, "_moves"))
+        inside_run = Window.partitionBy(*keys, "_moves")
+        inside = {
+            "fixes": F.sum(COPIES).over(inside_run),
+            "begin": F.min("t_").over(inside_run),
+            "end": F.max("t_").over(inside_run),
+        }
     totals = {
         f"run_{name}": F.when(head_run, F.col(f"_head_run.{name}"))
         .when(tail_run, F.col(f"_tail_run.{name}"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from collartrail.functions import timeutil as tu
 from collartrail.functions.nulls import id_text, if_known, is_in, paste
-from collartrail.operators.copies import COPIES, MAX_ROWS, expand_copies, merge_copies_if_long
+from collartrail.operators.copies import COPIES, expand_copies, merge_copies
 from collartrail.operators.groups import null_safe
 from collartrail.schemas import MAX_COORDINATE, VIDEO_DEPLOYMENT_COLUMNS, VIDEO_PAIR_COLUMNS
 from collartrail.session import stage
@@ -62,20 +62,18 @@ def mark_missing(fixes: DataFrame) -> DataFrame:
     return fixes.withColumns({**keep, "fix_found": F.lit(True)})
 
 
-def earliest_fixes(
-    fixes: DataFrame, evening: bool = False, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def earliest_fixes(fixes: DataFrame, evening: bool = False) -> DataFrame:
     """The earliest fix of every collar and hour, ties kept, ready to join as ``_slot``.
 
     Reducing before the join gives what filtering after it would: all rows of a group of
     videos share one hour. The rank filter drops all but a task's own earliest rows before
-    the shuffle; copies of one fix, which it cannot drop, are merged in long collars.
+    the shuffle; copies of one fix, which it cannot drop, are merged first.
     """
     fixes = fixes.select(F.col("collar_id").alias("_collar"), *_FIX, *_copies(fixes))
     hour = tu.hour_of(F.col("acquisitiontime"))
     if evening:
         fixes = fixes.filter(hour == EVENING_HOUR)
-    fixes = mark_missing(merge_copies_if_long(fixes, ["_collar"], max_rows)).withColumns(
+    fixes = mark_missing(merge_copies(fixes, ["_collar", *_FIX])).withColumns(
         {"_date": tu.date_of(F.col("acquisitiontime")), "_hour": hour}
     )
     w = Window.partitionBy("_collar", "_date", "_hour").orderBy("acquisitiontime")
@@ -108,13 +106,16 @@ def _join_hour(videos: DataFrame, slots: DataFrame, hour: str) -> DataFrame:
     """Videos with what ``slots`` has for their collar, date and ``hour``, if anything."""
     # a collar id that is not written as a plain number equals no fix's id
     number = F.col("CollarID").try_cast("bigint")
+    written = (number.cast("string") == F.col("CollarID")) | F.col("CollarID").isNull()
     keyed = videos.withColumns(
         {
-            "_collar": F.when(number.cast("string") == F.col("CollarID"), number),
-            "_slot": tu.hour_slot(F.col("Date"), F.col(hour)),
+            "_video_collar": F.when(written, number),
+            "_video_slot": F.when(written, tu.hour_slot(F.col("Date"), F.col(hour))),
         }
     )
-    joined = keyed.join(slots, ["_collar", "_slot"], "left").drop("_collar", "_slot")
+    # missing equals missing, but for the hour
+    same = F.col("_video_collar").eqNullSafe(F.col("_collar")) & (F.col("_video_slot") == F.col("_slot"))
+    joined = keyed.join(slots, same, "left").drop("_video_collar", "_video_slot", "_collar", "_slot")
     return joined.withColumn("fix_found", F.coalesce("fix_found", F.lit(False)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from collartrail.functions.geo import utm
 from collartrail.functions.timeutil import hours
 from collartrail.operators.copies import COPIES
-from collartrail.operators.ordered import MAX_ROWS, XYT, with_runs, with_step
+from collartrail.operators.ordered import XYT, with_runs, with_step
 
 
 def project_utm(
@@ -35,17 +35,17 @@ def make_track(
     )
 
 
-def step_lengths(track: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def step_lengths(track: DataFrame) -> DataFrame:
     """Distance of each fix from the one before it (NULL for the first of a collar).
 
     A row stands for ``copies`` identical fixes; the further ones have step 0.
     """
-    return with_step(track, max_rows=max_rows)
+    return with_step(track)
 
 
-def nonmovement_runs(track: DataFrame, zeta: float, max_rows: int = MAX_ROWS) -> DataFrame:
+def nonmovement_runs(track: DataFrame, zeta: float) -> DataFrame:
     """Number the runs of fixes at most ``zeta`` apart; see ``with_runs``."""
-    return with_runs(track, zeta, max_rows=max_rows)
+    return with_runs(track, zeta)
 
 
 def run_stats(runs: DataFrame) -> DataFrame:
@@ -66,19 +66,17 @@ def flag_defunct_clusters(
     eta: int,
     theta_hours: float,
     scope: str = "terminal",
-    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Mark the fixes of non-movement clusters.
 
     A run of at least ``eta`` steps lasting at least ``theta_hours`` is a cluster; all its
     fixes but the anchor are flagged. ``scope='terminal'`` looks only at each collar's last
     run, ``'all'`` at every run. Distances and times compare inclusively, and the duration
-    counts from the anchor. ``max_rows`` is the length from which a collar is cut up (see
-    ``ordered``); the result does not depend on it.
+    counts from the anchor.
     """
     if scope not in ("terminal", "all"):
         raise ValueError(f"scope must be 'terminal' or 'all', not {scope!r}")
-    runs = with_runs(track, zeta, last_only=scope == "terminal", max_rows=max_rows)
+    runs = with_runs(track, zeta, last_only=scope == "terminal")
     cluster = (F.col("run_fixes") - 1 >= eta) & (
         F.col("run_end") - F.col("run_begin") >= hours(theta_hours)
     )

@@ -44,7 +44,7 @@ def test_hand_made_tracks(spark):
         for r in flagged.filter("defunct_cluster_").collect():
             got[r.collar_id].add(hour(r.t_))
         assert {names[i]: s for i, s in got.items()} == {n: TRACKS[n][want] for n in names}
-        assert flagged.count() == all_tracks.count()
+        assert len(_per_fix(flagged.collect())) == all_tracks.count()
     dates = tracks.mortality_dates(tracks.flag_defunct_clusters(all_tracks, 10, 2, 6))
     for r in dates.collect():
         got = tuple(hour(r[c]) for c in ("lastlivefix", "firstfixinendclust", "lastfixinendclust"))
@@ -87,10 +87,6 @@ def random_fixes(seed, collars=4, n=120):
     return fixes
 
 
-# a group longer than this is cut into slices; the results must not tell
-LENGTHS = [40, ordered.MAX_ROWS]
-
-
 def _per_fix(rows):
     """(collar, t, x, y, ...) of one row per fix; further copies follow the first."""
     out = []
@@ -100,21 +96,19 @@ def _per_fix(rows):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("max_rows", LENGTHS)
 @pytest.mark.parametrize("seed", [1, 2, 3])
 @pytest.mark.parametrize("scope", ["terminal", "all"])
-def test_flags_equal_brute_force(spark, seed, scope, max_rows):
+def test_flags_equal_brute_force(spark, seed, scope):
     fixes = random_fixes(seed)
     df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     for zeta, eta, theta in ((0, 1, 0), (5, 2, 6), (60, 3, 12.5)):
         want = [(*f[:4], f[6]) for f in brute_force(fixes, zeta, eta, theta, scope)]
-        flagged = tracks.flag_defunct_clusters(df, zeta, eta, theta, scope, max_rows)
+        flagged = tracks.flag_defunct_clusters(df, zeta, eta, theta, scope)
         assert _per_fix(flagged.collect()) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("max_rows", LENGTHS)
 @pytest.mark.parametrize("seed", [4, 5])
-def test_steps_and_runs_equal_brute_force(spark, seed, max_rows):
+def test_steps_and_runs_equal_brute_force(spark, seed):
     fixes = random_fixes(seed)
     df = spark.createDataFrame(fixes, "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double")
     want = brute_force(fixes, 5, 1, 0, "all")
@@ -129,10 +123,10 @@ def test_steps_and_runs_equal_brute_force(spark, seed, max_rows):
     first = {}
     for f in want:
         first.setdefault(f[:4], (f[4], f[5]))
-    steps = known(tracks.step_lengths(df, max_rows).collect(), lambda r: r.step)
+    steps = known(tracks.step_lengths(df).collect(), lambda r: r.step)
     for fix, values in steps.items():
         assert sorted(values, key=repr) == sorted([first[fix][0]] + [0.0] * (len(values) - 1), key=repr)
-    runs = tracks.nonmovement_runs(df, 5, max_rows)
+    runs = tracks.nonmovement_runs(df, 5)
     assert {k: v[0] for k, v in known(runs.collect(), lambda r: r.run).items()} == {
         k: v[1] for k, v in first.items()
     }
@@ -172,13 +166,12 @@ def test_copies_of_the_anchor_follow_it(spark):
     df = track(spark, [(0, 0, 0), (0, 0, 0), (0, 0, 0), (7, 1, 0)])
     merged = df.groupBy(*df.columns).count().withColumnRenamed("count", "copies")
     for source in (df, merged):
-        for max_rows in LENGTHS + [1]:
-            flagged = tracks.flag_defunct_clusters(source, 10, 2, 6, max_rows=max_rows)
-            got = [(hour(r[1]), r[4]) for r in _per_fix(flagged.collect())]
-            assert got == [(0, False), (0, True), (0, True), (7, True)]
+        flagged = tracks.flag_defunct_clusters(source, 10, 2, 6)
+        got = [(hour(r[1]), r[4]) for r in _per_fix(flagged.collect())]
+        assert got == [(0, False), (0, True), (0, True), (7, True)]
 
 
-def test_long_groups_share_one_shuffle_with_their_summary(spark):
+def test_days_share_one_shuffle_with_their_summary(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -191,20 +184,9 @@ def test_long_groups_share_one_shuffle_with_their_summary(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     lines = [line for line in plan.splitlines() if "_segment" in line]
     shuffles = [line for line in lines if "Exchange hashpartitioning(collar_id" in line]
-    # copies; slices, used twice; the summary on its way back
+    # days, used twice; the summary on its way back
     assert sum("ReusedExchange" in line for line in shuffles) == 1
-    assert len(shuffles) == 4
-
-
-def test_ordinary_groups_need_one_shuffle(spark):
-    df = spark.createDataFrame(
-        random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
-    )
-    flagged = tracks.flag_defunct_clusters(df, 5, 2, 6)
-    flagged.collect()
-    plan = flagged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    # the count of each group, and the fixes; the way of long groups has gone
-    assert plan.count("Exchange hashpartitioning") <= 2 and "_segment" not in plan
+    assert len(shuffles) == 3
 
 
 def test_reductions_start_before_the_shuffle(spark):
@@ -267,6 +249,27 @@ def _deployments(spark, data):
     return spark.createDataFrame([tuple({**names, **d}.values()) for d in data], DEPLOYMENTS)
 
 
+def test_apply_mortality_keeps_what_it_does_not_know(spark):
+    dep = _deployments(
+        spark,
+        [
+            {"animalid": "B1", "collarid": 0, "fate": 0},
+            {"animalid": "B9", "collarid": 9, "fate": 0, "lastlivefix": ts("2020-01-01")},
+        ],
+    )
+    dates = tracks.mortality_dates(
+        tracks.flag_defunct_clusters(track(spark, TRACKS["ends in cluster"][0], 0), 10, 2, 6)
+    )
+    accepted = spark.createDataFrame(
+        [(0, "b", None), (0, "c", ts("2023-01-01")), (0, "d", ts("2023-01-02")), (9, "typing error", None)],
+        "collar_id bigint, cause string, removed_at timestamp_ntz",
+    )
+    got = {r.animalid: r for r in mortality.apply_mortality(dep, dates, accepted, 10, 2, 6).collect()}
+    assert len(got) == 2
+    assert (got["B1"].cause, got["B1"].beginremoved_UTC, got["B1"].fate) == ("d", ts("2023-01-02"), 1)
+    assert (got["B9"].fate, got["B9"].lastlivefix, got["B9"].cause) == (0, ts("2020-01-01"), None)
+
+
 def test_apply_mortality_touches_accepted_rows_only(spark):
     dep = _deployments(
         spark,

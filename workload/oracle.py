@@ -114,6 +114,7 @@ _CTES: dict[str, str] = {
         from deployments""",
     **_runs(ZETA),
     "flagged": _flagged("runs", True, ETA, THETA),
+    "each_flagged": "select *, unnest(range(copies::bigint)) as copy_no from flagged",
     "flagged_all": _flagged("runs", False, ETA, THETA),
     "dates": _dates("flagged"),
     "accepted": """
@@ -147,7 +148,7 @@ _CTES: dict[str, str] = {
                           from fixes, utm_constants)))""",
     "base": f"""
         select f.collar_id as CollarID, f.* exclude (collar_id), d.starttestingdate, d."{_CUT}"
-        from fixes f left join dep d on f.collar_id = d.collarid
+        from fixes f left join dep d on f.collar_id is not distinct from d.collarid
         where longitude <= 5000 and acquisitiontime >= timestamp '{views.STUDY_START}'
           and acquisitiontime < timestamp '{views.STUDY_END}'""",
     "phased": f"""
@@ -177,7 +178,7 @@ _CTES: dict[str, str] = {
         from fixes""",
     "joined_1": """
         select v.*, f.* exclude (cid, fdate, fhour) from vid_dep v left join marked f
-        on v.CollarID = f.cid and v.Date is not distinct from f.fdate
+        on v.CollarID is not distinct from f.cid and v.Date is not distinct from f.fdate
            and v.Hour is not distinct from f.fhour""",
     "classed_1": """
         select * exclude (latitude, longitude),
@@ -199,7 +200,7 @@ _CTES: dict[str, str] = {
     "joined_2": """
         select v.*, f.* exclude (cid, fdate, fhour)
         from rest v left join (select * from marked where fhour = 21) f
-        on v.CollarID = f.cid and v.Date = f.fdate and v.Hour2 = f.fhour""",
+        on v.CollarID is not distinct from f.cid and v.Date = f.fdate and v.Hour2 = f.fhour""",
     "classed_2": """
         select * exclude (latitude, longitude),
                case when longitude is not null then 'Successful'
@@ -450,7 +451,7 @@ _SELECTS: dict[str, str] = {
                {_wkt('POINT', 'x_', 'y_')} as geometry_wkt,
                case when defunct_cluster_ then 'red' else 'darkgreen' end as color,
                'NAD83 UTM 12N' as crs
-        from flagged
+        from each_flagged
         union all
         select 'last_live_point', 'point', collar_id, t_, 0, {_wkt('POINT', 'x_', 'y_')},
                'purple', 'NAD83 UTM 12N'
@@ -460,7 +461,7 @@ _SELECTS: dict[str, str] = {
         select case when defunct_cluster_ then 'post_mortem_path' else 'live_path' end, 'line',
                collar_id, min(t_), 0, {_line('x_', 'y_', 't_, x_, y_')},
                case when defunct_cluster_ then 'red' else 'darkgreen' end, 'NAD83 UTM 12N'
-        from flagged group by collar_id, defunct_cluster_""",
+        from each_flagged group by collar_id, defunct_cluster_""",
     "video_metadata_csv": "select * exclude (bindingcolumn) from pairs",
     "scan_videos": _LISTING,
     "scan_mounted_videos": _LISTING,

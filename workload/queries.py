@@ -337,9 +337,8 @@ def life_phase(spark, d):
 def earliest_fixes(spark, d):
     """The fix each (collar, date, hour) is paired with, ties kept."""
     slots = pairing.earliest_fixes(views.fixes(spark, d))
-    return slots.select(
-        F.col("_collar").alias("collar_id"), "acquisitiontime", "longitude", "latitude"
-    )
+    columns = [F.col("_collar").alias("collar_id"), "acquisitiontime", "longitude", "latitude"]
+    return copies.expand_copies(slots.select(*columns, copies.COPIES))
 
 
 @query
