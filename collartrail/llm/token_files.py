@@ -32,7 +32,7 @@ CACHE_UNITS = 600_000
 _UNIT = re.compile(
     rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++(?![\x80-\xff])"
     rb"|[0-9](?![\x80-\xff])"
-    rb"|(?!'[a-z\x80-\xff])[!-/:-@\[-`{-~]++(?![\x80-\xff])"
+    rb"|(?!'[a-z\x80-\xff])[!-/:-@\[-`{-~]++(?![\x00-\x08\x0e-\x1f\x7f-\xff])"
     rb"|[^\x20\x09-\x0D]+"
 )
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, first_id long, last_id long"
