@@ -38,8 +38,8 @@ from collartrail.llm.text import id_and_text, remainder_of_id
 DISCOUNT, STRENGTH = 0.8, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 1.0
 SWEEPS, BURN_IN = 6, 2
-BUCKET_BYTES = 32_000_000
-FLUSH_BYTES = 24_000_000
+BUCKET_BYTES = 12_000_000
+FLUSH_BYTES = 16_000_000
 HOT_SHARE = 0.125
 START = np.uint64(xxhash.xxh3_64_intdigest(b" start"))
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
@@ -193,28 +193,29 @@ class Bucket:
     """All tokens of a bucket's contexts."""
 
     def __init__(self, bodies: list[bytes], chunks: list[int]):
-        contexts, words, at_words, docs, rows, ids, marks = [], [], [], [], [], [], []
+        contexts, runs, words, at_words, docs, rows, ids, marks = ([] for _ in range(8))
         n_docs = n_words = 0
         for body, chunk in zip(bodies, chunks, strict=True):
-            context, runs, own, at_word, at_doc, id_steps, mark, own_docs = unpack(body)
-            contexts.append(np.repeat(context, runs.astype(np.int64)))
+            context, run, own, at_word, at_doc, id_steps, mark, own_docs = unpack(body)
+            contexts.append(context)
+            runs.append(run.astype(np.int32))
             words.append(own)
-            at_words.append(at_word.astype(np.int64) + n_words)
-            docs.append(at_doc.astype(np.int64) + n_docs)
+            at_words.append(at_word.astype(np.int32) + np.int32(n_words))
+            docs.append(at_doc.astype(np.int32) + np.int32(n_docs))
             ids.append(np.cumsum(id_steps))
             marks.append(mark)
             rows.append((np.int64(chunk) << 24) + own_docs.astype(np.int64))
             n_docs, n_words = n_docs + len(own_docs), n_words + len(own)
         self.words, word = np.unique(np.concatenate(words), return_inverse=True)
         self.contexts, context = np.unique(np.concatenate(contexts), return_inverse=True)
-        self.word = word[np.concatenate(at_words)]
-        self.context = context
+        self.word = word.astype(np.int32)[np.concatenate(at_words)]
+        self.context = np.repeat(context.astype(np.int32), np.concatenate(runs))
         self.doc = np.concatenate(docs)
         self.rows, self.ids = np.concatenate(rows), np.concatenate(ids)
         marks = np.concatenate(marks)
         self.no_id, self.held_out = marks >= 2, (marks & 1).astype(bool)
         taught = ~self.held_out[self.doc]
-        self.key = self.context * len(self.words) + self.word
+        self.key = self.context.astype(np.int64) * len(self.words) + self.word
         self.dishes, self.customers = np.unique(self.key[taught], return_counts=True)
         self.of_context, self.of_word = np.divmod(self.dishes, len(self.words))
         self.taught = np.bincount(self.word[taught], minlength=len(self.words))
@@ -249,7 +250,7 @@ def language_model_scores(
     )
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(4, -(-volume // BUCKET_BYTES))
-    shares = max(4, buckets // 2)
+    shares = max(4, buckets // 4)
     hot = _hot_contexts(rows, buckets)
     packed = _packed(rows, hot, buckets)
 
