@@ -251,6 +251,7 @@ def _fix_layers(source: str) -> str:
                {_line('longitude', 'latitude', 't_, longitude, latitude')}, any_value(color),
                'NAD83 longlat'
         from {source} where longitude is not null and latitude is not null
+          and collar_id is not null
         group by collar_id, phase"""
 
 
@@ -271,7 +272,7 @@ _CTES["layer_rows"] = _fix_layers("layer_fixes")
 _CTES["layer_window"] = f"select * from layer_fixes where t_ {_IN_WINDOW}"
 _CTES["layer_window_pre"] = "select * from layer_window where phase = 'pre'"
 _CTES["shown_videos"] = f"""
-    select *, "CollarID"::bigint as collar_id from pairs
+    select *, try_cast("CollarID" as bigint) as collar_id from pairs
     where status = 'Successful' and coordinates in ('Exact', 'Approximate')
       and (longitude is not null or latitude is not null)
       and acquisitiontime >= timestamp '{views.STUDY_START}'"""
@@ -281,7 +282,7 @@ _CTES["path_order"] = f"""
            row_number() over (partition by collar_id
                               order by acquisitiontime, longitude, latitude) - 1 as i,
            count(*) over (partition by collar_id) as n
-    from fixes where {_TRACKED}"""
+    from fixes where {_TRACKED} and acquisitiontime is not null and collar_id is not null"""
 
 _LISTING = f"""
     select distinct path[{len(views.ROOT) + 1}:] as path, strlen(split_part(path, '/', 4)) as length
@@ -299,12 +300,14 @@ _SELECTS: dict[str, str] = {
     "has_coordinate": "select * from fixes where longitude is not null or latitude is not null",
     "valid_longitude": "select * from fixes where longitude <= 5000",
     "before_removal": f"""
-        select f.* from fixes f left join deployments d on f.collar_id = d.collarid
-        where (d."{_CUT}" is null or acquisitiontime < d."{_CUT}")
+        select * from fixes f
+        where not exists (select 1 from deployments d where f.collar_id = d.collarid
+                          and f.acquisitiontime >= d."{_CUT}")
           and acquisitiontime < timestamp '2025-01-01 00:00:01'
           and (longitude is not null or latitude is not null)""",
     "known_animals": """
-        select animalid, collarid, sex from deployments where sex <> 'BUILDING'""",
+        select animalid, collarid, sex from deployments
+        where sex <> 'BUILDING' and animalid is not null""",
     "time_functions": """
         select collar_id, acquisitiontime, date_trunc('second', acquisitiontime) as from_iso,
                null::timestamp as from_wrong_layout,
@@ -489,12 +492,15 @@ def _with(select: str, **extra: str) -> str:
 
 def build() -> dict[str, str]:
     sql = {name: _with(select) for name, select in _SELECTS.items()}
+    # the whole job leaves out deployments of unknown animals
+    known = _CTES["dep"] + " where animalid is not null"
+    sql["organised_layers"] = sql["organised_layers"].replace(_CTES["dep"], known)
     # the same chain on projected fixes instead of the plain plane
     chain = {
         name: text.replace(f"step > {ZETA}", "step > 30000.0") for name, text in _runs(ZETA).items()
     }
     kept = f"""select collar_id, t_, x_, y_ from far
-        where x_ is not null and y_ is not null
+        where x_ is not null and y_ is not null and collar_id is not null
           and t_ >= timestamp '{views.STUDY_START}' and t_ < timestamp '{views.STUDY_END}'"""
     sql["mortality_from_fixes"] = sql["mortality_review"] = _with(
         "select * from far_dates",
