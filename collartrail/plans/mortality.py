@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from collartrail.operators.filters import filter_fixes
 from collartrail.operators.mortality import apply_mortality, mortality_layers
+from collartrail.operators.paths import MAX_VERTICES
 from collartrail.operators.tracks import (
     flag_defunct_clusters,
     make_track,
@@ -50,9 +51,18 @@ def flag_fixes(
     return flag_defunct_clusters(track, rule.zeta, rule.eta, rule.theta_hours, scope)
 
 
-def review(fixes: DataFrame, rule: ClusterRule, out: str, zone: int = 12, **choice) -> DataFrame:
+def review(
+    fixes: DataFrame,
+    rule: ClusterRule,
+    out: str,
+    zone: int = 12,
+    max_vertices: int = MAX_VERTICES,
+    **choice,
+) -> DataFrame:
     """Write ``flagged``, ``dates`` and ``layers`` below ``out``; return the dates.
 
+    A path of more than ``max_vertices`` fixes continues in further rows.
+
     The flagged track is computed once; dates and layers read what was written.
     """
     spark = fixes.sparkSession
@@ -62,7 +72,7 @@ def review(fixes: DataFrame, rule: ClusterRule, out: str, zone: int = 12, **choi
     dates = mortality_dates(flagged)
     dates.write.mode("overwrite").parquet(f"{out}/dates")
     dates = spark.read.schema(dates.schema).parquet(f"{out}/dates")
-    write_layers(mortality_layers(flagged, dates, zone), f"{out}/layers")
+    write_layers(mortality_layers(flagged, dates, zone, max_vertices), f"{out}/layers")
     return dates
 
 

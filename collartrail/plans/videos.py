@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from collartrail.operators.layers import base_fixes, fix_layers, mappable_videos
+from collartrail.operators.paths import MAX_VERTICES
 from collartrail.operators.pairing import fill_cutoff, pair_videos
 from collartrail.schemas import STUDY_END, STUDY_START
 from collartrail.sources.deployments import known_animals
@@ -30,18 +31,20 @@ def organise(
     begin=None,
     end=None,
     video_root: str | None = None,
-    mounted: bool = False,
+    mounted: bool | None = None,
     videos: DataFrame | None = None,
     save_metadata: bool = False,
     subdivide: bool = False,
     as_of=None,
     study_start=STUDY_START,
     study_end=STUDY_END,
+    max_vertices: int = MAX_VERTICES,
 ) -> DataFrame:
     """Write the map layers below ``out`` and return them; with ``video``, pair the videos.
 
-    Videos come from the files below ``video_root`` (``mounted``: listed by the tasks), or
-    from ``videos``, a parsed listing.
+    Videos come from the files below ``video_root``, listed by the tasks unless it has the
+    scheme of a store (``mounted`` says otherwise), or from ``videos``, a parsed listing. Base
+    fixes are written once to ``out``. A path of more than ``max_vertices`` continues in rows.
     Pairs are written once to ``out``; the CSV (``save_metadata``), the layers and the copies
     into group folders (``subdivide``) read that table.
     """
@@ -50,7 +53,9 @@ def organise(
     if video and video_root is None and (videos is None or subdivide):
         raise ValueError("video_root is needed to list or copy videos")
     dep = fill_cutoff(known_animals(deployments), as_of)
-    base = base_fixes(fixes, dep, study_start, study_end)
+    made = base_fixes(fixes, dep, study_start, study_end)
+    made.write.mode("overwrite").parquet(f"{out}/base")
+    base = spark.read.schema(made.schema).parquet(f"{out}/base")
     shown = None
     if video:
         listed = videos if videos is not None else list_videos(spark, video_root, mounted)
@@ -62,6 +67,6 @@ def organise(
             write_video_metadata(pairs, f"{out}/video-metadata")
         if subdivide:
             copy_videos(copy_manifest(pairs, video_root), log=f"{out}/copy-log")
-    layers = fix_layers(base, shown, ids, mortdata, begin, end)
+    layers = fix_layers(base, shown, ids, mortdata, begin, end, max_vertices)
     write_layers(layers, f"{out}/layers")
     return spark.read.parquet(f"{out}/layers").select(*layers.columns)

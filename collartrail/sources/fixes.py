@@ -11,6 +11,7 @@ from collartrail.functions.timeutil import at, parse_iso
 from collartrail.operators.copies import COPIES, merge_copies
 from collartrail.operators.filters import select_collars
 from collartrail.schemas import FETCH_START, FIXES
+from collartrail.session import stage
 from collartrail.sources.common import load, to_schema
 
 #: Partition column of a landed table.
@@ -40,21 +41,36 @@ def read_fixes(
 
 
 def land_fixes(fixes: DataFrame, out: str) -> None:
-    """Write downloaded fixes by day, each distinct one once with its ``copies``.
+    """Add downloaded fixes to an archive by day, each distinct one once with its ``copies``.
 
+    Only the days downloaded are written again, with the copies of what lies there added up.
     Overlapping downloads thus cost nothing later on: operators that merge copies take such
     a table as it is. A day's size decides its number of files.
     """
+    spark = fixes.sparkSession
+    new = merge_copies(fixes).withColumn(DAY, F.to_date("acquisitiontime"))
+    if _exists(spark, out):
+        days = new.select(F.col(DAY).alias("_day")).distinct()
+        lies = spark.read.parquet(out)
+        old = lies.join(days, lies[DAY].eqNullSafe(days["_day"]), "left_semi")
+        both = new.unionByName(old.select(*new.columns))
+        merged = both.groupBy(*[c for c in new.columns if c != COPIES]).agg(F.sum(COPIES).alias(COPIES))
+        # read before the same folders are written
+        new = stage(merged, "landing")
     (
-        merge_copies(fixes)
-        .withColumn(DAY, F.to_date("acquisitiontime"))
-        .hint("rebalance", DAY)
+        new.hint("rebalance", DAY)
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
         .parquet(out)
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def select_sources(fixes: DataFrame, ids: Iterable[int] | DataFrame) -> DataFrame:
     """Fixes of the given collars. Ids are compared whole: 399 does not match 39971."""
     return select_collars(fixes, ids)

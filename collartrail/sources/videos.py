@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Iterator
 from itertools import batched
@@ -149,10 +150,18 @@ def parse_video_paths(df: DataFrame, root: str) -> DataFrame:
     )
 
 
-def list_videos(spark: SparkSession, root: str, mounted: bool = False) -> DataFrame:
-    """Scan and parse in one; ``mounted`` chooses the scan for mounted folders."""
-    scan = scan_mounted_videos if mounted else scan_videos
-    return parse_video_paths(scan(spark, root), root)
+def list_videos(spark: SparkSession, root: str, mounted: bool | None = None) -> DataFrame:
+    """Scan and parse in one.
+
+    Tasks list the folders, unless ``root`` is in a store that has a scheme of its own;
+    ``mounted`` says otherwise.
+    """
+    if mounted is None:
+        mounted = "://" not in root or root.startswith("file:")
+    if not mounted:
+        return parse_video_paths(scan_videos(spark, root), root)
+    root = re.sub("^file:/+", "/", root)
+    return parse_video_paths(scan_mounted_videos(spark, root), root)
 
 
 # task functions travel with the job: executors need not have this package installed

@@ -59,8 +59,8 @@ def test_mounted_scan_lists_hidden_files_too(spark, tmp_path):
     got = [(os.path.relpath(r.path, root), r.length) for r in videos.scan_mounted_videos(spark, root).collect()]
     names = ["B1_1/a.mp4", "B1_1/deep/er/b.mp4", "B2_1/.h.mp4", "B2_1/_u.mp4"]
     assert sorted(got) == [(n, len(n)) for n in names]
-    seen = rows(videos.list_videos(spark, root), "directoryname")
-    mounted = rows(videos.list_videos(spark, root + "/", mounted=True), "directoryname")
+    seen = rows(videos.list_videos(spark, root, mounted=False), "directoryname")
+    mounted = rows(videos.list_videos(spark, root + "/"), "directoryname")
     assert set(seen) < set(mounted) and len(mounted) == 4
     plain = {tuple(r) for r in videos.scan_videos(spark, root).select("length", F.date_trunc("second", "modificationTime")).collect()}
     listed = {tuple(r) for r in videos.scan_mounted_videos(spark, root).select("length", F.date_trunc("second", "modificationTime")).collect()}
@@ -297,3 +297,37 @@ def test_shared_folder_comes_from_the_session(spark, shared):
     assert session.shared_dir(spark) == shared
     assert rows(session.stage(spark.range(3), "some")) == [(0,), (1,), (2,)]
     assert any(name.startswith("some-") for name in os.listdir(shared))
+
+
+def test_landing_twice_adds_up_by_day(spark, tmp_path):
+    out = str(tmp_path / "landed")
+    day1 = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0), (1, "2023-02-01 08:00:00", 29.0, -111.0)])
+    day2 = _fixes(spark, [(1, "2023-02-02 08:00:00", 29.1, -111.1)])
+    fix_io.land_fixes(day1.unionByName(day2), out)
+    kept = sorted((tmp_path / "landed" / "acquisition_date=2023-02-02").glob("part-*"))
+    fix_io.land_fixes(day1, out)
+    got = rows(fix_io.read_fixes(spark, out), "acquisitiontime", "copies")
+    assert got == [(ts("2023-02-01 08:00:00"), 4), (ts("2023-02-02 08:00:00"), 1)]
+    assert sorted((tmp_path / "landed" / "acquisition_date=2023-02-02").glob("part-*")) == kept
+
+
+def test_copying_without_hard_links_and_one_source_per_name(spark, tmp_path, monkeypatch):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "v.mp4").write_text(folder)
+
+    def refuse(*_):
+        raise PermissionError("no links here")
+
+    monkeypatch.setattr(sinks.os, "link", refuse)
+    assert sinks._copy_one(str(tmp_path / "a" / "v.mp4"), str(tmp_path / "t")) == "copied"
+    assert sinks._copy_one(str(tmp_path / "b" / "v.mp4"), str(tmp_path / "t")) == "exists"
+    assert [p.name for p in (tmp_path / "t").iterdir()] == ["v.mp4"]
+    assert (tmp_path / "t" / "v.mp4").read_text() == "a"
+    monkeypatch.undo()
+    manifest = spark.createDataFrame(
+        [(f"{tmp_path}/{f}/v.mp4", f"{tmp_path}/u") for f in ("b", "a")], "source string, target string"
+    )
+    log = {r.source[-7:]: r.outcome for r in sinks.copy_videos(manifest).collect()}
+    assert log == {"a/v.mp4": "copied", "b/v.mp4": "same name"}
+    assert (tmp_path / "u" / "v.mp4").read_text() == "a"

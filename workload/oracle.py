@@ -465,6 +465,16 @@ _SELECTS: dict[str, str] = {
                collar_id, min(t_), 0, {_line('x_', 'y_', 't_, x_, y_')},
                case when defunct_cluster_ then 'red' else 'darkgreen' end, 'NAD83 UTM 12N'
         from each_flagged group by collar_id, defunct_cluster_""",
+    "read_fixes_text": """
+        select * replace (date_trunc('second', acquisitiontime) as acquisitiontime) from fixes
+        where acquisitiontime is not null""",
+    "read_landed_fixes": f"""
+        select collar_id, acquisitiontime, latitude, longitude, height, temperature,
+               count(*) + count(*) filter (where acquisitiontime >= timestamp '{BEGIN}') as copies
+        from fixes
+        where acquisitiontime >= timestamp '2024-01-02 00:00:00'
+          and acquisitiontime < timestamp '{END}'
+        group by all""",
     "video_metadata_csv": "select * exclude (bindingcolumn) from pairs",
     "scan_videos": _LISTING,
     "scan_mounted_videos": _LISTING,

@@ -466,6 +466,26 @@ def organised_layers(spark, d):
     )
 
 
+@query
+def read_fixes_text(spark, d):
+    """Fixes as a download has them, text with its own column name, read back typed."""
+    out = new_folder(spark, "fix-text")
+    iso = F.date_format("acquisitiontime", "yyyy-MM-dd'T'HH:mm:ss")
+    text = views.fixes(spark, d).withColumn("acquisitiontime", iso)
+    text.withColumnRenamed("collar_id", "idcollar").write.option("header", True).csv(out)
+    return fix_io.read_fixes(spark, out, "csv")
+
+
+@query
+def read_landed_fixes(spark, d):
+    """Fixes landed in two overlapping downloads, read between two times."""
+    out = new_folder(spark, "landed")
+    fixes = views.fixes(spark, d)
+    fix_io.land_fixes(fixes, out)
+    fix_io.land_fixes(fixes.filter(F.col("acquisitiontime") >= tu.at(BEGIN)), out)
+    return fix_io.read_fixes(spark, out, start="2024-01-02 00:00:00", end=END)
+
+
 # --- sinks: written below the shared folder and read back --------------------------------
 
 
