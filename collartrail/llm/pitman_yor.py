@@ -9,7 +9,8 @@ Tokens are dealt to buckets by context, packed, once; words are dealt to shares.
 2. Parent: each share of words sums tables over all buckets, seats them as customers of the parent,
    and answers each bucket with mean seatings of the words it asked for.
 3. Scoring: each bucket seats again under the parent's answer, averages predictive probabilities over
-   the sweeps, and adds up the log probabilities of every document's tokens.
+   the sweeps, and adds up the log probabilities of each document's tokens in it. A last shuffle adds
+   these up for each chunk of documents that were packed together.
 
 A sweep empties each dish in turn and seats its customers again: the wait for the next new table in a
 Chinese restaurant is Beta-geometric, so a dish costs as many draws as it gets tables. All dishes of a
@@ -38,16 +39,19 @@ from collartrail.llm.text import id_and_text, remainder_of_id
 DISCOUNT, STRENGTH = 0.8, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 1.0
 SWEEPS, BURN_IN = 6, 2
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 16_000_000
 FLUSH_BYTES = 16_000_000
 HOT_SHARE = 0.125
-START = np.uint64(xxhash.xxh3_64_intdigest(b" start"))
-END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
+#: Bits of a word's hash that are kept; seven bytes of it travel.
+HASH_BITS = np.uint64((1 << 56) - 1)
+START = np.uint64(xxhash.xxh3_64_intdigest(b" start")) & HASH_BITS
+END = np.uint64(xxhash.xxh3_64_intdigest(b" end")) & HASH_BITS
 
 PACKED = "bucket int, chunk long, body binary"
 ASKED = "share int, bucket int, body binary"
+SUMMED = "chunk long, body binary"
 SCORED = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
+    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
     " base_score double, score double"
 )
 
@@ -78,6 +82,17 @@ def smallest(a: np.ndarray) -> np.ndarray:
     return a.astype(np.min_scalar_type(int(a.max()) if len(a) else 0))
 
 
+def seven_bytes(hashes: np.ndarray) -> np.ndarray:
+    """The lower seven bytes of each hash, byte by byte, which compresses sorted ones."""
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].T).ravel()
+
+
+def from_seven_bytes(planes: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(planes) // 7, 8), np.uint8)
+    out[:, :7] = planes.reshape(7, -1).T
+    return out.view("<u8").ravel().astype(np.uint64)
+
+
 def tokens_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
@@ -89,8 +104,8 @@ def places(context: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets: int)
 
 
 def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """Tokens of whole texts, packed by bucket: distinct contexts and words, and per token the
-    word, the document, and where contexts change."""
+    """Tokens of whole texts, packed by bucket: contexts, the words behind each, and the documents
+    of each such pair."""
 
     def run(batches):
         hashes, flush = WordHashes(), 0
@@ -109,16 +124,18 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
             chunk = (TaskContext.get().partitionId() << 16) + flush
             for b in np.flatnonzero(np.diff(ends)).tolist():
                 a, z = ends[b], ends[b + 1]
-                own_words, at_word = np.unique(word[a:z], return_inverse=True)
-                changes = np.flatnonzero(np.diff(context[a:z], prepend=~context[a : a + 1]))
+                new_context = np.diff(context[a:z], prepend=~context[a : a + 1]) != 0
+                new_pair = new_context | (np.diff(word[a:z], prepend=~word[a : a + 1]) != 0)
+                pairs = np.flatnonzero(new_pair)
+                changes = np.flatnonzero(new_context[pairs])
                 own_docs, at_doc = np.unique(doc[a:z], return_inverse=True)
                 ids = np.array([docs[d][0] or 0 for d in own_docs], np.int64)
                 marks = np.array([(docs[d][0] is None) * 2 + docs[d][1] for d in own_docs], np.uint8)
                 body = pack(
-                    context[a:z][changes],
-                    smallest(np.diff(changes, append=z - a)),
-                    own_words,
-                    smallest(at_word),
+                    seven_bytes(context[a:z][pairs[changes]]),
+                    smallest(np.diff(changes, append=len(pairs))),
+                    seven_bytes(word[a:z][pairs]),
+                    smallest(np.diff(pairs, append=z - a)),
                     smallest(at_doc),
                     np.diff(ids, prepend=0),
                     marks,
@@ -133,7 +150,7 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
             for doc_id, out, text in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True
             ):
-                found = hashes.of(tokens_of(text))
+                found = hashes.of(tokens_of(text)) & HASH_BITS
                 contexts.append(np.concatenate([[START], found]))
                 words.append(np.concatenate([found, [END]]))
                 held.append(np.full(len(found) + 1, len(docs), np.int32))
@@ -156,7 +173,7 @@ def _hot_contexts(rows: DataFrame, buckets: int) -> np.ndarray:
 
     def run(batches):
         for batch in by_bytes(batches):
-            found = WordHashes().of([w for t in batch.column("text").to_pylist() for w in tokens_of(t)])
+            found = WordHashes().of([w for t in batch.column("text").to_pylist() for w in tokens_of(t)]) & HASH_BITS
             found = np.concatenate([found, np.full(batch.num_rows, START)])
             context, n = np.unique(found, return_counts=True)
             hot = context[n * buckets >= HOT_SHARE * len(found)]
@@ -193,28 +210,28 @@ class Bucket:
     """All tokens of a bucket's contexts."""
 
     def __init__(self, bodies: list[bytes], chunks: list[int]):
-        contexts, runs, words, at_words, docs, rows, ids, marks = ([] for _ in range(8))
-        n_docs = n_words = 0
+        contexts, runs, words, times, docs, ids, marks = ([] for _ in range(7))
+        self.chunks: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
+        n_docs = 0
         for body, chunk in zip(bodies, chunks, strict=True):
-            context, run, own, at_word, at_doc, id_steps, mark, own_docs = unpack(body)
-            contexts.append(context)
+            context, run, word, n, at_doc, id_steps, mark, own_docs = unpack(body)
+            contexts.append(from_seven_bytes(context))
             runs.append(run.astype(np.int32))
-            words.append(own)
-            at_words.append(at_word.astype(np.int32) + np.int32(n_words))
+            words.append(from_seven_bytes(word))
+            times.append(n.astype(np.int32))
             docs.append(at_doc.astype(np.int32) + np.int32(n_docs))
-            ids.append(np.cumsum(id_steps))
             marks.append(mark)
-            rows.append((np.int64(chunk) << 24) + own_docs.astype(np.int64))
-            n_docs, n_words = n_docs + len(own_docs), n_words + len(own)
+            self.chunks.append((chunk, n_docs, own_docs, id_steps, mark))
+            n_docs += len(own_docs)
+        self.n_docs = n_docs
         self.words, word = np.unique(np.concatenate(words), return_inverse=True)
         self.contexts, context = np.unique(np.concatenate(contexts), return_inverse=True)
-        self.word = word.astype(np.int32)[np.concatenate(at_words)]
-        self.context = np.repeat(context.astype(np.int32), np.concatenate(runs))
+        times = np.concatenate(times)
+        self.word = np.repeat(word.astype(np.int32), times)
+        self.context = np.repeat(np.repeat(context.astype(np.int32), np.concatenate(runs)), times)
         self.doc = np.concatenate(docs)
-        self.rows, self.ids = np.concatenate(rows), np.concatenate(ids)
         marks = np.concatenate(marks)
-        self.no_id, self.held_out = marks >= 2, (marks & 1).astype(bool)
-        taught = ~self.held_out[self.doc]
+        taught = (marks & 1)[self.doc] == 0
         self.key = self.context.astype(np.int64) * len(self.words) + self.word
         self.dishes, self.customers = np.unique(self.key[taught], return_counts=True)
         self.of_context, self.of_word = np.divmod(self.dishes, len(self.words))
@@ -349,34 +366,47 @@ def language_model_scores(
         direct[seen] = (bucket.customers - DISCOUNT * mean)[at[seen]]
         chance = direct / (STRENGTH + in_context[bucket.context]) + back_off[bucket.context] * p[bucket.word]
         base = np.log10((taught + 0.5) / (train_tokens + 0.5 * (known + 1)))
-        n = len(bucket.rows)
+        n = bucket.n_docs
+        sums = (
+            np.bincount(bucket.doc, minlength=n),
+            np.bincount(bucket.doc, taught[bucket.word] > 0, minlength=n).astype(np.int64),
+            np.bincount(bucket.doc, base[bucket.word], minlength=n),
+            np.bincount(bucket.doc, np.log10(chance), minlength=n).astype(np.float32),
+        )
+        out = []
+        for chunk, start, own_docs, id_steps, mark in bucket.chunks:
+            tokens, known_tokens, base_sum, score = (x[start : start + len(own_docs)] for x in sums)
+            body = pack(
+                own_docs, id_steps, mark, smallest(tokens), smallest(known_tokens), base_sum, score,
+                np.array([train_tokens], np.int64),
+            )
+            out.append((chunk, body))
+        return pd.DataFrame(out, columns=["chunk", "body"])
+
+    def summing(own: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(b) for b in own["body"]]
+        docs = np.concatenate([x[0] for x in parts])
+        n = int(docs.max()) + 1
+        total = [np.bincount(docs, np.concatenate([x[k] for x in parts]), minlength=n) for k in (3, 4, 5, 6)]
+        ids, marks = np.zeros(n, np.int64), np.zeros(n, np.uint8)
+        ids[docs] = np.concatenate([np.cumsum(x[1]) for x in parts])
+        marks[docs] = np.concatenate([x[2] for x in parts])
         return pd.DataFrame(
             {
-                "row": bucket.rows,
-                "doc_id": pd.array(np.where(bucket.no_id, 0, bucket.ids), "Int64").copy(),
-                "held_out": bucket.held_out,
-                "n_tokens": np.bincount(bucket.doc, minlength=n),
-                "n_known": np.bincount(bucket.doc, taught[bucket.word] > 0, minlength=n).astype(np.int64),
-                "train_tokens": np.full(n, int(train_tokens)),
-                "base_score": np.bincount(bucket.doc, base[bucket.word], minlength=n),
-                "score": np.bincount(bucket.doc, np.log10(chance), minlength=n),
+                "doc_id": pd.Series(ids, dtype="Int64").mask(marks >= 2),
+                "held_out": (marks & 1).astype(bool),
+                "n_tokens": total[0].astype(np.int64),
+                "n_known": total[1].astype(np.int64),
+                "train_tokens": np.full(n, parts[0][7][0]),
+                "base_score": total[2],
+                "score": total[3],
             }
-        ).assign(doc_id=lambda x: x["doc_id"].mask(pd.Series(bucket.no_id)))
+        )
 
     asked = packed.groupBy("bucket").applyInPandas(seating, ASKED)
     answered = asked.groupBy("share").applyInPandas(parent, ASKED)
-    parts = packed.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInPandas(scoring, SCORED)
-    return (
-        parts.groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            *(F.sum(c).alias(c) for c in ("n_tokens", "n_known")),
-            F.max("train_tokens").alias("train_tokens"),
-            *(F.sum(c).alias(c) for c in ("base_score", "score")),
-        )
-        .drop("row")
-    )
+    parts = packed.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInPandas(scoring, SUMMED)
+    return parts.groupBy("chunk").applyInPandas(summing, SCORED)
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -171,4 +171,4 @@ def test_hot_contexts_change_no_counts(spark, monkeypatch):
     cold = {r.doc_id: r for r in pitman_yor.language_model_scores(docs_of(spark, rows)).collect()}
     for k, r in plain.items():
         assert r.base_score == pytest.approx(cold[k].base_score)
-        assert r.score == pytest.approx(cold[k].score, rel=0.1)
+        assert r.score == pytest.approx(cold[k].score, rel=0.2)
