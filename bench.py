@@ -38,6 +38,11 @@ HEADLINE = [
     "fix_video_layers",
     "mortality_layers",
     "video_metadata_csv",
+    "append_full_join",
+    "scan_mounted_videos",
+    "organised_layers",
+    "mortality_review",
+    "read_landed_fixes",
 ]
 
 
