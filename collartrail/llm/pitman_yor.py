@@ -5,17 +5,23 @@ restaurant of words over a uniform base. A table of a context is a customer of t
 
 Tokens are dealt to buckets by context, packed, once; words are dealt to shares. One query does:
 
-1. Seating: each bucket seats its contexts' customers, starting from its own word frequencies.
-2. Parent: each share of words sums tables over all buckets, seats them as customers of the parent,
+1. Counting: each share of words counts them over all buckets and answers each bucket with the counts
+   of its words.
+2. Seating: each bucket seats its contexts' customers, starting from the words' frequencies.
+3. Parent: each share of words sums tables over all buckets, seats them as customers of the parent,
    and answers each bucket with mean seatings of the words it asked for.
-3. Scoring: each bucket seats again under the parent's answer, averages predictive probabilities over
+4. Scoring: each bucket seats again under the parent's answer, averages predictive probabilities over
    the sweeps, and adds up the log probabilities of each document's tokens in it. A last shuffle adds
    these up for each chunk of documents that were packed together.
 
 A sweep empties each dish in turn and seats its customers again: the wait for the next new table in a
 Chinese restaurant is Beta-geometric, so a dish costs as many draws as it gets tables. All dishes of a
-sweep see the totals of the sweep before, as is usual for parallel samplers. Contexts that hold a large
-part of the tokens are dealt by word as well, and their totals come with the parent's answer.
+sweep see the totals of the sweep before, as is usual for parallel samplers.
+
+Contexts that hold a large part of the tokens are dealt by word as well. Their dishes, counted, are
+sent to one home for each context, which seats them together: their number does not grow with that of
+tokens, and dishes of one customer, who has one table, only go as a sum. So no seating depends on how
+many buckets there are.
 """
 
 from __future__ import annotations
@@ -49,6 +55,7 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b" end")) & HASH_BITS
 
 PACKED = "bucket int, chunk long, body binary"
 ASKED = "share int, bucket int, body binary"
+PLACED = "place int, bucket int, body binary"
 SUMMED = "chunk long, body binary"
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
@@ -206,49 +213,101 @@ def seat(
     return tables
 
 
+def mean_tables(
+    customers: np.ndarray, of_context: np.ndarray, p: np.ndarray, extra: np.ndarray, random
+) -> np.ndarray:
+    """Mean tables of dishes over the sweeps. ``extra``: tables of each context besides these."""
+    now, total, kept = np.minimum(customers, 1), np.zeros(len(customers)), 0
+    for sweep in range(SWEEPS):
+        in_context = np.bincount(of_context, now, minlength=len(extra)) + extra
+        others = in_context[of_context] - now
+        now = seat(customers, (STRENGTH + DISCOUNT * others) * p, DISCOUNT * p, DISCOUNT, random)
+        if sweep >= BURN_IN:
+            total, kept = total + now, kept + 1
+    return total / kept
+
+
 class Bucket:
-    """All tokens of a bucket's contexts."""
+    """All pairs of a bucket's contexts and words; dishes are those with customers.
+
+    ``away``: dishes of hot contexts that are seated at the context's home.
+    """
 
-    def __init__(self, bodies: list[bytes], chunks: list[int]):
-        contexts, runs, words, times, docs, ids, marks = ([] for _ in range(7))
-        self.chunks: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]] = []
-        n_docs = 0
+    def __init__(self, bodies: list[bytes], chunks: list[int], hot: np.ndarray, only_hot: bool = False):
+        contexts, words, taught = [], [], []
+        #: Of each body, where its pairs start and what it has for each occurrence and document.
+        self.chunks: list[tuple[int, int, list[np.ndarray]]] = []
+        n_pairs = 0
         for body, chunk in zip(bodies, chunks, strict=True):
             context, run, word, n, at_doc, id_steps, mark, own_docs = unpack(body)
-            contexts.append(from_seven_bytes(context))
-            runs.append(run.astype(np.int32))
+            contexts.append(np.repeat(from_seven_bytes(context), run))
             words.append(from_seven_bytes(word))
-            times.append(n.astype(np.int32))
-            docs.append(at_doc.astype(np.int32) + np.int32(n_docs))
-            marks.append(mark)
-            self.chunks.append((chunk, n_docs, own_docs, id_steps, mark))
-            n_docs += len(own_docs)
-        self.n_docs = n_docs
-        self.words, word = np.unique(np.concatenate(words), return_inverse=True)
-        self.contexts, context = np.unique(np.concatenate(contexts), return_inverse=True)
-        times = np.concatenate(times)
-        self.word = np.repeat(word.astype(np.int32), times)
-        self.context = np.repeat(np.repeat(context.astype(np.int32), np.concatenate(runs)), times)
-        self.doc = np.concatenate(docs)
-        marks = np.concatenate(marks)
-        taught = (marks & 1)[self.doc] == 0
-        self.key = self.context.astype(np.int64) * len(self.words) + self.word
-        self.dishes, self.customers = np.unique(self.key[taught], return_counts=True)
-        self.of_context, self.of_word = np.divmod(self.dishes, len(self.words))
-        self.taught = np.bincount(self.word[taught], minlength=len(self.words))
+            starts = np.cumsum(n, dtype=np.int64) - n
+            taught.append(np.add.reduceat(((mark & 1) == 0)[at_doc], starts, dtype=np.int32))
+            self.chunks.append((chunk, n_pairs, [n, at_doc, id_steps, mark, own_docs]))
+            n_pairs += len(n)
+        words, contexts, taught = (np.concatenate(x) for x in (words, contexts, taught))
+        self.words, word = np.unique(words, return_inverse=True)
+        if only_hot:
+            keep = np.isin(contexts, hot)
+            contexts, word, taught = contexts[keep], word[keep], taught[keep]
+        self.contexts, context = np.unique(contexts, return_inverse=True)
+        pairs, at = np.unique(context * len(self.words) + word, return_inverse=True)
+        self.pair = at.astype(np.int32)
+        self.of_context, self.of_word = np.divmod(pairs, len(self.words))
+        self.customers = np.bincount(at, taught, minlength=len(pairs)).astype(np.int64)
         self.in_context = np.bincount(self.of_context, self.customers, minlength=len(self.contexts))
-
-    def tables(self, parent: np.ndarray, random, extra: np.ndarray | float = 0.0) -> np.ndarray:
-        """Mean tables of the dishes over the sweeps. ``extra``: tables that contexts have elsewhere."""
-        now, total, kept = np.minimum(self.customers, 1), np.zeros(len(self.dishes)), 0
-        for sweep in range(SWEEPS):
-            in_context = np.bincount(self.of_context, now, minlength=len(self.contexts)) + extra
-            others = in_context[self.of_context] - now
-            p = parent[self.of_word]
-            now = seat(self.customers, (STRENGTH + DISCOUNT * others) * p, DISCOUNT * p, DISCOUNT, random)
-            if sweep >= BURN_IN:
-                total, kept = total + now, kept + 1
-        return total / kept
+        self.split = np.isin(self.contexts, hot)
+        self.away = self.split[self.of_context] & (self.customers > 1)
+
+    def tables(self, parent: np.ndarray, random) -> np.ndarray:
+        """Mean tables of the dishes that are seated here; 0 for those away."""
+        mean = np.minimum(self.customers, 1).astype(float)
+        here = (self.customers > 1) & ~self.away
+        single = np.bincount(self.of_context, self.customers == 1, minlength=len(self.contexts))
+        of_context, p = self.of_context[here], parent[self.of_word[here]]
+        mean[here] = mean_tables(self.customers[here], of_context, p, single, random)
+        mean[self.away] = 0
+        return mean
+
+    def homes(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Homes of the contexts, and of the dishes; -1 for what is not split or not away."""
+        of_context = np.where(self.split, (mix(self.contexts) % np.uint64(buckets)).astype(np.int64), -1)
+        return of_context, np.where(self.away, of_context[self.of_context], -1)
+
+    def sent(self, parent: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+        """For each home, its contexts: runs of dishes, single customers, all customers; and the dishes."""
+        of_context, of_dish = self.homes(buckets)
+        away = np.bincount(self.of_context, self.away, minlength=len(self.contexts)).astype(np.int64)
+        single = np.bincount(self.of_context, self.customers == 1, minlength=len(self.contexts))
+        for h in np.unique(of_context[of_context >= 0]).tolist():
+            c, d = of_context == h, of_dish == h
+            yield h, pack(
+                self.contexts[c], smallest(away[c]), single[c], self.in_context[c],
+                self.words[self.of_word[d]], smallest(self.customers[d]),
+                parent[self.of_word[d]].astype(np.float32),
+            )
+
+
+def seated_at_home(bodies: list[bytes], random) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each body of ``Bucket.sent`` its contexts, their customers and tables over all bodies, and
+    its dishes' words and mean tables."""
+    sent = [unpack(b) for b in bodies]
+    contexts, at = np.unique(np.concatenate([x[0] for x in sent]), return_inverse=True)
+    runs = np.concatenate([x[1].astype(np.int64) for x in sent])
+    single, in_context = (
+        np.bincount(at, np.concatenate([x[k] for x in sent]), minlength=len(contexts)) for k in (2, 3)
+    )
+    of_context = np.repeat(at, runs)
+    customers = np.concatenate([x[5].astype(np.int64) for x in sent])
+    p = np.concatenate([x[6] for x in sent]).astype(float)
+    mean = mean_tables(customers, of_context, p, single, random)
+    tables = np.bincount(of_context, mean, minlength=len(contexts)) + single
+    start = of = 0
+    for x in sent:
+        own = at[of : of + len(x[0])]
+        yield x[0], in_context[own], tables[own], x[4], mean[start : start + len(x[4])]
+        start, of = start + len(x[4]), of + len(x[0])
 
 
 def language_model_scores(
@@ -271,29 +330,64 @@ def language_model_scores(
     hot = _hot_contexts(rows, buckets)
     packed = _packed(rows, hot, buckets)
 
-    def totals_of_hot(bucket: Bucket, tables: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.flatnonzero(np.isin(bucket.contexts, hot))
-        by_context = np.bincount(bucket.of_context, tables, minlength=len(bucket.contexts))
-        return bucket.contexts[at], bucket.in_context[at], by_context[at]
+    def bucket_of(own: pd.DataFrame, only_hot: bool = False) -> Bucket:
+        own = own.sort_values("chunk")
+        return Bucket(own["body"].tolist(), own["chunk"].tolist(), hot, only_hot)
+
+    def share_of(words: np.ndarray) -> np.ndarray:
+        return (mix(words) % np.uint64(shares)).astype(np.int64)
+
+    def asking(own: pd.DataFrame) -> pd.DataFrame:
+        words, taught = [], []
+        for body in own["body"]:
+            _, _, word, n, at_doc, _, mark, _ = unpack(body)
+            words.append(from_seven_bytes(word))
+            starts = np.cumsum(n, dtype=np.int64) - n
+            taught.append(np.add.reduceat(((mark & 1) == 0)[at_doc], starts, dtype=np.int32))
+        words, at = np.unique(np.concatenate(words), return_inverse=True)
+        taught = np.bincount(at, np.concatenate(taught), minlength=len(words)).astype(np.int64)
+        share, number = share_of(words), int(own["bucket"].iloc[0])
+        out = [(s, number, pack(words[share == s], smallest(taught[share == s]))) for s in range(shares)]
+        return pd.DataFrame(out, columns=["share", "bucket", "body"])
+
+    def counting(own: pd.DataFrame) -> pd.DataFrame:
+        asked = [unpack(b) for b in own["body"]]
+        words, at = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
+        taught = np.bincount(at, np.concatenate([x[1] for x in asked]), minlength=len(words))
+        sums = np.array([taught.sum(), (taught > 0).sum()])
+        out, start = [], 0
+        for bucket, x in zip(own["bucket"], asked, strict=True):
+            mine = taught[at[start : start + len(x[0])]].astype(np.int64)
+            start += len(x[0])
+            out.append((int(own["share"].iloc[0]), bucket, pack(smallest(mine), sums)))
+        return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
-    def seating(own: pd.DataFrame) -> pd.DataFrame:
-        number, own = int(own["bucket"].iloc[0]), own.sort_values("chunk")
-        bucket = Bucket(own["body"].tolist(), own["chunk"].tolist())
-        # the bucket's own frequencies stand in for the parent
-        first = (bucket.taught + 0.5) / (bucket.taught.sum() + 0.5 * len(bucket.words) + 0.5)
+    def seating(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        number, bucket = int(own["bucket"].iloc[0]), bucket_of(own)
+        share, taught, sums = share_of(bucket.words), np.zeros(len(bucket.words), np.int64), np.zeros(2)
+        for s, body in zip(answers["share"], answers["body"], strict=True):
+            taught[share == s], part_sums = unpack(body)
+            sums += part_sums
+        # the words' frequencies stand in for the parent
+        first = (taught + 0.5) / (sums[0] + 0.5 * sums[1] + 0.5)
         tables = bucket.tables(first, np.random.default_rng(number))
-        by_word = np.bincount(bucket.of_word, tables, minlength=len(bucket.words))
-        share = (mix(bucket.words) % np.uint64(shares)).astype(np.int64)
-        hot_context, hot_customers, hot_tables = totals_of_hot(bucket, tables)
-        hot_share = (mix(hot_context) % np.uint64(shares)).astype(np.int64)
-        out = []
+        by_word = np.bincount(bucket.of_word, tables, minlength=len(bucket.words)).astype(np.float32)
+        out = [(h, number, body) for h, body in bucket.sent(first, buckets)]
         for s in range(shares):
-            a, h = share == s, hot_share == s
-            body = pack(
-                bucket.words[a], by_word[a].astype(np.float32), smallest(bucket.taught[a]),
-                hot_context[h], hot_customers[h], hot_tables[h],
-            )
-            out.append((s, number, body))
+            a = share == s
+            out.append((buckets + s, number, pack(bucket.words[a], by_word[a], smallest(taught[a]), sums)))
+        return pd.DataFrame(out, columns=["place", "bucket", "body"])
+
+    def first_homes(own: pd.DataFrame) -> pd.DataFrame:
+        """Tables of the dishes seated at home, by word; what is for the parent passes."""
+        place, own = int(own["place"].iloc[0]), own.sort_values("bucket")
+        if place >= buckets:
+            return own.assign(share=own["place"] - buckets)[["share", "bucket", "body"]]
+        seated = list(seated_at_home(own["body"].tolist(), np.random.default_rng(place)))
+        words, at = np.unique(np.concatenate([x[3] for x in seated]), return_inverse=True)
+        tables = np.bincount(at, np.concatenate([x[4] for x in seated]), minlength=len(words))
+        share = share_of(words)
+        out = [(s, -1, pack(words[share == s], tables[share == s])) for s in np.unique(share).tolist()]
         return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
     def parent(own: pd.DataFrame) -> pd.DataFrame:
@@ -301,17 +395,11 @@ def language_model_scores(
         asked = [unpack(b) for b in own["body"]]
         words, at = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
         customers = np.bincount(at, np.concatenate([x[1] for x in asked]), minlength=len(words))
-        taught = np.bincount(at, np.concatenate([x[2] for x in asked]), minlength=len(words))
-        hot_context, hot_at = np.unique(np.concatenate([x[3] for x in asked]), return_inverse=True)
-        hot_totals = [
-            np.bincount(hot_at, np.concatenate([x[k] for x in asked]), minlength=len(hot_context))
-            for k in (4, 5)
-        ]
-        known = int((taught > 0).sum())
+        train_tokens, known = asked[-1][3]
         seated = np.rint(customers).astype(np.int64)
         random, now = np.random.default_rng(number), np.minimum(seated, 1)
         total, kept = np.zeros(len(words)), 0
-        base = 1 / (known * shares + 1)
+        base = 1 / (known + 1)
         for sweep in range(SWEEPS):
             # shares of words are alike, so this one stands for the others
             others = now.sum() * shares - now
@@ -321,65 +409,73 @@ def language_model_scores(
             if sweep >= BURN_IN:
                 total, kept = total + now, kept + 1
         tables = total / kept
-        sums = np.array([seated.sum(), tables.sum(), taught.sum(), known])
+        sums = np.array([seated.sum(), tables.sum()])
         own_part = (seated - PARENT_DISCOUNT * tables).astype(np.float32)
         out, start = [], 0
         for bucket, x in zip(own["bucket"], asked, strict=True):
             mine = at[start : start + len(x[0])]
             start += len(x[0])
-            body = pack(own_part[mine], smallest(taught[mine].astype(np.int64)), sums, hot_context, *hot_totals)
-            out.append((number, bucket, body))
+            if bucket >= 0:
+                out.append((number, bucket, pack(own_part[mine], x[2], sums, x[3])))
         return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
-    def scoring(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        number, own = int(own["bucket"].iloc[0]), own.sort_values("chunk")
-        bucket = Bucket(own["body"].tolist(), own["chunk"].tolist())
-        share = (mix(bucket.words) % np.uint64(shares)).astype(np.int64)
-        own_part, taught = np.zeros(len(bucket.words)), np.zeros(len(bucket.words))
+    def probabilities(own_part: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        customers, tables, _, known = sums
+        rest = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
+        return (own_part + rest) / (PARENT_STRENGTH + customers)
+
+    def sending(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        """Dishes of hot contexts with the parent's answer to their homes, and that answer to itself."""
+        number, bucket = int(own["bucket"].iloc[0]), bucket_of(own, only_hot=True)
+        share = share_of(bucket.words)
+        own_part, taught = np.zeros(len(share), np.float32), np.zeros(len(share), np.int64)
         sums = np.zeros(4)
-        in_context = bucket.in_context.copy()
-        elsewhere = np.zeros(len(bucket.contexts))
-        hot_here = totals_of_hot(bucket, np.zeros(len(bucket.dishes)))[0]
         for s, body in zip(answers["share"], answers["body"], strict=True):
-            part, counts, part_sums, hot_context, hot_customers, hot_tables = unpack(body)
-            own_part[share == s], taught[share == s] = part, counts
-            sums += part_sums
-            use = np.isin(hot_context, hot_here)
-            at = np.searchsorted(bucket.contexts, hot_context[use])
-            in_context[at], elsewhere[at] = hot_customers[use], hot_tables[use]
-        customers, tables, train_tokens, known = sums
-        rest = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
-        p = (own_part + rest) / (PARENT_STRENGTH + customers)
-        random = np.random.default_rng(number)
-        # of hot contexts, what other buckets hold is what all hold less what this one does
-        if len(hot_here):
-            first = bucket.tables(p, random, 0.0)
-            here = np.bincount(bucket.of_context, first, minlength=len(bucket.contexts))
-            elsewhere = np.where(elsewhere > 0, np.maximum(elsewhere - here, 0), 0)
-        mean = bucket.tables(p, random, elsewhere)
-        by_context = np.bincount(bucket.of_context, mean, minlength=len(bucket.contexts)) + elsewhere
+            own_part[share == s], taught[share == s], part_sums, sums[2:] = unpack(body)
+            sums[:2] += part_sums
+        out = [(h, number, body) for h, body in bucket.sent(probabilities(own_part, sums), buckets)]
+        out.append((buckets + number, number, pack(own_part, smallest(taught), sums)))
+        return pd.DataFrame(out, columns=["place", "bucket", "body"])
+
+    def second_homes(own: pd.DataFrame) -> pd.DataFrame:
+        """Mean tables back to the buckets; what those sent to themselves passes."""
+        place, own = int(own["place"].iloc[0]), own.sort_values("bucket")
+        if place >= buckets:
+            return own
+        seated = seated_at_home(own["body"].tolist(), np.random.default_rng(place))
+        bodies = [pack(x[0], x[1], x[2], x[4].astype(np.float32)) for x in seated]
+        return own.assign(body=bodies)
+
+    def scoring(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        number, bucket = int(own["bucket"].iloc[0]), bucket_of(own)
+        answers = answers.sort_values("place", ascending=False)
+        own_part, taught, sums = unpack(answers["body"].iloc[0])
+        train_tokens, known = sums[2:]
+        p = probabilities(own_part, sums)
+        mean = bucket.tables(p, np.random.default_rng(number))
+        by_context = np.bincount(bucket.of_context, mean, minlength=len(bucket.contexts))
+        in_context, (_, home) = bucket.in_context.copy(), bucket.homes(buckets)
+        for h, body in zip(answers["place"].iloc[1:], answers["body"].iloc[1:], strict=True):
+            contexts, customers, tables, away = unpack(body)
+            at = np.searchsorted(bucket.contexts, contexts)
+            in_context[at], by_context[at], mean[home == h] = customers, tables, away
         back_off = (STRENGTH + DISCOUNT * by_context) / (STRENGTH + in_context)
-        direct = np.zeros(len(bucket.key))
-        at = np.searchsorted(bucket.dishes, bucket.key)
-        seen = at < len(bucket.dishes)
-        seen[seen] = bucket.dishes[at[seen]] == bucket.key[seen]
-        direct[seen] = (bucket.customers - DISCOUNT * mean)[at[seen]]
-        chance = direct / (STRENGTH + in_context[bucket.context]) + back_off[bucket.context] * p[bucket.word]
+        direct = (bucket.customers - DISCOUNT * mean) / (STRENGTH + in_context[bucket.of_context])
+        chance = np.log10(direct + back_off[bucket.of_context] * p[bucket.of_word])
         base = np.log10((taught + 0.5) / (train_tokens + 0.5 * (known + 1)))
-        n = bucket.n_docs
-        sums = (
-            np.bincount(bucket.doc, minlength=n),
-            np.bincount(bucket.doc, taught[bucket.word] > 0, minlength=n).astype(np.int64),
-            np.bincount(bucket.doc, base[bucket.word], minlength=n),
-            np.bincount(bucket.doc, np.log10(chance), minlength=n).astype(np.float32),
-        )
         out = []
-        for chunk, start, own_docs, id_steps, mark in bucket.chunks:
-            tokens, known_tokens, base_sum, score = (x[start : start + len(own_docs)] for x in sums)
+        for chunk, start, (times, at_doc, id_steps, mark, own_docs) in bucket.chunks:
+            pair, n = bucket.pair[start : start + len(times)], len(own_docs)
+            word = bucket.of_word[pair]
+            known_tokens, base_sum, score = (
+                np.bincount(at_doc, np.repeat(x, times), minlength=n)
+                for x in (taught[word] > 0, base[word], chance[pair])
+            )
             body = pack(
-                own_docs, id_steps, mark, smallest(tokens), smallest(known_tokens), base_sum, score,
+                own_docs, id_steps, mark, smallest(np.bincount(at_doc, minlength=n)),
+                smallest(known_tokens.astype(np.int64)), base_sum, score.astype(np.float32),
                 np.array([train_tokens], np.int64),
-            )
+            )
             out.append((chunk, body))
         return pd.DataFrame(out, columns=["chunk", "body"])
 
@@ -403,9 +499,15 @@ def language_model_scores(
             }
         )
 
-    asked = packed.groupBy("bucket").applyInPandas(seating, ASKED)
-    answered = asked.groupBy("share").applyInPandas(parent, ASKED)
-    parts = packed.groupBy("bucket").cogroup(answered.groupBy("bucket")).applyInPandas(scoring, SUMMED)
+    def with_packed(answers: DataFrame, run, schema: str) -> DataFrame:
+        return packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(run, schema)
+
+    asked = packed.groupBy("bucket").applyInPandas(asking, ASKED)
+    counted = asked.groupBy("share").applyInPandas(counting, ASKED)
+    seated = with_packed(counted, seating, PLACED).groupBy("place").applyInPandas(first_homes, ASKED)
+    answered = seated.groupBy("share").applyInPandas(parent, ASKED)
+    settled = with_packed(answered, sending, PLACED).groupBy("place").applyInPandas(second_homes, PLACED)
+    parts = with_packed(settled, scoring, SUMMED)
     return parts.groupBy("chunk").applyInPandas(summing, SCORED)
 
 

@@ -172,3 +172,24 @@ def test_hot_contexts_change_no_counts(spark, monkeypatch):
     for k, r in plain.items():
         assert r.base_score == pytest.approx(cold[k].base_score)
         assert r.score == pytest.approx(cold[k].score, rel=0.2)
+
+
+@pytest.mark.parametrize("buckets", [4, 32, 500])
+def test_probabilities_of_a_hot_context_add_up(spark, monkeypatch, buckets):
+    """The start is hot. ``z`` and ``u`` are unknown, so behind them words have the parent's chances."""
+    words = [f"w{k}" for k in range(12)]
+    rows = [(None, w) for k, w in enumerate(words) for _ in range(3 + 5 * k)]
+    free = (k for k in range(10**6) if held_out(k, 5, 1))
+    asks = {t: next(free) for w in words for t in (w, f"z {w}", f"z {w} u")} | {t: next(free) for t in ("", "z", "z u")}
+    rows += [(i, t) for t, i in asks.items()]
+    monkeypatch.setattr(pitman_yor, "BUCKET_BYTES", sum(len(t) for _, t in rows) // buckets)
+    got = {r.doc_id: 10**r.score for r in pitman_yor.language_model_scores(docs_of(spark, rows)).collect()}
+    at = {t: got[i] for t, i in asks.items()}
+    # words are only followed by the end, so P(end | w) = 1 - back_off(w) (1 - p(end))
+    unknown = at["z u"] / at["z"]
+    ends = {w: at[f"z {w}"] / at["z"] for w in words}  # p(w) P(end | w) / p(end)
+    backs = {w: at[f"z {w} u"] / at["z u"] for w in words}  # p(w) back_off(w)
+    p_end = (1 - unknown - sum(backs.values())) / (1 + sum(ends.values()) - sum(backs.values()))
+    p = {w: ends[w] * p_end + backs[w] * (1 - p_end) for w in words}
+    behind_start = [at[w] * p[w] / (ends[w] * p_end) for w in words] + [at[""], at["z"] / p_end]
+    assert sum(behind_start) == pytest.approx(1, abs=1e-3)
