@@ -173,22 +173,37 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
 
 
 def _hot_contexts(rows: DataFrame, buckets: int) -> np.ndarray:
-    """Contexts that hold more than ``HOT_SHARE`` of a bucket's tokens in the first batch of any task.
+    """Contexts that hold ``HOT_SHARE`` of a bucket's tokens or more, counted over all rows.
 
-    They only decide where tokens go. Each task names at most ``buckets / HOT_SHARE`` of them.
+    Each task leaves out contexts with less than an eighth of that share of its own tokens, which
+    together are less than an eighth of what is asked for; so all with the full share are found, and
+    some with seven eighths of it. They only decide where tokens go.
     """
 
     def run(batches):
+        contexts, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        hashes = WordHashes()
         for batch in by_bytes(batches):
-            found = WordHashes().of([w for t in batch.column("text").to_pylist() for w in tokens_of(t)]) & HASH_BITS
+            found = hashes.of([w for t in batch.column("text").to_pylist() for w in tokens_of(t)]) & HASH_BITS
             found = np.concatenate([found, np.full(batch.num_rows, START)])
             context, n = np.unique(found, return_counts=True)
-            hot = context[n * buckets >= HOT_SHARE * len(found)]
-            yield pa.RecordBatch.from_arrays([pa.array(hot.view(np.int64))], names=["context"])
-            return
+            contexts, at = np.unique(np.concatenate([contexts, context]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+        hot = counts * buckets * 8 >= HOT_SHARE * counts.sum()
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([None, *contexts[hot].view(np.int64).tolist()], pa.int64()),
+                pa.array([counts.sum(), *counts[hot]], pa.int64()),
+            ],
+            names=["context", "n"],
+        )
 
-    found = rows.mapInArrow(run, "context long").distinct().collect()
-    return np.array(sorted(r.context for r in found), np.int64).view(np.uint64)
+    share = HOT_SHARE * 7 / 8 / buckets
+    # all tokens, whose context is NULL, come first
+    found = rows.mapInArrow(run, "context long, n long").groupBy("context").agg(F.sum("n").alias("n"))
+    top = found.orderBy(F.col("context").isNotNull(), F.col("n").desc()).limit(int(1 / share) + 2).collect()
+    hot = [r.context for r in top[1:] if r.n >= share * top[0].n]
+    return np.array(sorted(hot), np.int64).view(np.uint64)
 
 
 def seat(

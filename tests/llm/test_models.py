@@ -193,3 +193,11 @@ def test_probabilities_of_a_hot_context_add_up(spark, monkeypatch, buckets):
     p = {w: ends[w] * p_end + backs[w] * (1 - p_end) for w in words}
     behind_start = [at[w] * p[w] / (ends[w] * p_end) for w in words] + [at[""], at["z"] / p_end]
     assert sum(behind_start) == pytest.approx(1, abs=1e-3)
+
+
+def test_hot_contexts_are_counted_over_all_rows(spark):
+    rows = [(k, " ".join(f"w{k}x{j}" for j in range(100_000))) for k in range(6)] + [(9, "late " * 600_000)]
+    found = pitman_yor._hot_contexts(docs_of(spark, rows).coalesce(1).select("doc_id", "text"), 8)
+    assert pitman_yor.WordHashes().of([b"late"])[0] & pitman_yor.HASH_BITS in found
+    assert len(found) == 1
+    assert not len(pitman_yor._hot_contexts(docs_of(spark, []), 8))
