@@ -367,7 +367,7 @@ def near_duplicates(
     large = in_blocks.filter("n_blocks > 1")
     if not large.isEmpty():
         large = stage(large, "large-groups")
-        more = _links_across_blocks(large, sets, links, percent, bands * ROWS, block_nodes)
+        more = _links_across_blocks(large, sets, links, percent, bands * ROWS, block_nodes, block_shingles)
         links = links.unionByName(stage(more, "links"))
     of_id = nodes.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z"))
     repeated = (
@@ -400,6 +400,7 @@ def _links_across_blocks(
     percent: int,
     n_registers: int,
     block_nodes: int,
+    block_shingles: int = BLOCK_SHINGLES,
 ) -> DataFrame:
     """Links of groups of several blocks that the first pass could not see."""
     joined = stage(components(links), "components")
@@ -412,10 +413,7 @@ def _links_across_blocks(
         .select("centre", "node", "n_blocks")
     )
     asking = _may_be_linked(large, sets, apart, percent)
-    groups = asking.groupBy("centre").agg(F.count("*").alias("n_asking"), F.first("n_blocks").alias("n_blocks"))
-    slices = groups.withColumn(
-        "n_slices", F.greatest(F.lit(1), F.ceil(F.col("n_asking") / block_nodes)).cast("int")
-    ).select("centre", "n_slices")
+    slices = _slices(asking, block_nodes, block_shingles)
     at = lambda i: (F.col("block") * F.col("n_slices") + i).cast("int")
     asked = (
         large.join(slices, "centre")
@@ -432,6 +430,15 @@ def _links_across_blocks(
     return _links_in_blocks(both.join(sets, "node"), percent, n_registers)
 
 
+def _slices(asking: DataFrame, block_nodes: int, block_shingles: int) -> DataFrame:
+    """Into how many parts the asking nodes of a group are cut, which are as bounded as blocks."""
+    return asking.groupBy("centre").agg(
+        F.greatest(F.ceil(F.count("*") / block_nodes), F.ceil(F.sum("n_all") / block_shingles), F.lit(1))
+        .cast("int")
+        .alias("n_slices")
+    )
+
+
 def _may_be_linked(large: DataFrame, sets: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
     """Of the nodes in ``apart``, those with enough shingles that others of the large groups have too.
 
@@ -462,7 +469,7 @@ def _may_be_linked(large: DataFrame, sets: DataFrame, apart: DataFrame, percent:
         apart.join(size, "node")
         .join(own, "node", "left")
         .filter((F.col("n_all") - F.coalesce("n_own", F.lit(0))) * 100 >= F.col("n_all") * percent)
-        .select("centre", "node", "n_blocks")
+        .select("centre", "node", "n_blocks", "n_all")
     )
 
 

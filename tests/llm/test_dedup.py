@@ -142,3 +142,9 @@ def test_components_of_a_long_path_and_a_star(spark):
     found = components.components(spark.createDataFrame(links, "a long, b long"))
     got = {r.node: r.component for r in found.collect()}
     assert got == {k: 0 for k in range(61)} | {k: 100 for k in range(100, 150)}
+
+
+def test_slices_of_asking_documents_are_bounded_by_shingles(spark):
+    asking = spark.createDataFrame([(1, k, 20_000) for k in range(100)] + [(2, 1, 5)], "centre long, node long, n_all long")
+    got = {r.centre: r.n_slices for r in hyperminhash._slices(asking, 1_500, 1_000_000).collect()}
+    assert got == {1: 2, 2: 1}
