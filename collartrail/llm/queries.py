@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collartrail.llm import (
@@ -13,8 +13,11 @@ from collartrail.llm import (
     decontaminate,
     exact_dedup,
     hyperminhash,
+    lexical_index,
     line_crf,
     line_dedup,
+    merkle,
+    neighbours,
     pitman_yor,
     token_counts,
     token_files,
@@ -118,6 +121,29 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_max_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for each benchmark item."""
+    found = lexical_index.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=10
+    )
+    return found.select(F.col("query_id").alias("item_id"), "rank", "doc_id", "score")
+
+
+def op12_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, top=5)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's proof, and whether a text without line ends still folds to the root."""
+    tampered = F.when(even_crc32("doc_id"), F.translate("text", "\n", "")).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), tampered)
+
+
+def even_crc32(doc_id: str) -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 2 == 0
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_token_files": op2_token_files,
@@ -129,8 +155,83 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hyperminhash": op8_hyperminhash,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_block_max_maxscore": op11_block_max_maxscore,
+    "op12_learned_partitions": op12_learned_partitions,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+
+def _tree_sql(name: str, levels: int) -> str:
+    """``{name}0(g, i, n, h)``, nodes and their number by group, climbed to ``{name}_top``; and
+    ``{name}_path(g, i, lft, rgt)``, lists of the siblings' digests of each of them by level."""
+    parts = []
+    for k in range(levels):
+        t, up = f"{name}{k}", f"{name}{k + 1}"
+        parts.append(f"""
+        {up} as materialized (
+            select g, i // 3 as i, (max(n) + 2) // 3 as n,
+                case when max(n) = 1 then max(h) else sha256(string_agg(h, '' order by i)) end as h
+            from {t} group by g, i // 3
+        ), {name}_run{k} as materialized (
+            select a.g, a.i, coalesce(string_agg(b.h, '' order by b.i) filter (b.i < a.i), '') as lft,
+                coalesce(string_agg(b.h, '' order by b.i) filter (b.i > a.i), '') as rgt
+            from {t} a join {t} b on a.g is not distinct from b.g and a.i // 3 = b.i // 3
+            where a.n > 1 group by a.g, a.i
+        )""")
+    joins = "".join(
+        f" left join {name}_run{k} r{k} on r{k}.g is not distinct from t.g and r{k}.i = t.i // {3**k}"
+        for k in range(levels)
+    )
+    sides = ", ".join(
+        f"[{', '.join(f'r{k}.{side}' for k in range(levels))}] as {side}" for side in ("lft", "rgt")
+    )
+    parts.append(f"""
+        {name}_top as (select g, h from {name}{levels}),
+        {name}_path as materialized (select t.g, t.i, {sides} from {name}0 t{joins})""")
+    return ",".join(parts)
+
+
+def _merkle_sql(levels: int = 9) -> str:
+    """Trees of up to 3 ** ``levels`` nodes, unrolled; a fold goes over the lists of siblings."""
+
+    def leaf(text: str) -> str:
+        fields = ["doc_id::varchar", "source", "lang", "n_chars::varchar", text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+    # DuckDB has no crc32: the polynomial, bit by bit
+    crc = """xor(list_reduce([4294967295] || list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint),
+            lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+    def fold(start: str, path: str) -> str:
+        steps = f"list_filter(list_zip({path}.lft, {path}.rgt), lambda s: s[1] is not null)"
+        return f"""list_reduce(
+            [struct_pack(l := '', r := {start})] || list_transform({steps}, lambda s: struct_pack(l := s[1], r := s[2])),
+            lambda a, b: struct_pack(l := '', r := sha256(b.l || a.r || b.r))).r"""
+
+    def siblings(path: str) -> str:
+        return f"list_aggregate(list_transform(list_zip({path}.lft, {path}.rgt), lambda s: coalesce(s[1] || s[2], '')), 'string_agg', '')"
+
+    return f"""
+        with leaves as materialized (
+            select doc_id, source as g, {leaf("text")} as h,
+                {leaf(f"case when {crc} % 2 = 0 then replace(text, chr(10), '') else text end")} as altered
+            from documents
+        ), placed as materialized (
+            select *, row_number() over (partition by g order by doc_id) - 1 as i, count(*) over (partition by g) as n
+            from leaves
+        ), d0 as materialized (select g, i, n, h from placed),{_tree_sql("d", levels)},
+        s0 as materialized (
+            select 0 as g, row_number() over (order by g nulls first) - 1 as i, count(*) over () as n, h, g as name
+            from d_top
+        ),{_tree_sql("s", levels)}
+        select p.doc_id, p.h as leaf, s0.h as subroot, root.h as root,
+            sha256({siblings("d_path")} || {siblings("s_path")}) as proof_sha256,
+            {fold(fold("p.altered", "d_path"), "s_path")} as folded_root,
+            {fold(fold("p.altered", "d_path"), "s_path")} = root.h as verified
+        from placed p join d_path on p.g is not distinct from d_path.g and p.i = d_path.i
+            join s0 on s0.name is not distinct from p.g join s_path on s_path.i = s0.i, s_top root"""
+
+
 SQL: dict[str, str] = {
     "op3_decontamination": r"""
         with doc as (
@@ -192,4 +293,35 @@ SQL: dict[str, str] = {
         select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
             doc_id = min(doc_id) over same as kept, sha256(body) as text_sha256
         from bodies window same as (partition by body)""",
+    "op11_block_max_maxscore": r"""
+        with doc as (
+            select doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w
+            from documents
+        ), size as (
+            select count(*) filter (len(w) > 0) as all_docs, sum(len(w))::bigint as all_terms from doc
+        ), item as (
+            select item_id, term, count(*) as times
+            from (select item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+            group by item_id, term
+        ), held as (
+            select doc_id, n, term, count(*) as tf
+            from (select doc_id, len(w)::bigint as n, unnest(w) as term from doc)
+            where term in (select term from item) group by doc_id, n, term
+        ), weight as (
+            select term, floor(1000 * ln((2 * all_docs::double + 2) / (2 * count(*) + 1)))::bigint as w
+            from held, size group by term, all_docs
+        ), scored as (
+            select item_id, doc_id, sum(times * w * ((1000000000 * tf)
+                // (1000 * tf + 8 * (100 - 75 + (75 * n * all_docs) // all_terms))))::bigint as score
+            from item join held using (term) join weight using (term), size group by item_id, doc_id
+        )
+        select item_id, rank::int as rank, doc_id, score
+        from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank
+              from scored where score > 0)
+        where rank <= 10""",
+    "op13_merkle_manifest": _merkle_sql(),
 }
