@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from collartrail.functions import timeutil as tu
 from collartrail.functions.nulls import id_text, if_known, is_in, paste
 from collartrail.operators.copies import COPIES, expand_copies, merge_copies
-from collartrail.operators.groups import null_safe
-from collartrail.schemas import MAX_COORDINATE, VIDEO_DEPLOYMENT_COLUMNS, VIDEO_PAIR_COLUMNS
+from collartrail.schemas import (
+    MAX_COORDINATE,
+    VIDEO_DEPLOYMENT_COLUMNS,
+    VIDEO_PAIR_COLUMNS,
+    VIDEOS,
+)
 from collartrail.session import stage
 
 # Hours with a scheduled fix (pass 1), and the evening fix (pass 2).
@@ -62,7 +66,7 @@ def mark_missing(fixes: DataFrame) -> DataFrame:
     return fixes.withColumns({**keep, "fix_found": F.lit(True)})
 
 
-def earliest_fixes(fixes: DataFrame, evening: bool = False) -> DataFrame:
+def earliest_fixes(fixes: DataFrame) -> DataFrame:
     """The earliest fix of every collar and hour, ties kept, ready to join as ``_slot``.
 
     Reducing before the join gives what filtering after it would: all rows of a group of
@@ -71,8 +75,6 @@ def earliest_fixes(fixes: DataFrame, evening: bool = False) -> DataFrame:
     """
     fixes = fixes.select(F.col("collar_id").alias("_collar"), *_FIX, *_copies(fixes))
     hour = tu.hour_of(F.col("acquisitiontime"))
-    if evening:
-        fixes = fixes.filter(hour == EVENING_HOUR)
     fixes = mark_missing(merge_copies(fixes, ["_collar", *_FIX])).withColumns(
         {"_date": tu.date_of(F.col("acquisitiontime")), "_hour": hour}
     )
@@ -102,15 +104,15 @@ def _hours_with_fix(fixes: DataFrame) -> DataFrame:
     )
 
 
-def _join_hour(videos: DataFrame, slots: DataFrame, hour: str) -> DataFrame:
-    """Videos with what ``slots`` has for their collar, date and ``hour``, if anything."""
+def _join_slot(videos: DataFrame, slots: DataFrame, slot: Column) -> DataFrame:
+    """Videos with what ``slots`` has for their collar and hour slot, if anything."""
     # a collar id that is not written as a plain number equals no fix's id
     number = F.col("CollarID").try_cast("bigint")
     written = (number.cast("string") == F.col("CollarID")) | F.col("CollarID").isNull()
     keyed = videos.withColumns(
         {
             "_video_collar": F.when(written, number),
-            "_video_slot": F.when(written, tu.hour_slot(F.col("Date"), F.col(hour))),
+            "_video_slot": F.when(written, slot),
         }
     )
     # missing equals missing, but for the hour
@@ -119,15 +121,16 @@ def _join_hour(videos: DataFrame, slots: DataFrame, hour: str) -> DataFrame:
     return joined.withColumn("fix_found", F.coalesce("fix_found", F.lit(False)))
 
 
-def _classify(df: DataFrame, unsuccessful, exact: str, missing: str, none) -> DataFrame:
+def _classify(df: DataFrame) -> DataFrame:
     """Status and coordinates: a fix with or without longitude, a failed try, or neither."""
-    found, located = F.col("fix_found"), F.col("longitude").isNotNull()
-    status = F.when(found, "Successful").when(unsuccessful, "Unsuccessful")
+    own, found, located = F.col("_pass") == 1, F.col("fix_found"), F.col("longitude").isNotNull()
+    tried = F.when(own, is_in(F.col("Hour"), SCHEDULED_HOURS)).otherwise(F.col("_evening"))
+    status = F.when(found, "Successful").when(tried, "Unsuccessful")
     coordinates = (
-        F.when(found & located, exact)
-        .when(found, missing)
-        .when(unsuccessful, "None")
-        .otherwise(F.lit(none))
+        F.when(found & located, F.when(own, "Exact").otherwise("Approximate"))
+        .when(found, F.when(own, "Missing").otherwise("ApproxMissing"))
+        .when(tried, "None")
+        .when(own, "")
     )
     return df.withColumns({"status": status, "coordinates": coordinates})
 
@@ -136,62 +139,87 @@ def with_date(videos: DataFrame) -> DataFrame:
     return videos.withColumn("Date", tu.date_of(F.col("TimeStamp_UTC")))
 
 
-def _pass_1(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> DataFrame:
-    rows = with_date(with_deployment(videos, deployments))
-    paired = _join_hour(rows, earliest_fixes(fixes), "Hour")
-    return _classify(paired, is_in(F.col("Hour"), SCHEDULED_HOURS), "Exact", "Missing", "")
+def _settled_untimed(videos: DataFrame, fixes: DataFrame) -> DataFrame:
+    """Animals with a video without a time that pass 1 settles: by its hour, or by a fix without one."""
+    rows = with_date(videos.filter(F.col("TimeStamp_UTC").isNull()))
+    untimed = _hours_with_fix(fixes.filter(F.col("acquisitiontime").isNull()))
+    found = _join_slot(rows.select(*_VIDEO), untimed, _own_slot())
+    settled = found.filter(F.col("fix_found") | is_in(F.col("Hour"), SCHEDULED_HOURS))
+    return settled.select(F.struct("AnimalID").alias("_animal"), F.lit(True).alias("_blocked")).distinct()
+
+
+def _rows(videos: DataFrame, deployments: DataFrame) -> DataFrame:
+    """Videos with deployment and date, equal ones merged and counted, and whether they look at 21 h."""
+    merged = merge_copies(videos.select(*VIDEOS.names)).withColumnRenamed(COPIES, "_videos")
+    rows = with_date(with_deployment(merged, deployments))
+    late = tu.approx_hour(F.col("Hour"), F.col("Minute"))
+    return rows.withColumn("_evening", is_in(late, [EVENING_HOUR]))
+
 
+def _with_fix(rows: DataFrame, fixes: DataFrame, evening: bool) -> DataFrame:
+    """Each video once, or with ``evening`` once for each pass, with the fix of that pass, if there is one.
 
-def _pass_1_keys(videos: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Which videos pass 1 settles, without the columns and rows this does not depend on."""
-    rows = with_date(videos).select(*_VIDEO, "TimeStamp_UTC", "Minute")
-    found = _join_hour(rows, _hours_with_fix(fixes), "Hour")
-    settled = F.col("fix_found") | is_in(F.col("Hour"), SCHEDULED_HOURS)
-    return found.withColumn("status", F.when(settled, "settled"))
+    Both passes ask the same table of earliest fixes: pass 1 for the video's own hour, pass 2 for the
+    evening's, if the video is late enough. So one join serves both.
+    """
+    own = F.struct(F.lit(1).alias("number"), _own_slot().alias("slot"))
+    late = F.struct(
+        F.lit(2).alias("number"),
+        F.when(F.col("_evening"), tu.hour_slot(F.col("Date"), F.lit(EVENING_HOUR))).alias("slot"),
+    )
+    asked = F.array(own)
+    if evening:
+        # at scheduled hours pass 1 settles every video
+        settled = is_in(F.col("Hour"), SCHEDULED_HOURS)
+        asked = F.when(settled, asked).otherwise(F.array(own, late))
+    each = rows.withColumn("_ask", F.explode(asked)).withColumn("_pass", F.col("_ask.number"))
+    return _classify(_join_slot(each, earliest_fixes(fixes), F.col("_ask.slot")))
 
 
-def _left_over(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows without a status, unless the same animal has one of the same second with a
-    status (whatever its collar)."""
-    same = ["AnimalID", "TimeStamp_UTC"]
-    settled = keys.filter(F.col("status").isNotNull()).select(*same).distinct()
-    rows = rows.filter(F.col("status").isNull())
-    return rows.join(settled, null_safe(rows, settled, same), "left_anti")
+def _own_slot() -> Column:
+    return tu.hour_slot(F.col("Date"), F.col("Hour"))
 
 
-def _with_hour2(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("Hour2", tu.approx_hour(F.col("Hour"), F.col("Minute")))
+def _spread(apart: Column) -> Column:
+    """0, or for rows that need not meet others, some number, so that they crowd no task."""
+    return F.when(apart, F.pmod(F.xxhash64("directoryname"), F.lit(1024)) + 1).otherwise(0)
 
 
-def _pass_2(first: DataFrame, keys: DataFrame, fixes: DataFrame, null_poisons: bool) -> DataFrame:
-    """Evening pairing of the rows pass 1 left over; they still have their deployment."""
-    rows = _with_hour2(
-        _left_over(first, keys).drop(*_FIX, "fix_found", "status", "coordinates", COPIES)
+def _passes(
+    videos: DataFrame, fixes: DataFrame, deployments: DataFrame, null_poisons: bool, staged: bool
+) -> DataFrame:
+    """Rows of both passes, told apart by ``_pass``; pass 2 has what pass 1 did not settle.
+
+    What the rows of an animal's second, and of an hour, say about each other comes from windows over
+    the joined rows. Only rows that can tell each other something meet there.
+    """
+    untimed = F.when(F.col("TimeStamp_UTC").isNull(), F.struct("AnimalID"))
+    rows = _rows(videos, deployments).join(
+        _settled_untimed(videos, fixes), untimed == F.col("_animal"), "left"
     )
-    evening = is_in(F.col("Hour2"), [EVENING_HOUR])
-    paired = _classify(
-        _join_hour(rows, earliest_fixes(fixes, evening=True), "Hour2"),
-        evening,
-        "Approximate",
-        "ApproxMissing",
-        None,
+    joined = _with_fix(rows.drop("_animal"), fixes, evening=True)
+    if staged:
+        joined = stage(joined, "pairing")
+    timed = F.col("TimeStamp_UTC").isNotNull()
+    second = Window.partitionBy("AnimalID", "TimeStamp_UTC", _spread(~timed))
+    own = (F.col("_pass") == 1) & F.col("status").isNotNull()
+    settled = F.when(timed, F.max(own).over(second)).otherwise(F.col("_blocked"))
+    both = joined.withColumn("_settled", F.coalesce(settled, F.lit(False))).filter(
+        own | ((F.col("_pass") == 2) & ~F.col("_settled"))
     )
     if not null_poisons:
-        return paired
-    # only hour 19 holds both rows that look at 21 h and rows that do not; there the latter
-    # have no time, which leaves the hour's minimum unknown and drops the former
-    unpaired = (
-        _with_hour2(_left_over(keys.filter(F.col("Hour") == 19), keys))
-        .filter(~evening)
-        .select(*_VIDEO)
-        .distinct()
-    )
-    same = null_safe(paired, unpaired, _VIDEO)
-    return paired.join(unpaired, same & paired["fix_found"], "left_anti")
+        return both
+    # only hour 19 holds both rows that look at 21 h and rows that do not; there the latter have no
+    # time, which leaves the hour's minimum unknown and drops the former
+    meets = (F.col("_pass") == 2) & is_in(F.col("Hour"), [19]) & F.col("Date").isNotNull()
+    hour = Window.partitionBy(*_VIDEO, _spread(~meets))
+    unknown = F.max(meets & ~F.col("_evening")).over(hour)
+    return both.withColumn("_unknown", unknown).filter(~(meets & F.col("fix_found") & F.col("_unknown")))
 
 
 def _result(df: DataFrame) -> DataFrame:
-    return expand_copies(df.select(*VIDEO_PAIR_COLUMNS, COPIES))
+    copies = F.col("_videos") * F.coalesce(COPIES, F.lit(1))
+    return expand_copies(df.select(*VIDEO_PAIR_COLUMNS, copies.alias(COPIES)))
 
 
 def pair_exact(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> DataFrame:
@@ -199,15 +227,14 @@ def pair_exact(videos: DataFrame, fixes: DataFrame, deployments: DataFrame) -> D
 
     Rows it does not settle have no status and empty coordinates.
     """
-    return _result(_pass_1(videos, fixes, deployments))
+    return _result(_with_fix(_rows(videos, deployments), fixes, evening=False))
 
 
 def pair_approx(
     videos: DataFrame, fixes: DataFrame, deployments: DataFrame, null_poisons: bool = True
 ) -> DataFrame:
     """Pass 2: videos pass 1 left without a status, with the evening's 21 h fix, or none."""
-    first, keys = _pass_1(videos, fixes, deployments), _pass_1_keys(videos, fixes)
-    return _result(_pass_2(first, keys, fixes, null_poisons))
+    return _result(_passes(videos, fixes, deployments, null_poisons, False).filter("_pass = 2"))
 
 
 def pair_videos(
@@ -219,17 +246,10 @@ def pair_videos(
 ) -> DataFrame:
     """Both passes in one table, with the key ``bindingcolumn`` of the output folder.
 
-    Pass 2 needs the result of pass 1. With ``staged`` that is written below the shared
-    folder and read back instead of being computed again; use it where the join is large.
+    One join of videos and fixes serves both. With ``staged`` its result is written below the shared
+    folder first; use it where executors are often lost.
     """
-    first = _pass_1(videos, fixes, deployments)
-    if staged:
-        keys = first = stage(first, "pass-1")
-    else:
-        keys = _pass_1_keys(videos, fixes)
-    second = _pass_2(first, keys, fixes, null_poisons)
-    settled = first.filter(F.col("status").isNotNull())
-    both = _result(settled.unionByName(second.drop("Hour2")))
+    both = _result(_passes(videos, fixes, deployments, null_poisons, staged))
     return both.withColumn("bindingcolumn", folder_key())
 
 

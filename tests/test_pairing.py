@@ -206,7 +206,8 @@ def test_reducing_before_the_join_equals_filtering_after_it(spark):
         F.hour("acquisitiontime").alias("Hour"),
         "acquisitiontime",
     )
-    joined = known.join(all_fixes, ["CollarID", "Date", "Hour"], "left")
+    joined = known.join(all_fixes, groups.null_safe(known, all_fixes, ["CollarID", "Date", "Hour"]), "left")
+    joined = joined.drop(*[all_fixes[c] for c in ("CollarID", "Date", "Hour")])
     after = groups.earliest_keep_ties(joined, ["AnimalID", "CollarID", "Date", "Hour"], "acquisitiontime")
     cols = ["AnimalID", "directoryname", "acquisitiontime"]
     assert rows(after, *cols) == rows(pairing.pair_exact(videos, fixes, dep), *cols)
@@ -217,11 +218,55 @@ def test_every_video_is_in_one_pass(spark):
     videos = parse_video_paths(views.video_paths(spark, sf), views.ROOT)
     fixes, dep = views.fixes(spark, sf), views.deployments(spark, sf)
     both = pairing.pair_videos(videos, fixes, dep, null_poisons=False)
-    assert both.select("directoryname").distinct().count() == videos.select("directoryname").distinct().count()
+    alone = pairing.pair_exact(videos, fixes, dep)
+    # lost are those that pass 1 left over, of an animal another collar of which it settled that second
+    settled = alone.filter("status is not null").select("AnimalID", "TimeStamp_UTC").distinct()
+    left = alone.filter("status is null")
+    lost = left.join(settled, groups.null_safe(left, settled, ["AnimalID", "TimeStamp_UTC"]), "left_semi")
+    lost = set(rows(lost, "directoryname"))
+    assert len(lost) == 16
+    assert set(rows(both, "directoryname")) == set(rows(videos, "directoryname")) - lost
     assert videos.schema.names == VIDEOS.names
 
 
-def test_missing_collar_matches_missing_collar(spark):
+def test_repeated_rows_of_videos_stay_repeated(spark, one):
+    videos, fixes, dep = one
+    once = rows(pairing.pair_videos(videos, fixes, dep), "directoryname", "status")
+    thrice = rows(pairing.pair_videos(videos.unionByName(videos).unionByName(videos), fixes, dep), "directoryname", "status")
+    assert thrice == sorted(once * 3, key=repr)
+
+
+def test_a_video_without_time_is_settled_by_a_fix_without_time(spark):
+    videos = parse_video_paths(spark.createDataFrame([("/v/B1_1/clip.mp4",), ("/v/B1_2/clip.mp4",), ("/v/B2_2/clip.mp4",)], "path string"), "/v")
+    got = rows(pairing.pair_videos(videos, _fixes(spark, [(1, None, 29.0, -111.0)]), _deployments(spark, [])), "AnimalID", "CollarID", "status")
+    assert got == [("B1", "1", "Successful"), ("B2", "2", None)]
+
+
+def test_both_passes_read_each_table_once_and_join_once(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    videos = parse_video_paths(views.video_paths(spark, sf), views.ROOT)
+    names = {}
+    for name, df in (("videos", videos), ("fixes", views.fixes(spark, sf)), ("deployments", views.deployments(spark, sf))):
+        names[name] = str(tmp_path / name)
+        df.write.parquet(names[name])
+    tables = [spark.read.parquet(p) for p in names.values()]
+
+    def planned():
+        return pairing.pair_videos(*tables)._jdf.queryExecution().executedPlan().toString()
+
+    assert planned().count("Exchange hashpartitioning") <= 10
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = planned()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # videos and fixes once, and once more only for rows without a time
+    assert plan.count("FileScan parquet") == 5
+    assert plan.count("IsNull(TimeStamp_UTC)") == 1 and plan.count("IsNull(acquisitiontime)") == 1
+    assert plan.count("Exchange hashpartitioning") <= 15
+
+
+def test_a_fix_without_collar_matches_a_video_without_one(spark):
     fixes = _fixes(spark, [(None, "2023-02-01 15:00:40", 29.0, -111.0), (1, "2023-02-01 15:00:50", 29.1, -111.1)])
     videos = parse_video_paths(
         spark.createDataFrame([("/v/B1/2023-02-01 150012.mp4",), ("/v/B2_1/2023-02-01 150012.mp4",)], "path string"),
