@@ -16,6 +16,7 @@ from collartrail.operators.filters import (
     with_phase,
 )
 from collartrail.operators.paths import MAX_VERTICES, movement_path
+from collartrail.operators.spans import BEGIN, END, join_span, with_span
 from collartrail.schemas import STUDY_END, STUDY_START
 
 LAYER_COLUMNS = [
@@ -29,6 +30,8 @@ LAYER_COLUMNS = [
     "crs",
 ]
 
+_DEPLOYMENT = ["starttestingdate", "lastfixoutsidemortclust_UTC"]
+
 
 def layer_points(df: DataFrame, layer: Column, color: Column, crs: str) -> DataFrame:
     """Point rows from (collar_id, t_, x_, y_); one per fix."""
@@ -72,14 +75,16 @@ def base_fixes(
     deployments: DataFrame,
     study_start=STUDY_START,
     study_end=STUDY_END,
+    by_span: bool = False,
 ) -> DataFrame:
     """Located fixes inside the study window with their deployments' cut-off.
 
     The filters sit below the join. The planner broadcasts deployments below its size limit;
     larger ones are shuffled. The join has a key column of its own, dropped afterwards: what
     follows then does not rest on the rows being together by collar, so AQE may split a
-    collar that has too many. A collar deployed twice has each fix once per deployment. Rows
-    are not sorted here; ``ordered`` gives the order where a result is to be looked at.
+    collar that has too many. A collar deployed twice has each fix once per deployment,
+    unless ``by_span`` asks for those deployments that ran at the fix's time. Rows are not sorted
+    here; ``ordered`` gives the order where a result is to be looked at.
     """
     kept = filter_fixes(
         fixes.filter(valid_longitude()),
@@ -87,10 +92,14 @@ def base_fixes(
         study_end=study_end,
         coordinates=False,
     )
+    if by_span:
+        spans = with_span(deployments).select("collarid", BEGIN, END, *_DEPLOYMENT)
+        keys, window = {"collar_id": "collarid"}, (study_start, study_end)
+        joined = join_span(kept, spans, keys, "acquisitiontime", *window)
+        return joined.withColumnRenamed("collar_id", "CollarID")
     dep = deployments.select(
         F.col("collarid").alias("_key"),
-        "starttestingdate",
-        "lastfixoutsidemortclust_UTC",
+        *_DEPLOYMENT,
     )
     # missing equals missing
     same = F.col("_collar").eqNullSafe(F.col("_key"))

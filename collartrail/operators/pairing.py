@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from collartrail.functions import timeutil as tu
 from collartrail.functions.nulls import id_text, if_known, is_in, paste
 from collartrail.operators.copies import COPIES, expand_copies, merge_copies
+from collartrail.operators.spans import BEGIN, END, join_span, with_span
 from collartrail.schemas import (
     MAX_COORDINATE,
     VIDEO_DEPLOYMENT_COLUMNS,
@@ -46,8 +47,24 @@ def life_phase(df: DataFrame) -> DataFrame:
     )
 
 
-def with_deployment(videos: DataFrame, deployments: DataFrame) -> DataFrame:
-    """Add the deployment of (AnimalID, CollarID), one row per match, and the life phase."""
+def with_deployment(
+    videos: DataFrame, deployments: DataFrame, by_span: bool = False, **bounds
+) -> DataFrame:
+    """Add the deployment of (AnimalID, CollarID), one row per match, and the life phase.
+
+    With ``by_span`` only deployments that ran at the video's time match; ``lower`` and ``upper``
+    bound the times looked at (see ``join_span``).
+    """
+    if by_span:
+        spans = with_span(deployments).select(
+            F.col("animalid").alias("_animal"),
+            id_text(F.col("collarid")).alias("_collar"),
+            BEGIN,
+            END,
+            *VIDEO_DEPLOYMENT_COLUMNS,
+        )
+        keys = {"AnimalID": "_animal", "CollarID": "_collar"}
+        return life_phase(join_span(videos, spans, keys, "TimeStamp_UTC", **bounds))
     dep = deployments.select(
         F.col("animalid").alias("_animal"),
         id_text(F.col("collarid")).alias("_collar"),
@@ -148,10 +165,10 @@ def _settled_untimed(videos: DataFrame, fixes: DataFrame) -> DataFrame:
     return settled.select(F.struct("AnimalID").alias("_animal"), F.lit(True).alias("_blocked")).distinct()
 
 
-def _rows(videos: DataFrame, deployments: DataFrame) -> DataFrame:
+def _rows(videos: DataFrame, deployments: DataFrame, by_span: bool = False) -> DataFrame:
     """Videos with deployment and date, equal ones merged and counted, and whether they look at 21 h."""
     merged = merge_copies(videos.select(*VIDEOS.names)).withColumnRenamed(COPIES, "_videos")
-    rows = with_date(with_deployment(merged, deployments))
+    rows = with_date(with_deployment(merged, deployments, by_span))
     late = tu.approx_hour(F.col("Hour"), F.col("Minute"))
     return rows.withColumn("_evening", is_in(late, [EVENING_HOUR]))
 
@@ -186,7 +203,12 @@ def _spread(apart: Column) -> Column:
 
 
 def _passes(
-    videos: DataFrame, fixes: DataFrame, deployments: DataFrame, null_poisons: bool, staged: bool
+    videos: DataFrame,
+    fixes: DataFrame,
+    deployments: DataFrame,
+    null_poisons: bool,
+    staged: bool = False,
+    by_span: bool = False,
 ) -> DataFrame:
     """Rows of both passes, told apart by ``_pass``; pass 2 has what pass 1 did not settle.
 
@@ -194,7 +216,7 @@ def _passes(
     the joined rows. Only rows that can tell each other something meet there.
     """
     untimed = F.when(F.col("TimeStamp_UTC").isNull(), F.struct("AnimalID"))
-    rows = _rows(videos, deployments).join(
+    rows = _rows(videos, deployments, by_span).join(
         _settled_untimed(videos, fixes), untimed == F.col("_animal"), "left"
     )
     joined = _with_fix(rows.drop("_animal"), fixes, evening=True)
@@ -234,7 +256,7 @@ def pair_approx(
     videos: DataFrame, fixes: DataFrame, deployments: DataFrame, null_poisons: bool = True
 ) -> DataFrame:
     """Pass 2: videos pass 1 left without a status, with the evening's 21 h fix, or none."""
-    return _result(_passes(videos, fixes, deployments, null_poisons, False).filter("_pass = 2"))
+    return _result(_passes(videos, fixes, deployments, null_poisons).filter("_pass = 2"))
 
 
 def pair_videos(
@@ -243,13 +265,15 @@ def pair_videos(
     deployments: DataFrame,
     null_poisons: bool = True,
     staged: bool = False,
+    by_span: bool = False,
 ) -> DataFrame:
     """Both passes in one table, with the key ``bindingcolumn`` of the output folder.
 
     One join of videos and fixes serves both. With ``staged`` its result is written below the shared
-    folder first; use it where executors are often lost.
+    folder first; use it where executors are often lost. ``by_span`` joins a video only to deployments that
+    ran at its time.
     """
-    both = _result(_passes(videos, fixes, deployments, null_poisons, staged))
+    both = _result(_passes(videos, fixes, deployments, null_poisons, staged, by_span))
     return both.withColumn("bindingcolumn", folder_key())
 
 

@@ -39,6 +39,7 @@ def organise(
     study_start=STUDY_START,
     study_end=STUDY_END,
     max_vertices: int = MAX_VERTICES,
+    by_span: bool = False,
 ) -> DataFrame:
     """Write the map layers below ``out`` and return them; with ``video``, pair the videos.
 
@@ -46,20 +47,21 @@ def organise(
     scheme of a store (``mounted`` says otherwise), or from ``videos``, a parsed listing. Base
     fixes are written once to ``out``. A path of more than ``max_vertices`` continues in rows.
     Pairs are written once to ``out``; the CSV (``save_metadata``), the layers and the copies
-    into group folders (``subdivide``) read that table.
+    into group folders (``subdivide``) read that table. ``by_span`` joins fixes and videos of a collar
+    used again only to the deployment that ran at their time.
     """
     if subdivide and not video:
         raise ValueError("subdivide copies paired videos: it needs video=True")
     if video and video_root is None and (videos is None or subdivide):
         raise ValueError("video_root is needed to list or copy videos")
     dep = fill_cutoff(known_animals(deployments), as_of)
-    made = base_fixes(fixes, dep, study_start, study_end)
+    made = base_fixes(fixes, dep, study_start, study_end, by_span)
     made.write.mode("overwrite").parquet(f"{out}/base")
     base = spark.read.schema(made.schema).parquet(f"{out}/base")
     shown = None
     if video:
         listed = videos if videos is not None else list_videos(spark, video_root, mounted)
-        made = pair_videos(listed, fixes, dep, staged=True)
+        made = pair_videos(listed, fixes, dep, staged=True, by_span=by_span)
         made.write.mode("overwrite").parquet(f"{out}/pairs")
         pairs = spark.read.schema(made.schema).parquet(f"{out}/pairs")
         shown = mappable_videos(pairs, study_start, in_order=False)

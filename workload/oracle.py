@@ -112,6 +112,22 @@ _CTES: dict[str, str] = {
     "dep": f"""
         select * replace (coalesce("{_CUT}", (date '{views.AS_OF}' + 1)::timestamp) as "{_CUT}")
         from deployments""",
+    "removals": """
+        select * replace (
+            case when sex <> 'FURNITURE' then starttestingdate end as starttestingdate,
+            case sex when 'BUILDING' then starttestingdate + 4 + interval 690 minute
+                     when 'MACHINERY' then starttestingdate + 14 + interval 690 minute
+            end as "beginremoved_UTC")
+        from dep""",
+    "begins": """
+        select collarid as c, starttestingdate as b,
+               lead(starttestingdate) over (partition by collarid order by starttestingdate nulls first) as nxt
+        from (select distinct collarid, starttestingdate from removals)""",
+    "spans": """
+        select d.*, d.starttestingdate::timestamp as span_begin,
+               coalesce(d."beginremoved_UTC", nxt::timestamp) as span_end
+        from removals d left join begins
+            on d.collarid is not distinct from c and d.starttestingdate is not distinct from b""",
     **_runs(ZETA),
     "flagged": _flagged("runs", True, ETA, THETA),
     "each_flagged": "select *, unnest(range(copies::bigint)) as copy_no from flagged",
@@ -156,6 +172,13 @@ _CTES: dict[str, str] = {
                case when acquisitiontime <= "{_CUT}" then 'pre'
                     when acquisitiontime > "{_CUT}" then 'post' end as phase
         from base""",
+    "base_by_span": f"""
+        select f.collar_id as "CollarID", f.* exclude (collar_id), d.starttestingdate, d."{_CUT}"
+        from fixes f left join spans d on f.collar_id is not distinct from d.collarid
+             and (span_begin is null or acquisitiontime >= span_begin)
+             and (span_end is null or acquisitiontime < span_end)
+        where longitude <= 5000 and acquisitiontime >= timestamp '{views.STUDY_START}'
+          and acquisitiontime < timestamp '{views.STUDY_END}'""",
     "named": f"""
         select path, regexp_split_to_array(split_part(path, '/', 3), '[^A-Za-z0-9]+') as folder,
                regexp_split_to_array(split_part(path, '/', 4), '[^A-Za-z0-9]+') as name
@@ -289,6 +312,16 @@ _LISTING = f"""
     from video_paths"""
 
 _SELECTS: dict[str, str] = {
+    "base_fixes_by_span": "select * from base_by_span",
+    "life_phase_by_span": f"""
+        select v.AnimalID as "AnimalID", v.CollarID as "CollarID", TimeStamp_UTC as "TimeStamp_UTC",
+               directoryname, d.sex, d.starttestingdate, {_flags()}
+        from vid v left join spans d on v.AnimalID is not distinct from d.animalid
+             and v.CollarID is not distinct from d.collarid::varchar
+             and (span_begin is null or TimeStamp_UTC >= span_begin)
+             and (span_end is null or TimeStamp_UTC < span_end)
+             and TimeStamp_UTC >= timestamp '{views.STUDY_START}'
+             and TimeStamp_UTC < timestamp '{views.STUDY_END}'""",
     "select_collars": "select * from fixes where collar_id in (select collarid from deployments)",
     "fixes_window": f"""
         select * from fixes

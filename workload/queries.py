@@ -298,6 +298,22 @@ def base_fixes(spark, d):
     return _base(spark, d)
 
 
+@query
+def base_fixes_by_span(spark, d):
+    """Fixes with the deployment of their collar that was running, if one was."""
+    return layers.base_fixes(views.fixes(spark, d), _removed(spark, d), by_span=True, **STUDY)
+
+
+def _removed(spark: SparkSession, d: str) -> DataFrame:
+    """Deployments of which some were removed, before or after the collar's next one began."""
+    days = F.when(F.col("sex") == "BUILDING", 4).when(F.col("sex") == "MACHINERY", 14)
+    removed = F.date_add("starttestingdate", days).cast("timestamp_ntz") + tu.hours(11.5)
+    begin = F.when(F.col("sex") != "FURNITURE", F.col("starttestingdate"))
+    return _deployments(spark, d).withColumns(
+        {"beginremoved_UTC": removed, "starttestingdate": begin}
+    )
+
+
 @query
 def base_fixes_ordered(spark, d):
     return layers.ordered(_base(spark, d)).select("CollarID", "acquisitiontime", "longitude")
@@ -333,6 +349,17 @@ def life_phase(spark, d):
     )
 
 
+@query
+def life_phase_by_span(spark, d):
+    """The same with the deployment that was running at the video's time."""
+    study = {"lower": views.STUDY_START, "upper": views.STUDY_END}
+    known = pairing.with_deployment(_videos(spark, d), _removed(spark, d), by_span=True, **study)
+    return known.select(
+        "AnimalID", "CollarID", "TimeStamp_UTC", "directoryname", "sex", "starttestingdate",
+        "livevideoprerelease", "livevideopostrelease", "mortvideo",
+    )
+
+
 @query
 def earliest_fixes(spark, d):
     """The fix each (collar, date, hour) is paired with, ties kept."""
