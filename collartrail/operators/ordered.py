@@ -1,51 +1,115 @@
 """Order-dependent work on tracks, with no group too long for a task.
 
-Copies of a fix are merged, partially before the shuffle. A track is cut into calendar days, and fixes
-are windowed within (group, day); a summary of one row per day is windowed over the group, which says
-what each day inherits from those before it; and the two are joined on (group, day), for which the
-fixes need no further shuffle. So a task sorts a day of a collar, never a collar, and every track goes
-the same way whatever its length.
-
-Rows of the results carry ``copies``, the number of identical fixes a row stands for.
+Copies of a fix are merged, partially before the shuffle. Tracks are then cut into slices by one range
+shuffle over group, time and position, so slices are alike in size however the fixes are spread over
+collars, days or seconds: a crowded collar, or one day of it, is many slices. A task scans its slice in
+order and notes what can be said without the fixes before it. A slice and group together have one
+summary row; windows over those say what each slice inherits; and that is joined back.
+
+Scanned slices are written to the shared folder: where a slice ends must be the same for fixes and
+summaries. Rows of the results carry ``copies``, the number of identical fixes a row stands for.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from collartrail.functions.geo import distance
-from collartrail.functions.timeutil import whole_seconds
 from collartrail.operators.copies import COPIES
+from collartrail.session import stage
 
 SEGMENT = "_segment"
 XYT = ["t_", "x_", "y_"]
-_DAY_SECONDS = 86_400
 _BY = ("collar_id",)
 
+_SCANNED = {
+    SEGMENT: T.IntegerType(),
+    "_first": T.BooleanType(),  # of its group in the slice
+    "step": T.DoubleType(),
+    "_before": T.LongType(),  # fixes of the group and slice before
+    "_moved": T.BooleanType(),
+    "_moves": T.LongType(),  # moves of the group and slice up to here
+    # of the run as far as the slice has it
+    "_in_fixes": T.LongType(),
+    "_in_begin": T.TimestampNTZType(),
+    "_in_end": T.TimestampNTZType(),
+}
+
 
-def _slices(track: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per distinct fix, with its day and its number of copies.
+def _merged(track: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per distinct fix with its number of copies.
 
     Rows that lack a time or a group key belong to no group.
     """
     n = F.col(COPIES) if COPIES in track.columns else F.lit(1).cast("bigint")
     placed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*by, "t_"]])
-    day = F.floor(whole_seconds(F.col("t_")) / _DAY_SECONDS)
-    return (
-        track.filter(placed)
-        .groupBy(*by, day.alias(SEGMENT), *XYT)
-        .agg(F.sum(n).alias(COPIES))
-        # said here, the join on it adds no filter of its own to one side: both read one shuffle
-        .filter(F.col(SEGMENT).isNotNull())
-    )
+    return track.filter(placed).groupBy(*by, *XYT).agg(F.sum(n).alias(COPIES))
 
 
-def _in_order(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*XYT)
+def _scanned(track: DataFrame, by: Sequence[str], zeta: float = float("inf")) -> DataFrame:
+    """Distinct fixes with slice and what the slice says about each; see ``_SCANNED``."""
+    merged = _merged(track, by)
+    kinds = {f.name: f.dataType for f in merged.schema.fields} | _SCANNED
+    schema = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+    by = list(by)
+
+    def run(batches):
+        whole = [b for b in batches if b.num_rows]
+        if whole:
+            table = pa.Table.from_batches(whole)
+            yield from _scan(table, by, zeta, TaskContext.get().partitionId()).to_batches()
+
+    ranged = merged.repartitionByRange(*by, *XYT).sortWithinPartitions(*by, *XYT)
+    return stage(ranged.mapInArrow(run, schema), "slices")
+
+
+def _changes(column: pa.ChunkedArray) -> np.ndarray:
+    """Whether each value but the first differs from the one before; there are no missing ones."""
+    values = column.combine_chunks()
+    return pc.not_equal(values[1:], values[:-1]).to_numpy(zero_copy_only=False)
+
+
+def _scan(table: pa.Table, by: list[str], zeta: float, segment: int) -> pa.Table:
+    """A sorted slice with the columns of ``_SCANNED``."""
+    n = table.num_rows
+    first = np.ones(n, bool)
+    first[1:] = reduce(np.logical_or, [_changes(table.column(c)) for c in by])
+    x, y = (table.column(c).to_numpy().astype(float) for c in ("x_", "y_"))
+    dx, dy = np.diff(x, prepend=np.nan), np.diff(y, prepend=np.nan)
+    step = np.sqrt(dx * dx + dy * dy)
+    step[first] = np.nan
+    moved = step > zeta
+    copies = table.column(COPIES).to_numpy()
+    group = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    total, moves = np.cumsum(copies), np.cumsum(moved)
+    before = total - copies
+    starts = np.flatnonzero(first | moved)
+    lengths = np.diff(starts, append=n)
+    t = table.column("t_").combine_chunks()
+    made = {
+        SEGMENT: pa.array(np.full(n, segment, np.int32)),
+        "_first": pa.array(first),
+        "step": pa.array(step, mask=np.isnan(step)),
+        "_before": pa.array(before - before[group]),
+        "_moved": pa.array(moved),
+        "_moves": pa.array((moves - moves[group]).astype(np.int64)),
+        "_in_fixes": pa.array(np.repeat(np.add.reduceat(copies, starts), lengths)),
+        "_in_begin": t.take(pa.array(np.repeat(starts, lengths))),
+        "_in_end": t.take(pa.array(np.repeat(starts + lengths - 1, lengths))),
+    }
+    for name, column in made.items():
+        table = table.append_column(name, column)
+    return table
 
 
 def _over_segments(by: Sequence[str]):
@@ -71,8 +135,7 @@ def _zero(col: Column) -> Column:
 def with_position(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
     """Fixes with ``start``, the number of fixes of their group before them."""
     by = list(by)
-    inner = _zero(F.sum(COPIES).over(_before(_in_order([*by, SEGMENT]))))
-    rows = _slices(track, by).withColumn("_inner", inner)
+    rows = _scanned(track, by)
     carried = (
         rows.groupBy(*by, SEGMENT)
         .agg(F.sum(COPIES).alias("_n"))
@@ -81,7 +144,7 @@ def with_position(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
     )
     return (
         rows.join(carried, [*by, SEGMENT])
-        .withColumn("start", F.col("_offset") + F.col("_inner"))
+        .withColumn("start", F.col("_offset") + F.col("_before"))
         .select(*by, *XYT, COPIES, "start")
     )
 
@@ -89,16 +152,6 @@ def with_position(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
 # --- steps ------------------------------------------------------------------------------
 
 
-def _with_inner_step(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``step`` from the row before and ``_first`` where there is none."""
-    w = _in_order(keys)
-    before = rows.withColumns({f"_p{c}": F.lag(c).over(w) for c in XYT})
-    step = distance(F.col("_px_"), F.col("_py_"), F.col("x_"), F.col("y_"))
-    return before.withColumns({"_first": F.col("_pt_").isNull(), "step": step}).drop(
-        *[f"_p{c}" for c in XYT]
-    )
-
-
 def _ends() -> list[Column]:
     vertex = F.struct(*XYT)
     return [F.min(vertex).alias("_head"), F.max(vertex).alias("_tail")]
@@ -118,7 +171,7 @@ def with_step(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
     Of a row that stands for several fixes, the further ones have step 0.
     """
     by = list(by)
-    rows = _with_inner_step(_slices(track, by), [*by, SEGMENT])
+    rows = _scanned(track, by)
     carried = _with_entry_step(rows.groupBy(*by, SEGMENT).agg(*_ends()), by).select(
         *by, SEGMENT, "_entry_step"
     )
@@ -135,48 +188,25 @@ def with_step(track: DataFrame, by: Sequence[str] = _BY) -> DataFrame:
 _RUN_COLUMNS = ["step", "run", "anchor", "is_last_run", "run_fixes", "run_begin", "run_end"]
 
 
-def with_runs(
-    track: DataFrame, zeta: float, by: Sequence[str] = _BY, last_only: bool = False
-) -> DataFrame:
+def with_runs(track: DataFrame, zeta: float, by: Sequence[str] = _BY) -> DataFrame:
     """Fixes with the non-movement run they belong to.
 
     A run is an anchor fix and all following fixes at most ``zeta`` from the fix before.
     Adds ``step``, ``run`` (1, 2, ... per group), ``anchor``, ``is_last_run`` and the run's
-    ``run_fixes``, ``run_begin``, ``run_end``. With ``last_only``, those three need hold only
-    for the last run of a group, which saves a sort.
+    ``run_fixes``, ``run_begin``, ``run_end``.
     """
     if zeta < 0:
         raise ValueError("zeta must not be negative")
     zeta, by = float(zeta), list(by)
     keys = [*by, SEGMENT]
-    rows = _slices(track, by)
-    w = _in_order(keys)
-    rows = (
-        _with_inner_step(rows, keys)
-        .withColumn("_moved", ~F.col("_first") & (F.col("step") > zeta))
-        .withColumns(
-            {
-                "_moves": F.sum(F.col("_moved").cast("bigint")).over(_upto(w)),
-                "_before": _zero(F.sum(COPIES).over(_before(w))),
-            }
-        )
-    )
+    rows = _scanned(track, by, zeta)
     rows = rows.join(_run_carry(rows, zeta, by), keys)
     head_run, tail_run = F.col("_moves") == 0, F.col("_moves") == F.col("_inner_moves")
-    inside = {name: F.lit(None) for name in ("fixes", "begin", "end")}
-    if not last_only:
-        # runs that touch no border of their slice; the last run always does
-        inside_run = Window.partitionBy(*keys, "_moves")
-        inside = {
-            "fixes": F.sum(COPIES).over(inside_run),
-            "begin": F.min("t_").over(inside_run),
-            "end": F.max("t_").over(inside_run),
-        }
     totals = {
         f"run_{name}": F.when(head_run, F.col(f"_head_run.{name}"))
         .when(tail_run, F.col(f"_tail_run.{name}"))
-        .otherwise(value)
-        for name, value in inside.items()
+        .otherwise(F.col(f"_in_{name}"))
+        for name in ("fixes", "begin", "end")
     }
     return rows.withColumns(
         {
@@ -242,3 +272,7 @@ def _run_carry(rows: DataFrame, zeta: float, by: list[str]) -> DataFrame:
         F.max(F.when(F.col("part.run") == F.col("_head_no"), F.col("total"))).alias("_head_run"),
         F.max(F.when(F.col("part.run") == F.col("_tail_no"), F.col("total"))).alias("_tail_run"),
     )
+
+
+# task functions travel with the job: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

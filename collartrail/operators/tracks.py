@@ -76,7 +76,7 @@ def flag_defunct_clusters(
     """
     if scope not in ("terminal", "all"):
         raise ValueError(f"scope must be 'terminal' or 'all', not {scope!r}")
-    runs = with_runs(track, zeta, last_only=scope == "terminal")
+    runs = with_runs(track, zeta)
     cluster = (F.col("run_fixes") - 1 >= eta) & (
         F.col("run_end") - F.col("run_begin") >= hours(theta_hours)
     )

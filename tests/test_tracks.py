@@ -171,24 +171,6 @@ def test_copies_of_the_anchor_follow_it(spark):
         assert got == [(0, False), (0, True), (0, True), (7, True)]
 
 
-def test_days_share_one_shuffle_with_their_summary(spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = spark.createDataFrame(
-            random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
-        )
-        plan = tracks.flag_defunct_clusters(df, 5, 2, 6)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    lines = [line for line in plan.splitlines() if "_segment" in line]
-    shuffles = [line for line in lines if "Exchange hashpartitioning(collar_id" in line]
-    # days, used twice; the summary on its way back
-    assert sum("ReusedExchange" in line for line in shuffles) == 1
-    assert len(shuffles) == 3
-
-
 def test_reductions_start_before_the_shuffle(spark):
     df = spark.createDataFrame(
         random_fixes(1), "collar_id bigint, t_ timestamp_ntz, x_ double, y_ double"
