@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -29,6 +30,21 @@ def by_bytes(
             yield batch.slice(start)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` with the worker's unused memory given back when it ends: workers outlive their tasks."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return wrapped
+
+
 def per_worker(key: tuple, make: Callable[[], object]):
     """What ``make`` returns, made once in a Python worker and shared by all tasks it runs.
 

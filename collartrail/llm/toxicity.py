@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from collartrail.llm.arrow import by_bytes
+from collartrail.llm.arrow import by_bytes, tidy
 from collartrail.llm.samples import labelled_sample
 from collartrail.llm.shingles import mix
 from collartrail.llm.text import id_and_text
@@ -63,34 +63,49 @@ def ratio_test(with_a: np.ndarray, n_a: int, with_b: np.ndarray, n_b: int) -> np
 
 
 def fit_ordinal(
-    x: np.ndarray, grade: np.ndarray, times: np.ndarray, grades: int
+    cells: tuple[np.ndarray, np.ndarray, np.ndarray],
+    width: int,
+    grade: np.ndarray,
+    times: np.ndarray,
+    grades: int,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Shared weights and ordered thresholds of most likelihood, each row counted ``times``.
 
-    Steps of Adam over all rows. Each threshold is the one before plus an exponential, so order holds.
+    ``cells`` are rows, columns and values of a sparse matrix of ``width`` columns. Steps of Adam over
+    all rows. Each threshold is the one before plus an exponential, so order holds.
     """
-    w, first, gaps = np.zeros(x.shape[1]), np.array([1.0]), np.zeros(grades - 2)
+    w, first, gaps = np.zeros(width), np.array([1.0]), np.zeros(grades - 2)
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, first, gaps)]
-    total = times.sum()
     for step in range(1, STEPS + 1):
-        thresholds = first[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        above = 1 / (1 + np.exp(np.clip(thresholds[None, :] - (x @ w)[:, None], -30, 30)))
-        bounds = np.hstack([np.ones((len(x), 1)), above, np.zeros((len(x), 1))])
-        rows = np.arange(len(x))
-        low, high = bounds[rows, grade], bounds[rows, grade + 1]
-        width = np.maximum(low - high, 1e-9)
-        by_score = times * (low + high - 1) / total
-        by_threshold = np.zeros(grades + 1)
-        np.add.at(by_threshold, grade, times * low * (1 - low) / width / total)
-        np.add.at(by_threshold, grade + 1, -times * high * (1 - high) / width / total)
-        inner = by_threshold[1:-1]
-        later = np.cumsum(inner[::-1])[::-1]
-        gradients = (x.T @ by_score + PENALTY * w, later[:1], later[1:] * np.exp(gaps))
+        _, *gradients = loss_and_gradients(cells, grade, times, w, first, gaps)
         for p, g, (mean, square) in zip((w, first, gaps), gradients, state, strict=True):
             mean += 0.1 * (g - mean)
             square += 0.001 * (g * g - square)
             p -= 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-12)
-    return w, first[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+    return w, thresholds_of(first, gaps)
+
+
+def thresholds_of(first: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    return first[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
+
+
+def loss_and_gradients(cells, grade, times, w, first, gaps):
+    """Mean negative log likelihood of the grades with the penalty, and its gradients."""
+    row, column, value = cells
+    n, grades = len(grade), len(gaps) + 2
+    score = np.bincount(row, w[column] * value, n)
+    above = 1 / (1 + np.exp(np.clip(thresholds_of(first, gaps)[None, :] - score[:, None], -30, 30)))
+    bounds = np.hstack([np.ones((n, 1)), above, np.zeros((n, 1))])
+    low, high = bounds[np.arange(n), grade], bounds[np.arange(n), grade + 1]
+    p, total = np.maximum(low - high, 1e-9), times.sum()
+    loss = -(times * np.log(p)).sum() / total + PENALTY / 2 * (w * w).sum()
+    by_score = times * (low + high - 1) / total
+    by_threshold = np.bincount(grade, times * low * (1 - low) / p / total, grades + 1)
+    by_threshold += np.bincount(grade + 1, -times * high * (1 - high) / p / total, grades + 1)
+    inner = by_threshold[1:-1]
+    later = np.cumsum(inner[::-1])[::-1]
+    by_weight = np.bincount(column, by_score[row] * value, len(w)) + PENALTY * w
+    return loss, by_weight, later[:1], later[1:] * np.exp(gaps)
 
 
 def one_of_copies(documents: list[np.ndarray]) -> list[int]:
@@ -116,36 +131,42 @@ def fit(
         return np.zeros(0, np.int64), np.zeros(0), np.arange(2.0, grades + 1.0)
     of_toxic = [documents[k] for k in np.flatnonzero(toxic)]
     of_toxic = [of_toxic[k] for k in one_of_copies(of_toxic)]
-    counts = np.zeros((2, 1 << FEATURE_BITS), np.int32)
-    for mark, group in ((1, of_toxic), (0, [documents[k] for k in np.flatnonzero(toxic == 0)])):
-        for ids in group:
-            counts[mark, np.unique(ids)] += 1
-    found = ratio_test(counts[1].astype(float), len(of_toxic), counts[0].astype(float), n[0])
-    use = np.sort(np.argsort(-found, kind="stable")[: min(MOST_FEATURES, int((found >= MIN_RATIO_TEST).sum()))])
+    # only features of toxic documents can tell them from others
+    known, with_toxic = np.unique(np.concatenate([np.unique(ids) for ids in of_toxic]), return_counts=True)
+    with_clean = np.zeros(len(known), np.int64)
+    for k in np.flatnonzero(toxic == 0):
+        with_clean[places_in(known, np.unique(documents[k]))] += 1
+    found = ratio_test(with_toxic.astype(float), len(of_toxic), with_clean.astype(float), n[0])
+    most = min(MOST_FEATURES, int((found >= MIN_RATIO_TEST).sum()))
+    use = known[np.sort(np.argsort(-found, kind="stable")[:most])]
     rows = _counted(documents, use)
     hits = np.array([x.sum() for _, x in rows])
     cuts = np.quantile(hits[toxic == 1], np.arange(1, grades - 1) / (grades - 1))
     grade = np.where(toxic == 1, 1 + (hits[:, None] > cuts[None, :]).sum(axis=1), 0)
     # rows without features are alike but for the grade
     told = np.flatnonzero(hits)
-    x = np.zeros((len(told) + grades, len(use)))
-    for k, d in enumerate(told):
-        x[k, rows[d][0]] = rows[d][1]
+    cells = (
+        np.repeat(np.arange(len(told)), [len(rows[d][0]) for d in told]),
+        np.concatenate([rows[d][0] for d in told] or [np.zeros(0, np.int64)]),
+        np.concatenate([rows[d][1] for d in told] or [np.zeros(0, np.int64)]).astype(float),
+    )
     rest = np.bincount(grade[hits == 0], minlength=grades)
     times = np.concatenate([np.ones(len(told)), rest])
-    weights, thresholds = fit_ordinal(x, np.concatenate([grade[told], np.arange(grades)]), times, grades)
-    return use, weights, thresholds
+    told_and_rest = np.concatenate([grade[told], np.arange(grades)])
+    weights, thresholds = fit_ordinal(cells, len(use), told_and_rest, times, grades)
+    return use.astype(np.int64), weights, thresholds
+
+
+def places_in(known: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Places in the ascending ``known`` of those ``values`` that are in it."""
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return at[known[at] == values] if len(known) else at[:0]
 
 
 def _counted(documents: list[np.ndarray], use: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Places in ``use`` of each document's features, and how many of its words have them."""
-    place = np.full(1 << FEATURE_BITS, -1, np.int32)
-    place[use] = np.arange(len(use))
-    rows = []
-    for ids in documents:
-        at = place[ids]
-        rows.append(np.unique(at[at >= 0], return_counts=True))
-    return rows
+    return [np.unique(places_in(use, ids), return_counts=True) for ids in documents]
 
 
 def fit_on(sample: DataFrame) -> tuple[dict[int, float], list[float]]:
@@ -183,9 +204,9 @@ def fit_on(sample: DataFrame) -> tuple[dict[int, float], list[float]]:
             names=["at", "value"],
         )
 
-    rows = sample.mapInArrow(hashed, "doc_id long, label int, ids array<int>")
+    rows = sample.mapInArrow(tidy(hashed), "doc_id long, label int, ids array<int>")
     one = rows.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("ids"))
-    found = one.mapInArrow(run, "at long, value double").collect()  # at most 2 ** FEATURE_BITS
+    found = one.mapInArrow(tidy(run), "at long, value double").collect()  # at most 2 ** FEATURE_BITS
     thresholds = [r.value for r in sorted(found, key=lambda r: -r.at) if r.at < 0]
     return {r.at: r.value for r in found if r.at >= 0}, thresholds or [2.0]
 
@@ -236,7 +257,7 @@ def score_toxicity(
             yield pa.RecordBatch.from_arrays([batch.column("doc"), found], names=["doc", "found"])
 
     found = T.StructType.fromDDL("found struct<severity: double, p_toxic: double, toxic: int>")
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc"], *found.fields]))
+    return rows.mapInArrow(tidy(run), T.StructType([rows.schema["doc"], *found.fields]))
 
 
 def toxicity(

@@ -99,7 +99,7 @@ def test_ordinal_thresholds_are_ordered_and_severity_grows():
     rng = np.random.default_rng(5)
     x = rng.integers(0, 5, (400, 1)).astype(float)
     grade = np.clip(x[:, 0].astype(int) - 1, 0, 3)
-    weights, thresholds = toxicity.fit_ordinal(x, grade, np.ones(400), 4)
+    weights, thresholds = toxicity.fit_ordinal(cells_of(x), x.shape[1], grade, np.ones(400), 4)
     assert weights[0] > 0 and (np.diff(thresholds) > 0).all()
 
 
@@ -201,3 +201,48 @@ def test_hot_contexts_are_counted_over_all_rows(spark):
     assert pitman_yor.WordHashes().of([b"late"])[0] & pitman_yor.HASH_BITS in found
     assert len(found) == 1
     assert not len(pitman_yor._hot_contexts(docs_of(spark, []), 8))
+
+
+def cells_of(x):
+    row, column = np.nonzero(x)
+    return row, column, x[row, column].astype(float)
+
+
+def test_ordinal_gradients_and_probabilities_are_those_of_the_model():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 3, (60, 7)) * (rng.random((60, 7)) < 0.4)
+    grade, times = rng.integers(0, 4, 60), rng.integers(1, 5, 60).astype(float)
+    w, first, gaps = rng.normal(size=7), rng.normal(size=1), rng.normal(size=2)
+
+    def brute():
+        cuts = [first[0], first[0] + np.exp(gaps[0]), first[0] + np.exp(gaps[0]) + np.exp(gaps[1])]
+        total = 0.0
+        for row, g, n in zip(x, grade, times):
+            at_least = [1.0, *[1 / (1 + np.exp(c - row @ w)) for c in cuts], 0.0]
+            total -= n * np.log(at_least[g] - at_least[g + 1])
+        return total / times.sum() + toxicity.PENALTY / 2 * (w @ w)
+
+    loss, *found = toxicity.loss_and_gradients(cells_of(x), grade, times, w, first, gaps)
+    assert abs(loss - brute()) < 1e-9
+    for value, gradient in zip((w, first, gaps), found):
+        for k in range(len(value)):
+            value[k] += 1e-6
+            high = brute()
+            value[k] -= 2e-6
+            assert abs((high - brute()) / 2e-6 - gradient[k]) < 1e-6
+            value[k] += 1e-6
+
+
+def test_severity_is_the_expected_grade(spark):
+    from helpers import docs_of
+
+    texts = ["grim words here", "nice day", "", None, "grim grim foul"]
+    weights = {f: 1.5 for f in toxicity.features_of("grim")} | {f: -0.5 for f in toxicity.features_of("nice")}
+    cuts = [0.5, 1.0, 3.0]
+    found = toxicity.score_toxicity(docs_of(spark, list(enumerate(texts))), weights, cuts)
+    for r in found.select("doc.doc_id", "doc.text", "found.*").collect():
+        score = sum(weights.get(f, 0.0) for w in set((r.text or "").split()) for f in toxicity.features_of(w))
+        at_least = [1 / (1 + np.exp(c - score)) for c in cuts]
+        steps = [1.0, *at_least, 0.0]
+        assert abs(r.severity - sum(g * (steps[g] - steps[g + 1]) for g in range(4))) < 1e-9
+        assert abs(r.p_toxic - at_least[0]) < 1e-9 and r.toxic == (at_least[0] >= 0.5)

@@ -125,6 +125,28 @@ def test_long_texts_are_cut_where_nothing_matches_across(monkeypatch):
         assert ids == encoder.encode_ordinary(text)
 
 
+BLANKS = [" ", "\n", "\t", "\xa0", "\u3000", "\r\n", " \n"]
+
+
+@pytest.mark.parametrize("blank", BLANKS)
+@pytest.mark.parametrize("before,after", [("", ""), ("word", ""), ("", "word"), ("a", "b c"), ("a", "1"), ("a", "\x1c!"), ("a", "'s")])
+def test_runs_of_blanks_are_matched_as_by_the_pattern(monkeypatch, blank, before, after):
+    encoder = library_encoder()
+    monkeypatch.setattr(byte_bpe, "LONG_BLANKS", 3)
+    for n in (1, 2, 3, 4, 5, 40):
+        text = before + blank * n + after + blank * n + before
+        assert byte_bpe.encode(encoder, text) == encoder.encode_ordinary(text)
+    for text in TEXTS:
+        assert byte_bpe.encode(encoder, text) == encoder.encode_ordinary(text)
+
+
+def test_three_million_blanks(spark):
+    texts = [a + blank * 3_000_000 + b for blank in (" ", "\n", "\t", "\xa0") for a, b in (("", ""), ("before", "behind"))]
+    found = byte_bpe.round_trip(docs_of(spark, list(enumerate(texts))), RANKS, public_tokenizers.PATTERN)
+    got = {r.doc_id: r.decoded_sha256 for r in found.collect()}
+    assert got == {k: hashlib.sha256(t.encode()).hexdigest() for k, t in enumerate(texts)}
+
+
 def test_byte_bpe(spark):
     encoder = library_encoder()
     docs = docs_of(spark, AWKWARD)
