@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from collartrail.functions.timeutil import at, parse_iso
-from collartrail.operators.copies import COPIES, merge_copies
+from collartrail.operators.copies import COPIES
 from collartrail.operators.filters import select_collars
 from collartrail.schemas import FETCH_START, FIXES
-from collartrail.session import stage
+from collartrail.sources.archive import DAY, is_archive, land, read_archive
 from collartrail.sources.common import load, to_schema
 
-#: Partition column of a landed table.
-DAY = "acquisition_date"
-
 
 def read_fixes(
     spark: SparkSession, path: str, fmt: str = "parquet", start: str = FETCH_START, end=None
@@ -27,7 +24,11 @@ def read_fixes(
     ``land_fixes`` the bounds also select the day folders; Spark does not skip row groups
     by a zoneless time alone. A ``copies`` column is kept.
     """
-    df = load(spark, path, fmt, [*FIXES.names, "idcollar"])
+    if fmt == "parquet" and is_archive(spark, path):
+        # only folders of days within the bounds are opened
+        df = read_archive(spark, path, F.to_date(at(start)), F.to_date(at(end)) if end is not None else None)
+    else:
+        df = load(spark, path, fmt, [*FIXES.names, "idcollar"])
     if "idcollar" in df.columns:
         named = [F.col(c) for c in ("collar_id", "idcollar") if c in df.columns]
         df = df.withColumn("collar_id", F.coalesce(*named))
@@ -40,35 +41,15 @@ def read_fixes(
     return fixes.filter(F.col("acquisitiontime") < at(end)) if end is not None else fixes
 
 
-def land_fixes(fixes: DataFrame, out: str) -> None:
+def land_fixes(fixes: DataFrame, out: str, batch: str | None = None) -> bool:
     """Add downloaded fixes to an archive by day, each distinct one once with its ``copies``.
 
-    Only the days downloaded are written again, with the copies of what lies there added up.
-    Overlapping downloads thus cost nothing later on: operators that merge copies take such
-    a table as it is. A day's size decides its number of files.
+    A batch counts once, however often it is landed: by its name, or without one by its content. Only
+    the days downloaded are written again, as a version that readers see when the landing is complete.
+    Overlapping downloads cost nothing later on: operators that merge copies take such a table as it is.
+    Returns whether there was something to land.
     """
-    spark = fixes.sparkSession
-    new = merge_copies(fixes).withColumn(DAY, F.to_date("acquisitiontime"))
-    if _exists(spark, out):
-        days = new.select(F.col(DAY).alias("_day")).distinct()
-        lies = spark.read.parquet(out)
-        old = lies.join(days, lies[DAY].eqNullSafe(days["_day"]), "left_semi")
-        both = new.unionByName(old.select(*new.columns))
-        merged = both.groupBy(*[c for c in new.columns if c != COPIES]).agg(F.sum(COPIES).alias(COPIES))
-        # read before the same folders are written
-        new = stage(merged, "landing")
-    (
-        new.hint("rebalance", DAY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
-        .parquet(out)
-    )
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return land(fixes, out, batch)
 
 
 def select_sources(fixes: DataFrame, ids: Iterable[int] | DataFrame) -> DataFrame:

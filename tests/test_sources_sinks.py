@@ -11,6 +11,7 @@ from collartrail.functions import timeutil as tu
 from collartrail.operators import copies, filters, pairing
 from collartrail.plans.videos import organise
 from collartrail.sources import deployments as dep_io
+from collartrail.sources import archive
 from collartrail.sources import fixes as fix_io
 from collartrail.sources import sinks, videos
 from tests.test_geo_paths import _fixes
@@ -304,11 +305,53 @@ def test_landing_twice_adds_up_by_day(spark, tmp_path):
     day1 = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0), (1, "2023-02-01 08:00:00", 29.0, -111.0)])
     day2 = _fixes(spark, [(1, "2023-02-02 08:00:00", 29.1, -111.1)])
     fix_io.land_fixes(day1.unionByName(day2), out)
-    kept = sorted((tmp_path / "landed" / "acquisition_date=2023-02-02").glob("part-*"))
-    fix_io.land_fixes(day1, out)
+    fix_io.land_fixes(day1, out, "again")
     got = rows(fix_io.read_fixes(spark, out), "acquisitiontime", "copies")
     assert got == [(ts("2023-02-01 08:00:00"), 4), (ts("2023-02-02 08:00:00"), 1)]
-    assert sorted((tmp_path / "landed" / "acquisition_date=2023-02-02").glob("part-*")) == kept
+    # the other day was not written again
+    assert len(list((tmp_path / "landed").glob("days/*/acquisition_date=2023-02-02"))) == 1
+    assert len(list((tmp_path / "landed").glob("days/*/acquisition_date=2023-02-01"))) == 2
+
+
+def test_a_batch_counts_once_and_a_broken_landing_not_at_all(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "landed")
+    first = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0), (None, None, 29.0, -111.0)])
+    more = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0), (2, "2023-02-03 08:00:00", 29.2, -111.2)])
+
+    def counts():
+        return rows(archive.read_archive(spark, out), "collar_id", "copies")
+
+    assert fix_io.land_fixes(first, out, "one")
+    assert not fix_io.land_fixes(more, out, "one")  # the name has landed
+    assert counts() == [(1, 1), (None, 1)]
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    whole = archive.write_version
+    monkeypatch.setattr(archive, "write_version", lambda *a: broken(whole(*a)))
+    with pytest.raises(OSError):
+        fix_io.land_fixes(more, out, "two")
+    monkeypatch.setattr(archive, "write_version", whole)
+    assert counts() == [(1, 1), (None, 1)]
+    # a log without its commit mark does not count either, and is replaced
+    (tmp_path / "landed" / "batches" / "two").mkdir()
+    assert counts() == [(1, 1), (None, 1)]
+    assert fix_io.land_fixes(more, out, "two") and not fix_io.land_fixes(more, out, "two")
+    assert counts() == [(1, 2), (2, 1), (None, 1)]
+    assert fix_io.land_fixes(first.limit(0), out, "nothing") and not fix_io.land_fixes(first, out, "nothing")
+    assert counts() == [(1, 2), (2, 1), (None, 1)]
+
+
+def test_a_batch_without_name_is_known_by_its_content(spark, tmp_path):
+    out = str(tmp_path / "landed")
+    some = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0), (2, "2023-02-01 09:00:00", None, None)])
+    assert fix_io.land_fixes(some, out)
+    assert not fix_io.land_fixes(some.orderBy(F.col("collar_id").desc()).repartition(3), out)
+    assert fix_io.land_fixes(some.unionByName(some), out)
+    assert fix_io.land_fixes(some.filter("collar_id = 1"), out)
+    assert rows(fix_io.read_fixes(spark, out), "collar_id", "copies") == [(1, 4), (2, 3)]
+    assert fix_io.read_fixes(spark, out, start="2024-01-01").count() == 0
 
 
 def test_copying_without_hard_links_and_one_source_per_name(spark, tmp_path, monkeypatch):

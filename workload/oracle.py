@@ -501,6 +501,10 @@ _SELECTS: dict[str, str] = {
     "read_fixes_text": """
         select * replace (date_trunc('second', acquisitiontime) as acquisitiontime) from fixes
         where acquisitiontime is not null""",
+    "read_repeated_landing": f"""
+        select collar_id, acquisitiontime, latitude, longitude, height, temperature,
+               count(*) + count(*) filter (where acquisitiontime >= timestamp '{BEGIN}') as copies
+        from fixes group by all""",
     "read_landed_fixes": f"""
         select collar_id, acquisitiontime, latitude, longitude, height, temperature,
                count(*) + count(*) filter (where acquisitiontime >= timestamp '{BEGIN}') as copies

@@ -18,6 +18,7 @@ from collartrail.plans.mortality import ClusterRule, review
 from collartrail.plans.videos import organise
 from collartrail.schemas import VIDEO_PAIR_COLUMNS
 from collartrail.session import new_folder, stage
+from collartrail.sources import archive
 from collartrail.sources import deployments as dep_io
 from collartrail.sources import fixes as fix_io
 from collartrail.sources import sinks
@@ -513,6 +514,19 @@ def read_landed_fixes(spark, d):
     return fix_io.read_fixes(spark, out, start="2024-01-02 00:00:00", end=END)
 
 
+@query
+def read_repeated_landing(spark, d):
+    """An archive after a batch landed twice, another broke off, and that one landed again."""
+    out, fixes = new_folder(spark, "landed"), views.fixes(spark, d)
+    late = fixes.filter(F.col("acquisitiontime") >= tu.at(BEGIN))
+    fix_io.land_fixes(fixes, out, "all")
+    fix_io.land_fixes(fixes, out, "all")
+    archive.write_version(late, out)  # as far as a landing comes that ends before its log
+    fix_io.land_fixes(late, out)
+    fix_io.land_fixes(late.orderBy("height"), out)
+    return archive.read_archive(spark, out).drop(archive.DAY)
+
+
 # --- sinks: written below the shared folder and read back --------------------------------
 
 
