@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import os
 import re
 
@@ -363,8 +364,8 @@ def test_copying_without_hard_links_and_one_source_per_name(spark, tmp_path, mon
         raise PermissionError("no links here")
 
     monkeypatch.setattr(sinks.os, "link", refuse)
-    assert sinks._copy_one(str(tmp_path / "a" / "v.mp4"), str(tmp_path / "t")) == "copied"
-    assert sinks._copy_one(str(tmp_path / "b" / "v.mp4"), str(tmp_path / "t")) == "exists"
+    assert sinks._copy_one(str(tmp_path / "a" / "v.mp4"), str(tmp_path / "t"))[0] == "copied"
+    assert sinks._copy_one(str(tmp_path / "b" / "v.mp4"), str(tmp_path / "t"))[0] == "exists"
     assert [p.name for p in (tmp_path / "t").iterdir()] == ["v.mp4"]
     assert (tmp_path / "t" / "v.mp4").read_text() == "a"
     monkeypatch.undo()
@@ -374,3 +375,23 @@ def test_copying_without_hard_links_and_one_source_per_name(spark, tmp_path, mon
     log = {r.source[-7:]: r.outcome for r in sinks.copy_videos(manifest).collect()}
     assert log == {"a/v.mp4": "copied", "b/v.mp4": "same name"}
     assert (tmp_path / "u" / "v.mp4").read_text() == "a"
+
+
+def test_copies_are_read_back_and_changed_ones_found(spark, tmp_path):
+    for name, body in (("a.mp4", b"first"), ("b.mp4", b""), ("c.mp4", b"x" * 3_000_000)):
+        (tmp_path / name).write_bytes(body)
+    names = ["a.mp4", "b.mp4", "c.mp4", "absent.mp4"]
+    manifest = spark.createDataFrame([(f"{tmp_path}/{n}", f"{tmp_path}/out") for n in names], "source string, target string")
+    log = sinks.copy_videos(manifest, tasks=2)
+    got = {os.path.basename(r.source): (r.outcome, r.length, r.sha256) for r in log.collect()}
+    assert got["a.mp4"] == ("copied", 5, hashlib.sha256(b"first").hexdigest())
+    assert got["b.mp4"][1] == 0 and got["c.mp4"][1] == 3_000_000
+    assert got["absent.mp4"] == ("missing", None, None)
+    assert rows(sinks.check_copies(log), "intact") == [(True,)] * 3
+    (tmp_path / "out" / "a.mp4").write_bytes(b"fjrst")
+    (tmp_path / "out" / "b.mp4").unlink()
+    bad = sinks.check_copies(log).filter("not intact")
+    assert sorted((os.path.basename(r.path), r.length_found) for r in bad.collect()) == [("a.mp4", 5), ("b.mp4", None)]
+    # a second run sees what is there
+    again = {os.path.basename(r.source): (r.outcome, r.sha256) for r in sinks.copy_videos(manifest).collect()}
+    assert again["a.mp4"] == ("exists", hashlib.sha256(b"fjrst").hexdigest()) and again["b.mp4"][0] == "copied"

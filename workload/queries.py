@@ -220,7 +220,7 @@ def last_live_point(spark, d):
 
 @query
 def apply_mortality(spark, d):
-    dates = tracks.mortality_dates(_flagged(spark, d))
+    dates = stage(tracks.mortality_dates(_flagged(spark, d)), "dates")  # read twice
     return mortality.apply_mortality(
         views.deployments(spark, d), dates, _accepted(dates), ZETA, ETA, THETA
     )
@@ -606,9 +606,21 @@ def copy_videos(spark, d):
     pairs = pairing.pair_videos(videos, views.fixes(spark, d), _deployments(spark, d))
     log = sinks.copy_videos(sinks.copy_manifest(pairs, root))
     return log.select(
-        _below(root, "source").alias("source"), _below(root, "target").alias("target"), "outcome"
+        _below(root, "source").alias("source"), _below(root, "target").alias("target"), "outcome",
+        "length", "sha256",
     )
 
 
+@query
+def check_copies(spark, d):
+    """The copies, read back: length and hash of each file in place."""
+    root = _video_files(spark, d)
+    below = F.substr("directoryname", F.lit(len(views.ROOT) + 1))
+    pairs = _pairs(spark, d).withColumn("directoryname", F.concat(F.lit(root), below))
+    log = sinks.copy_videos(sinks.copy_manifest(pairs, root))
+    found = sinks.check_copies(log)
+    return found.select(_below(root, "path").alias("path"), "length_found", "sha256_found", "intact")
+
+
 # task functions travel with the job: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
