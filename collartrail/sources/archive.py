@@ -105,6 +105,10 @@ def write_version(fixes: DataFrame, archive: str) -> str:
 def land(fixes: DataFrame, archive: str, batch: str | None = None) -> bool:
     """Add ``fixes`` as ``batch`` (default: named by its content); False if that has landed before."""
     spark = fixes.sparkSession
+    place, files = _place(spark, archive)
+    held = [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+    if held and not {"days", "batches"} & set(held):
+        raise ValueError(f"{archive} holds something else than an archive")
     batch = batch or content_name(fixes)
     landed = _batches(spark, archive)
     if batch in landed:

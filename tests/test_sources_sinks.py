@@ -395,3 +395,11 @@ def test_copies_are_read_back_and_changed_ones_found(spark, tmp_path):
     # a second run sees what is there
     again = {os.path.basename(r.source): (r.outcome, r.sha256) for r in sinks.copy_videos(manifest).collect()}
     assert again["a.mp4"] == ("exists", hashlib.sha256(b"fjrst").hexdigest()) and again["b.mp4"][0] == "copied"
+
+
+def test_nothing_is_landed_into_a_folder_of_something_else(spark, tmp_path):
+    fixes = _fixes(spark, [(1, "2023-02-01 08:00:00", 29.0, -111.0)])
+    fixes.write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError):
+        fix_io.land_fixes(fixes, str(tmp_path / "plain"))
+    assert fix_io.read_fixes(spark, str(tmp_path / "plain")).count() == 1
