@@ -3,25 +3,30 @@
 Each word is a context with a restaurant of the words behind it; the restaurants share one parent, a
 restaurant of words over a uniform base. A table of a context is a customer of the parent.
 
-Tokens are dealt to buckets by context, packed, once; words are dealt to shares. One query does:
-
-1. Counting: each share of words counts them over all buckets and answers each bucket with the counts
-   of its words.
-2. Seating: each bucket seats its contexts' customers, starting from the words' frequencies.
-3. Parent: each share of words sums tables over all buckets, seats them as customers of the parent,
-   and answers each bucket with mean seatings of the words it asked for.
-4. Scoring: each bucket seats again under the parent's answer, averages predictive probabilities over
-   the sweeps, and adds up the log probabilities of each document's tokens in it. A last shuffle adds
-   these up for each chunk of documents that were packed together.
-
-A sweep empties each dish in turn and seats its customers again: the wait for the next new table in a
-Chinese restaurant is Beta-geometric, so a dish costs as many draws as it gets tables. All dishes of a
-sweep see the totals of the sweep before, as is usual for parallel samplers.
-
-Contexts that hold a large part of the tokens are dealt by word as well. Their dishes, counted, are
-sent to one home for each context, which seats them together: their number does not grow with that of
-tokens, and dishes of one customer, who has one table, only go as a sum. So no seating depends on how
-many buckets there are.
+Given the parent's probabilities ``p``, the tables ``t`` of a restaurant's dishes with ``c`` customers
+have the chance ``(strength | discount)_T * prod S(c, t) p^t``, S generalised Stirling numbers, T all
+tables. The rising factor is a Gamma integral; with its variable x drawn, dishes are independent and
+weigh ``S(c, t) (discount x p)^t``. A sweep draws x for each restaurant from Gamma(strength / discount + T),
+then the tables of each dish: from the whole distribution if it has few customers, else
+by seating them one by one a few times and taking one way by its weight (expected tables of
+proposals differ from exact means by at most 1 % in tests). That is a blocked Gibbs sampler of
+the seating, and a restaurant may be split over tasks, since these need to share x and T only.
+
+Tokens are dealt to buckets by context, packed, once; contexts that hold a large part of a bucket are
+dealt by word as well. Words are dealt to shares. The levels are sampled in turn:
+
+1. Each bucket starts with a table for each dish and sends tables by word to the words' shares. These
+   seat them in the parent and answer with its customers and tables, and with counts of words.
+2. Each bucket seats its contexts under these probabilities and sends its tables again; the shares
+   seat the parent again, for as many samples as are kept. This is done twice.
+3. Each bucket seats its contexts under each of the parent's samples, averages predictive
+   probabilities, given x and p, over sweeps and samples, and adds up log probabilities of each document's tokens in it. A last
+   shuffle adds these up for each chunk of documents that were packed together.
+
+Totals over all shares (tokens, vocabulary, the parent's customers and tables) are one row, taken from the
+shuffled answers. Buckets of a split context send their part of its tables to the share of its own
+hash, which answers with the sum. A parallel sampler: within a pass, contexts see the parent as it was
+before the pass, and a split context keeps its x.
 """
 
 from __future__ import annotations
@@ -44,7 +49,13 @@ from collartrail.llm.text import id_and_text, remainder_of_id
 
 DISCOUNT, STRENGTH = 0.8, 1.0
 PARENT_DISCOUNT, PARENT_STRENGTH = 0.6, 1.0
-SWEEPS, BURN_IN = 6, 2
+#: Sweeps before any is kept, samples of the parent, sweeps kept under each of them.
+BURN_IN, SAMPLES, KEPT = 3, 2, 3
+#: Parts of a table that are told apart in sums of expected tables.
+PARTS = 256
+#: Dishes with more customers are drawn as one of a few proposals, by weight.
+WHOLE = 200
+PROPOSALS = 4
 BUCKET_BYTES = 16_000_000
 FLUSH_BYTES = 16_000_000
 HOT_SHARE = 0.125
@@ -55,7 +66,8 @@ END = np.uint64(xxhash.xxh3_64_intdigest(b" end")) & HASH_BITS
 
 PACKED = "bucket int, chunk long, body binary"
 ASKED = "share int, bucket int, body binary"
-PLACED = "place int, bucket int, body binary"
+#: Whole numbers in front of an answer that add up to totals.
+N_SUMS = 5
 SUMMED = "chunk long, body binary"
 SCORED = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
@@ -206,49 +218,104 @@ def _hot_contexts(rows: DataFrame, buckets: int) -> np.ndarray:
     return np.array(sorted(hot), np.int64).view(np.uint64)
 
 
-def seat(
-    customers: np.ndarray, weight: np.ndarray, slope: np.ndarray, discount: float, random
-) -> np.ndarray:
-    """Tables that dishes get when their customers sit down one by one.
-
-    A customer opens a table with a weight of ``weight + slope * tables`` against the seats taken less
-    ``discount`` for each table; the wait for the next one is geometric with a Beta chance.
-    """
-    tables = np.minimum(customers, 1)
-    seated = tables.copy()
-    at = np.flatnonzero(customers > 1)
-    while len(at):
-        t, n = tables[at], seated[at]
-        opens = np.maximum(weight[at] + slope[at] * t, 1e-12)
-        chance = np.clip(random.beta(opens, n - discount * t), 1e-15, 1)
-        n = n + np.minimum(random.geometric(chance), customers[at] + 1)
-        at, n = at[n <= customers[at]], n[n <= customers[at]]
-        tables[at] += 1
-        seated[at] = n
-    return tables
-
-
-def mean_tables(
-    customers: np.ndarray, of_context: np.ndarray, p: np.ndarray, extra: np.ndarray, random
-) -> np.ndarray:
-    """Mean tables of dishes over the sweeps. ``extra``: tables of each context besides these."""
-    now, total, kept = np.minimum(customers, 1), np.zeros(len(customers)), 0
-    for sweep in range(SWEEPS):
-        in_context = np.bincount(of_context, now, minlength=len(extra)) + extra
-        others = in_context[of_context] - now
-        now = seat(customers, (STRENGTH + DISCOUNT * others) * p, DISCOUNT * p, DISCOUNT, random)
-        if sweep >= BURN_IN:
-            total, kept = total + now, kept + 1
-    return total / kept
+def log_gamma(z: np.ndarray) -> np.ndarray:
+    """Logarithm of the Gamma function of positive numbers."""
+    shift = np.ones_like(z)
+    for k in range(8):
+        shift = shift * (z + k)
+    z = z + 8
+    series = 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5)
+    return (z - 0.5) * np.log(z) - z + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
+
+
+def log_stirling(most: int, discount: float) -> np.ndarray:
+    """Logarithms of generalised Stirling numbers: ways, weighted, to seat c customers at t tables."""
+    log_s = np.full((most + 1, most + 1), -np.inf)
+    log_s[1, 1] = 0
+    for c in range(1, most):
+        t = np.arange(1, c + 1)
+        joined = np.append(np.log(c - t * discount), -np.inf)
+        log_s[c + 1, 1 : c + 2] = np.logaddexp(joined + log_s[c, 1 : c + 2], log_s[c, : c + 1])
+    return log_s
+
+
+class Dishes:
+    """Tables of dishes, drawn given the weight of each table: the chance of t tables is in proportion
+    to ``S(customers, t) * weight ** t``. ``expected``: the mean of what was drawn from last."""
+
+    def __init__(self, customers: np.ndarray, discount: float):
+        self.customers, self.discount = customers, discount
+        self.tables = np.minimum(customers, 1)
+        self.expected = self.tables.astype(float)
+        self.log_s = log_stirling(int(np.clip(customers.max(initial=1), 1, WHOLE)), discount)
+        some = np.flatnonzero((customers > 1) & (customers <= WHOLE))
+        some = some[np.argsort(customers[some], kind="stable")]
+        sizes, starts = np.unique(customers[some], return_index=True)
+        self.few = list(zip(sizes.tolist(), np.split(some, starts[1:]), strict=True)) if len(some) else []
+        self.many = np.flatnonzero(customers > WHOLE)
+
+    def draw(self, weight: np.ndarray, random) -> None:
+        """Take new tables for all dishes."""
+        for c, at in self.few:
+            log_w = self.log_s[c, 1 : c + 1] + np.log(weight[at])[:, None] * np.arange(1, c + 1)
+            w = np.exp(log_w - log_w.max(axis=1, keepdims=True))
+            self.expected[at] = w @ np.arange(1, c + 1) / w.sum(axis=1)
+            w = np.cumsum(w, axis=1)
+            self.tables[at] = 1 + (w[:, :-1] <= (random.random(len(at)) * w[:, -1])[:, None]).sum(axis=1)
+        if len(self.many):
+            self._steps(weight[self.many], random)
+
+    def _propose(self, weight: np.ndarray, random) -> tuple[np.ndarray, np.ndarray]:
+        """Tables of the dishes with many customers, seated one by one, and the logarithm of how much
+        more likely each way of seating is than it was proposed.
+
+        Tables opened early cost all later customers, so weights to open one grow while a dish fills:
+        as they do on average in a Chinese restaurant that ends at ``weight``, constant for half an
+        octave. The wait for the next new table is geometric with a Beta chance.
+        """
+        d, c = self.discount, self.customers[self.many]
+        # the strength of that restaurant, by bisection
+        below, above = np.full(len(c), np.log(1e-9)), np.log(weight + c + 1.0)
+        for _ in range(30):
+            half = (below + above) / 2
+            x = np.exp(half)
+            less = x * ((x + c - (1 + d) / 2) / (x + (1 - d) / 2)) ** d < weight
+            below, above = np.where(less, half, below), np.where(less, above, half)
+        shift = np.exp(below) - (1 + d) / 2
+        seated, tables, log_w = (np.ones(len(c)) for _ in range(3))
+        low = 1
+        while low < c.max():
+            high = max(low + 1, int(low * 1.42))
+            end = np.minimum(high, c)
+            opens = weight * (((low + high) / 2 + shift) / (c + shift)) ** d
+            at = np.flatnonzero(c > low)
+            while len(at):
+                a, n, t, stop = opens[at], seated[at], tables[at], end[at]
+                chance = np.clip(random.beta(a, n - d * t), 1e-15, 1)
+                reached = n + np.minimum(random.geometric(chance), stop)
+                new = reached <= stop
+                reached = np.minimum(reached, stop)
+                log_w[at] += log_gamma(reached - d * t + a) - log_gamma(n - d * t + a)
+                log_w[at] += np.where(new, np.log(weight[at] / a), 0)
+                seated[at], tables[at] = reached, t + new
+                at = at[reached < stop]
+            low = high
+        return tables.astype(np.int64), log_w
+
+    def _steps(self, weight: np.ndarray, random) -> None:
+        """One of a few proposals, by its weight."""
+        found = [self._propose(weight, random) for _ in range(PROPOSALS)]
+        tables, log_w = (np.stack(x) for x in zip(*found, strict=True))
+        pick = np.argmax(log_w + random.gumbel(size=log_w.shape), axis=0)
+        self.tables[self.many] = tables[pick, np.arange(len(pick))]
+        w = np.exp(log_w - log_w.max(axis=0))
+        self.expected[self.many] = (w * tables).sum(axis=0) / w.sum(axis=0)
 
 
 class Bucket:
-    """All pairs of a bucket's contexts and words; dishes are those with customers.
-
-    ``away``: dishes of hot contexts that are seated at the context's home.
-    """
+    """All pairs of a bucket's contexts and words; dishes are those with customers."""
 
-    def __init__(self, bodies: list[bytes], chunks: list[int], hot: np.ndarray, only_hot: bool = False):
+    def __init__(self, bodies: list[bytes], chunks: list[int], hot: np.ndarray):
         contexts, words, taught = [], [], []
         #: Of each body, where its pairs start and what it has for each occurrence and document.
         self.chunks: list[tuple[int, int, list[np.ndarray]]] = []
@@ -263,9 +330,6 @@ class Bucket:
             n_pairs += len(n)
         words, contexts, taught = (np.concatenate(x) for x in (words, contexts, taught))
         self.words, word = np.unique(words, return_inverse=True)
-        if only_hot:
-            keep = np.isin(contexts, hot)
-            contexts, word, taught = contexts[keep], word[keep], taught[keep]
         self.contexts, context = np.unique(contexts, return_inverse=True)
         pairs, at = np.unique(context * len(self.words) + word, return_inverse=True)
         self.pair = at.astype(np.int32)
@@ -273,56 +337,54 @@ class Bucket:
         self.customers = np.bincount(at, taught, minlength=len(pairs)).astype(np.int64)
         self.in_context = np.bincount(self.of_context, self.customers, minlength=len(self.contexts))
         self.split = np.isin(self.contexts, hot)
-        self.away = self.split[self.of_context] & (self.customers > 1)
-
-    def tables(self, parent: np.ndarray, random) -> np.ndarray:
-        """Mean tables of the dishes that are seated here; 0 for those away."""
-        mean = np.minimum(self.customers, 1).astype(float)
-        here = (self.customers > 1) & ~self.away
-        single = np.bincount(self.of_context, self.customers == 1, minlength=len(self.contexts))
-        of_context, p = self.of_context[here], parent[self.of_word[here]]
-        mean[here] = mean_tables(self.customers[here], of_context, p, single, random)
-        mean[self.away] = 0
-        return mean
-
-    def homes(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Homes of the contexts, and of the dishes; -1 for what is not split or not away."""
-        of_context = np.where(self.split, (mix(self.contexts) % np.uint64(buckets)).astype(np.int64), -1)
-        return of_context, np.where(self.away, of_context[self.of_context], -1)
-
-    def sent(self, parent: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-        """For each home, its contexts: runs of dishes, single customers, all customers; and the dishes."""
-        of_context, of_dish = self.homes(buckets)
-        away = np.bincount(self.of_context, self.away, minlength=len(self.contexts)).astype(np.int64)
-        single = np.bincount(self.of_context, self.customers == 1, minlength=len(self.contexts))
-        for h in np.unique(of_context[of_context >= 0]).tolist():
-            c, d = of_context == h, of_dish == h
-            yield h, pack(
-                self.contexts[c], smallest(away[c]), single[c], self.in_context[c],
-                self.words[self.of_word[d]], smallest(self.customers[d]),
-                parent[self.of_word[d]].astype(np.float32),
-            )
-
-
-def seated_at_home(bodies: list[bytes], random) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each body of ``Bucket.sent`` its contexts, their customers and tables over all bodies, and
-    its dishes' words and mean tables."""
-    sent = [unpack(b) for b in bodies]
-    contexts, at = np.unique(np.concatenate([x[0] for x in sent]), return_inverse=True)
-    runs = np.concatenate([x[1].astype(np.int64) for x in sent])
-    single, in_context = (
-        np.bincount(at, np.concatenate([x[k] for x in sent]), minlength=len(contexts)) for k in (2, 3)
-    )
-    of_context = np.repeat(at, runs)
-    customers = np.concatenate([x[5].astype(np.int64) for x in sent])
-    p = np.concatenate([x[6] for x in sent]).astype(float)
-    mean = mean_tables(customers, of_context, p, single, random)
-    tables = np.bincount(of_context, mean, minlength=len(contexts)) + single
-    start = of = 0
-    for x in sent:
-        own = at[of : of + len(x[0])]
-        yield x[0], in_context[own], tables[own], x[4], mean[start : start + len(x[4])]
-        start, of = start + len(x[4]), of + len(x[0])
+        #: Tables of split contexts in all buckets, when known.
+        self.all_tables = np.zeros(len(self.contexts))
+        self.dishes = Dishes(self.customers, DISCOUNT)
+
+    def over_contexts(self, of_dish: np.ndarray) -> np.ndarray:
+        return np.bincount(self.of_context, of_dish, minlength=len(self.contexts))
+
+    def tables_of_contexts(self) -> np.ndarray:
+        return self.over_contexts(self.dishes.tables)
+
+    def tables_of_words(self) -> np.ndarray:
+        return np.bincount(self.of_word, self.dishes.tables, minlength=len(self.words)).astype(np.int64)
+
+    def sweeps(self, n: int, parent: np.ndarray, random, settled: bool = True) -> None:
+        """Seat all contexts ``n`` times, given the parent's probabilities of ``words``.
+
+        A split context has the same x in all its buckets. As long as its tables are not ``settled``,
+        they are taken to have grown elsewhere as they did here.
+        """
+        at = np.flatnonzero(self.split)
+        if settled:
+            shared = [
+                np.random.default_rng(int(c)).gamma(STRENGTH / DISCOUNT + t)
+                for c, t in zip(self.contexts[at], self.all_tables[at], strict=True)
+            ]
+        start = np.maximum(self.over_contexts(self.customers > 0)[at], 1)
+        for _ in range(n):
+            tables = self.tables_of_contexts()
+            x = random.gamma(STRENGTH / DISCOUNT + tables)
+            grown = np.maximum(tables[at], 1) / start
+            x[at] = shared if settled else STRENGTH / DISCOUNT + self.all_tables[at] * grown
+            weight = DISCOUNT * x[self.of_context] * parent[self.of_word]
+            self.dishes.draw(np.maximum(weight, 1e-300), random)
+
+
+def dealt(place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each place that occurs, and where."""
+    order = np.argsort(place, kind="stable")
+    found, starts = np.unique(place[order], return_index=True)
+    if len(found):
+        yield from zip(found.tolist(), np.split(order, starts[1:]), strict=True)
+
+
+def parent_probabilities(customers: np.ndarray, tables: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Of words; ``sums``: the parent's customers and tables, distinct words known."""
+    all_customers, all_tables, known = (float(x) for x in sums)
+    rest = (PARENT_STRENGTH + PARENT_DISCOUNT * all_tables) / (known + 1)
+    return (customers - PARENT_DISCOUNT * tables + rest) / (PARENT_STRENGTH + all_customers)
 
 
 def language_model_scores(
@@ -345,138 +407,165 @@ def language_model_scores(
     hot = _hot_contexts(rows, buckets)
     packed = _packed(rows, hot, buckets)
 
-    def bucket_of(own: pd.DataFrame, only_hot: bool = False) -> Bucket:
+    def bucket_of(own: pd.DataFrame) -> Bucket:
         own = own.sort_values("chunk")
-        return Bucket(own["body"].tolist(), own["chunk"].tolist(), hot, only_hot)
-
-    def share_of(words: np.ndarray) -> np.ndarray:
-        return (mix(words) % np.uint64(shares)).astype(np.int64)
-
-    def asking(own: pd.DataFrame) -> pd.DataFrame:
-        words, taught = [], []
-        for body in own["body"]:
-            _, _, word, n, at_doc, _, mark, _ = unpack(body)
-            words.append(from_seven_bytes(word))
-            starts = np.cumsum(n, dtype=np.int64) - n
-            taught.append(np.add.reduceat(((mark & 1) == 0)[at_doc], starts, dtype=np.int32))
-        words, at = np.unique(np.concatenate(words), return_inverse=True)
-        taught = np.bincount(at, np.concatenate(taught), minlength=len(words)).astype(np.int64)
-        share, number = share_of(words), int(own["bucket"].iloc[0])
-        out = [(s, number, pack(words[share == s], smallest(taught[share == s]))) for s in range(shares)]
-        return pd.DataFrame(out, columns=["share", "bucket", "body"])
-
-    def counting(own: pd.DataFrame) -> pd.DataFrame:
+        return Bucket(own["body"].tolist(), own["chunk"].tolist(), hot)
+
+    def share_of(hashes: np.ndarray) -> np.ndarray:
+        return (mix(hashes) % np.uint64(shares)).astype(np.int64)
+
+    def to_shares(number: int, bucket: Bucket, by_word: list[np.ndarray], by_split: list[np.ndarray], sums):
+        """Rows for the shares that hold words or split contexts of the bucket."""
+        at = np.flatnonzero(bucket.split)
+        splits = dict(dealt(share_of(bucket.contexts[at])))
+        words = dict(dealt(share_of(bucket.words)))
+        none = np.zeros(0, np.int64)
+        for s in sorted(words.keys() | splits.keys()):
+            w, c = words.get(s, none), splits.get(s, none)
+            body = pack(
+                np.array([len(by_word), len(by_split)]), sums, bucket.words[w], *(smallest(x[w]) for x in by_word),
+                bucket.contexts[at[c]], *(smallest(x[at[c]]) for x in by_split),
+            )
+            yield s, number, body
+
+    def from_shares(bucket: Bucket, answers: pd.DataFrame, n_word: int, n_split: int):
+        """What shares answered, in the order of the bucket's words and contexts."""
+        at = np.flatnonzero(bucket.split)
+        splits, words = dict(dealt(share_of(bucket.contexts[at]))), dict(dealt(share_of(bucket.words)))
+        by_word = np.zeros((n_word, len(bucket.words)), np.int64)
+        by_split = np.zeros((n_split, len(bucket.contexts)), np.int64)
+        for s, body in zip(answers["share"], answers["body"], strict=True):
+            if s < shares:
+                got = unpack(body[8 * N_SUMS :])
+                if s in words:
+                    by_word[:, words[s]] = got[:n_word]
+                if s in splits:
+                    by_split[:, at[splits[s]]] = got[n_word:]
+        return by_word, by_split
+
+    def summed(own: pd.DataFrame) -> tuple[list, list, list, list, np.ndarray]:
+        """A share's words, where each bucket's are in them, and sums by word; the same of contexts."""
         asked = [unpack(b) for b in own["body"]]
-        words, at = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
-        taught = np.bincount(at, np.concatenate([x[1] for x in asked]), minlength=len(words))
-        sums = np.array([taught.sum(), (taught > 0).sum()])
-        out, start = [], 0
-        for bucket, x in zip(own["bucket"], asked, strict=True):
-            mine = taught[at[start : start + len(x[0])]].astype(np.int64)
-            start += len(x[0])
-            out.append((int(own["share"].iloc[0]), bucket, pack(smallest(mine), sums)))
+        n_word, n_split = asked[0][0].tolist()
+
+        def over(first: int, n: int):
+            keys = [x[first] for x in asked]
+            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+            total = [
+                np.bincount(at, np.concatenate([x[first + 1 + k] for x in asked]), minlength=len(found))
+                for k in range(n)
+            ]
+            return np.split(at, np.cumsum([len(k) for k in keys])[:-1]), [x.astype(np.int64) for x in total]
+
+        return *over(2, n_word), *over(3 + n_word, n_split), asked[0][1]
+
+    def answered(own: pd.DataFrame, sums: list, at_word, by_word, at_split, by_split) -> pd.DataFrame:
+        """A row for each bucket; the first one carries the share's sums."""
+        share, out = int(own["share"].iloc[0]), []
+        heads = [np.array(sums + [0] * (N_SUMS - len(sums)), np.int64)]
+        heads += [np.zeros(N_SUMS, np.int64)] * (len(own) - 1)
+        for head, number, w, c in zip(heads, own["bucket"], at_word, at_split, strict=True):
+            body = pack(*(smallest(x[w]) for x in by_word), *(smallest(x[c]) for x in by_split))
+            out.append((share, number, head.tobytes() + body))
         return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
-    def seating(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    def asking(own: pd.DataFrame) -> pd.DataFrame:
         number, bucket = int(own["bucket"].iloc[0]), bucket_of(own)
-        share, taught, sums = share_of(bucket.words), np.zeros(len(bucket.words), np.int64), np.zeros(2)
-        for s, body in zip(answers["share"], answers["body"], strict=True):
-            taught[share == s], part_sums = unpack(body)
-            sums += part_sums
-        # the words' frequencies stand in for the parent
-        first = (taught + 0.5) / (sums[0] + 0.5 * sums[1] + 0.5)
-        tables = bucket.tables(first, np.random.default_rng(number))
-        by_word = np.bincount(bucket.of_word, tables, minlength=len(bucket.words)).astype(np.float32)
-        out = [(h, number, body) for h, body in bucket.sent(first, buckets)]
-        for s in range(shares):
-            a = share == s
-            out.append((buckets + s, number, pack(bucket.words[a], by_word[a], smallest(taught[a]), sums)))
-        return pd.DataFrame(out, columns=["place", "bucket", "body"])
-
-    def first_homes(own: pd.DataFrame) -> pd.DataFrame:
-        """Tables of the dishes seated at home, by word; what is for the parent passes."""
-        place, own = int(own["place"].iloc[0]), own.sort_values("bucket")
-        if place >= buckets:
-            return own.assign(share=own["place"] - buckets)[["share", "bucket", "body"]]
-        seated = list(seated_at_home(own["body"].tolist(), np.random.default_rng(place)))
-        words, at = np.unique(np.concatenate([x[3] for x in seated]), return_inverse=True)
-        tables = np.bincount(at, np.concatenate([x[4] for x in seated]), minlength=len(words))
-        share = share_of(words)
-        out = [(s, -1, pack(words[share == s], tables[share == s])) for s in np.unique(share).tolist()]
+        taught = np.bincount(bucket.of_word, bucket.customers, minlength=len(bucket.words)).astype(np.int64)
+        by_split = [bucket.tables_of_contexts().astype(np.int64), bucket.in_context.astype(np.int64)]
+        by_word = [bucket.tables_of_words(), taught]
+        out = list(to_shares(number, bucket, by_word, by_split, np.zeros(0)))
         return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
-    def parent(own: pd.DataFrame) -> pd.DataFrame:
-        number, own = int(own["share"].iloc[0]), own.sort_values("bucket")
-        asked = [unpack(b) for b in own["body"]]
-        words, at = np.unique(np.concatenate([x[0] for x in asked]), return_inverse=True)
-        customers = np.bincount(at, np.concatenate([x[1] for x in asked]), minlength=len(words))
-        train_tokens, known = asked[-1][3]
-        seated = np.rint(customers).astype(np.int64)
-        random, now = np.random.default_rng(number), np.minimum(seated, 1)
-        total, kept = np.zeros(len(words)), 0
-        base = 1 / (known + 1)
-        for sweep in range(SWEEPS):
-            # shares of words are alike, so this one stands for the others
-            others = now.sum() * shares - now
-            weight = (PARENT_STRENGTH + PARENT_DISCOUNT * others) * base
-            slope = np.full(len(words), PARENT_DISCOUNT * base)
-            now = seat(seated, weight, slope, PARENT_DISCOUNT, random)
-            if sweep >= BURN_IN:
-                total, kept = total + now, kept + 1
-        tables = total / kept
-        sums = np.array([seated.sum(), tables.sum()])
-        own_part = (seated - PARENT_DISCOUNT * tables).astype(np.float32)
-        out, start = [], 0
-        for bucket, x in zip(own["bucket"], asked, strict=True):
-            mine = at[start : start + len(x[0])]
-            start += len(x[0])
-            if bucket >= 0:
-                out.append((number, bucket, pack(own_part[mine], x[2], sums, x[3])))
+    def parent_start(own: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("bucket")
+        at_word, (customers, taught), at_split, by_split, _ = summed(own)
+        dishes, random = Dishes(customers, PARENT_DISCOUNT), np.random.default_rng(int(own["share"].iloc[0]))
+        # of one table for each word, x is about the number of words, which cancels against the base
+        for _ in range(BURN_IN):
+            dishes.draw(np.full(len(customers), PARENT_DISCOUNT), random)
+        sums = [taught.sum(), (taught > 0).sum(), customers.sum(), dishes.tables.sum()]
+        return answered(own, sums, at_word, [customers, dishes.tables, taught], at_split, by_split)
+
+    def seating(own: pd.DataFrame, answers: pd.DataFrame, first: bool) -> pd.DataFrame:
+        number, bucket = int(own["bucket"].iloc[0]), bucket_of(own)
+        sums = np.asarray(answers["sums"].iloc[0], np.int64)
+        if first:
+            all_sums, sums = sums[:2], sums[2:]
+            (customers, tables, taught), (bucket.all_tables, _) = from_shares(bucket, answers, 3, 2)
+        else:
+            taught, _, all_sums = from_itself(answers)
+            (customers, tables, *_), (_, bucket.all_tables, _) = from_shares(bucket, answers, 1 + SAMPLES, 3)
+        known = all_sums[1]
+        p, random = parent_probabilities(customers, tables, [*sums[:2], known]), random_of(number, int(first))
+        bucket.sweeps(BURN_IN, p, random, not first)
+        parts = np.zeros(len(bucket.customers))
+        for _ in range(KEPT):
+            bucket.sweeps(1, p, random, not first)
+            parts += bucket.dishes.expected * PARTS / KEPT
+        parts = np.rint(parts).astype(np.int64)
+        of_contexts = [bucket.in_context, bucket.tables_of_contexts(), bucket.over_contexts(parts)]
+        by_split = [x.astype(np.int64) for x in of_contexts]
+        told = np.array([known, sums[1]])
+        out = list(to_shares(number, bucket, [bucket.tables_of_words()], by_split, told))
+        kept = smallest(parts[away_of(bucket)][: 0 if first else None])
+        out.append((shares + number, number, pack(smallest(taught), kept, all_sums)))
         return pd.DataFrame(out, columns=["share", "bucket", "body"])
 
-    def probabilities(own_part: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        customers, tables, _, known = sums
-        rest = (PARENT_STRENGTH + PARENT_DISCOUNT * tables) / (known + 1)
-        return (own_part + rest) / (PARENT_STRENGTH + customers)
-
-    def sending(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        """Dishes of hot contexts with the parent's answer to their homes, and that answer to itself."""
-        number, bucket = int(own["bucket"].iloc[0]), bucket_of(own, only_hot=True)
-        share = share_of(bucket.words)
-        own_part, taught = np.zeros(len(share), np.float32), np.zeros(len(share), np.int64)
-        sums = np.zeros(4)
-        for s, body in zip(answers["share"], answers["body"], strict=True):
-            own_part[share == s], taught[share == s], part_sums, sums[2:] = unpack(body)
-            sums[:2] += part_sums
-        out = [(h, number, body) for h, body in bucket.sent(probabilities(own_part, sums), buckets)]
-        out.append((buckets + number, number, pack(own_part, smallest(taught), sums)))
-        return pd.DataFrame(out, columns=["place", "bucket", "body"])
-
-    def second_homes(own: pd.DataFrame) -> pd.DataFrame:
-        """Mean tables back to the buckets; what those sent to themselves passes."""
-        place, own = int(own["place"].iloc[0]), own.sort_values("bucket")
-        if place >= buckets:
-            return own
-        seated = seated_at_home(own["body"].tolist(), np.random.default_rng(place))
-        bodies = [pack(x[0], x[1], x[2], x[4].astype(np.float32)) for x in seated]
-        return own.assign(body=bodies)
+    def first_seating(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return seating(own, answers, True)
+
+    def second_seating(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        return seating(own, answers, False)
+
+    def away_of(bucket: Bucket) -> np.ndarray:
+        """Dishes of split contexts whose tables are not given by their customers."""
+        return bucket.split[bucket.of_context] & (bucket.customers > 1)
+
+    def from_itself(answers: pd.DataFrame) -> list[np.ndarray]:
+        return unpack(answers["body"][answers["share"] >= shares].iloc[0][8 * N_SUMS :])
+
+    def parent_again(own: pd.DataFrame) -> pd.DataFrame:
+        """The parent under its true totals; what a bucket sent to itself passes."""
+        share, own = int(own["share"].iloc[0]), own.sort_values("bucket")
+        if share >= shares:
+            return own.assign(body=[bytes(8 * N_SUMS) + b for b in own["body"]])
+        at_word, (customers,), at_split, by_split, (known, tables_before) = summed(own)
+        dishes, random = Dishes(customers, PARENT_DISCOUNT), random_of(share, 1)
+        # all shares draw the same x
+        x = np.random.default_rng(0).gamma(PARENT_STRENGTH / PARENT_DISCOUNT + tables_before)
+        weight = np.full(len(customers), PARENT_DISCOUNT * x / (known + 1))
+        tables = []
+        for s in range(SAMPLES):
+            for _ in range(KEPT if s else BURN_IN):
+                dishes.draw(weight, random)
+            tables.append(dishes.tables.copy())
+        found = [customers.sum(), *(t.sum() for t in tables)]
+        return answered(own, found, at_word, [customers, *tables], at_split, by_split)
+
+    def random_of(number: int, step: int):
+        return np.random.default_rng([number, step])
 
     def scoring(own: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         number, bucket = int(own["bucket"].iloc[0]), bucket_of(own)
-        answers = answers.sort_values("place", ascending=False)
-        own_part, taught, sums = unpack(answers["body"].iloc[0])
-        train_tokens, known = sums[2:]
-        p = probabilities(own_part, sums)
-        mean = bucket.tables(p, np.random.default_rng(number))
-        by_context = np.bincount(bucket.of_context, mean, minlength=len(bucket.contexts))
-        in_context, (_, home) = bucket.in_context.copy(), bucket.homes(buckets)
-        for h, body in zip(answers["place"].iloc[1:], answers["body"].iloc[1:], strict=True):
-            contexts, customers, tables, away = unpack(body)
-            at = np.searchsorted(bucket.contexts, contexts)
-            in_context[at], by_context[at], mean[home == h] = customers, tables, away
-        back_off = (STRENGTH + DISCOUNT * by_context) / (STRENGTH + in_context)
-        direct = (bucket.customers - DISCOUNT * mean) / (STRENGTH + in_context[bucket.of_context])
-        chance = np.log10(direct + back_off[bucket.of_context] * p[bucket.of_word])
+        taught, kept, all_sums = from_itself(answers)
+        train_tokens, known = all_sums.tolist()
+        sums = np.asarray(answers["sums"].iloc[0], np.int64)
+        by_word, (of_split, bucket.all_tables, parts) = from_shares(bucket, answers, 1 + SAMPLES, 3)
+        away = away_of(bucket)
+        customers = STRENGTH + np.where(bucket.split, of_split, bucket.in_context)
+        chance, random = np.zeros(len(bucket.customers)), random_of(number, 2)
+        for s in range(SAMPLES):
+            p = parent_probabilities(by_word[0], by_word[1 + s], [sums[0], sums[1 + s], known])
+            for _ in range(KEPT):
+                bucket.sweeps(1 if s or chance.any() else BURN_IN, p, random)
+                tables = bucket.dishes.expected.copy()
+                tables[away] = kept / PARTS
+                by_context = np.where(bucket.split, parts / PARTS, bucket.over_contexts(tables))
+                back_off = (STRENGTH + DISCOUNT * by_context) / customers
+                direct = (bucket.customers - DISCOUNT * tables) / customers[bucket.of_context]
+                chance += (direct + back_off[bucket.of_context] * p[bucket.of_word]) / (SAMPLES * KEPT)
+        chance = np.log10(chance)
         base = np.log10((taught + 0.5) / (train_tokens + 0.5 * (known + 1)))
         out = []
         for chunk, start, (times, at_doc, id_steps, mark, own_docs) in bucket.chunks:
@@ -514,15 +603,31 @@ def language_model_scores(
             }
         )
 
+    def totals(batches):
+        """The sums in front of answers."""
+        for batch in batches:
+            heads = [np.frombuffer(b, np.int64, N_SUMS) for b in batch.column("body").to_pylist()]
+            sums = np.sum(heads, axis=0, dtype=np.int64) if heads else np.zeros(N_SUMS, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(x)], pa.int64()) for x in sums], names=[f"s{k}" for k in range(N_SUMS)]
+            )
+
+    def with_sums(answers: DataFrame) -> DataFrame:
+        """Answers at their buckets, with the one row of totals over all of them."""
+        answers = answers.repartition("bucket")
+        parts = answers.mapInArrow(totals, ", ".join(f"s{k} long" for k in range(N_SUMS)))
+        one = parts.agg(F.array(*(F.sum(f"s{k}") for k in range(N_SUMS))).alias("sums"))
+        return answers.withColumn("sums", one.scalar())
+
     def with_packed(answers: DataFrame, run, schema: str) -> DataFrame:
-        return packed.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(run, schema)
+        return packed.groupBy("bucket").cogroup(with_sums(answers).groupBy("bucket")).applyInPandas(run, schema)
 
     asked = packed.groupBy("bucket").applyInPandas(asking, ASKED)
-    counted = asked.groupBy("share").applyInPandas(counting, ASKED)
-    seated = with_packed(counted, seating, PLACED).groupBy("place").applyInPandas(first_homes, ASKED)
-    answered = seated.groupBy("share").applyInPandas(parent, ASKED)
-    settled = with_packed(answered, sending, PLACED).groupBy("place").applyInPandas(second_homes, PLACED)
-    parts = with_packed(settled, scoring, SUMMED)
+    started = asked.groupBy("share").applyInPandas(parent_start, ASKED)
+    answers = started
+    for seat in (first_seating, second_seating):
+        answers = with_packed(answers, seat, ASKED).groupBy("share").applyInPandas(parent_again, ASKED)
+    parts = with_packed(answers, scoring, SUMMED)
     return parts.groupBy("chunk").applyInPandas(summing, SCORED)
 
 
