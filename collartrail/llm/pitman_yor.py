@@ -266,14 +266,15 @@ class Dishes:
             self._steps(weight[self.many], random)
 
     def _propose(self, weight: np.ndarray, random) -> tuple[np.ndarray, np.ndarray]:
-        """Tables of the dishes with many customers, seated one by one, and the logarithm of how much
-        more likely each way of seating is than it was proposed.
+        """Tables of the dishes with many customers, seated one by one a few times, and the logarithm of
+        how much more likely each way of seating is than it was proposed.
 
         Tables opened early cost all later customers, so weights to open one grow while a dish fills:
         as they do on average in a Chinese restaurant that ends at ``weight``, constant for half an
         octave. The wait for the next new table is geometric with a Beta chance.
         """
-        d, c = self.discount, self.customers[self.many]
+        d, c = self.discount, np.tile(self.customers[self.many], PROPOSALS)
+        weight = np.tile(weight, PROPOSALS)
         # the strength of that restaurant, by bisection
         below, above = np.full(len(c), np.log(1e-9)), np.log(weight + c + 1.0)
         for _ in range(30):
@@ -300,12 +301,11 @@ class Dishes:
                 seated[at], tables[at] = reached, t + new
                 at = at[reached < stop]
             low = high
-        return tables.astype(np.int64), log_w
+        return tables.astype(np.int64).reshape(PROPOSALS, -1), log_w.reshape(PROPOSALS, -1)
 
     def _steps(self, weight: np.ndarray, random) -> None:
         """One of a few proposals, by its weight."""
-        found = [self._propose(weight, random) for _ in range(PROPOSALS)]
-        tables, log_w = (np.stack(x) for x in zip(*found, strict=True))
+        tables, log_w = self._propose(weight, random)
         pick = np.argmax(log_w + random.gumbel(size=log_w.shape), axis=0)
         self.tables[self.many] = tables[pick, np.arange(len(pick))]
         w = np.exp(log_w - log_w.max(axis=0))

@@ -2,7 +2,6 @@
 
 import itertools
 import math
-import random
 import zlib
 from collections import Counter
 
