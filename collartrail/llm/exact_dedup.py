@@ -40,7 +40,7 @@ def exact_groups(
     digest: Callable[[Column], Column] = sha256,
     salts: int = SALTS,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, digest, text_sha256``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, digest``.
 
     A NULL text is empty and equal to other empty texts. Rows without an id count in
     ``group_size`` but only name the group (NULL) if none of its rows has an id. Rows that repeat an
