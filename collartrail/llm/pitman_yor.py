@@ -112,6 +112,44 @@ def from_seven_bytes(planes: np.ndarray) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
+class WordCodes(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = code = len(self)
+        return code
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self)) & HASH_BITS
+
+
+def bits(n: int) -> np.uint64:
+    """Bits that hold whole numbers below ``n``."""
+    return np.uint64(max(n - 1, 0).bit_length())
+
+
+def in_order(pairs: np.ndarray, n_pairs: int, other: np.ndarray, n_other: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both, sorted by the first and then the second; values are below ``n_pairs`` and ``n_other``."""
+    pairs, other, low = pairs.astype(np.uint64), other.astype(np.uint64), bits(n_other)
+    if bits(n_pairs) + low <= 64:
+        both = np.sort(pairs << low | other)
+        return both >> low, (both & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    order = np.lexsort((other, pairs))
+    return pairs[order], other[order].astype(np.int64)
+
+
+def distinct(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct whole numbers from 0, ascending, and the place of each value among them."""
+    if below > 4 * len(values):
+        return np.unique(values, return_inverse=True)
+    seen = np.zeros(below, bool)
+    seen[values] = True
+    return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
+
+
 def tokens_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
@@ -127,34 +165,45 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     of each such pair."""
 
     def run(batches):
-        hashes, flush = WordHashes(), 0
         docs: list[tuple[int | None, bool]] = []
-        contexts: list[np.ndarray] = []
-        words: list[np.ndarray] = []
-        held: list[np.ndarray] = []
-        size = 0
+        found: list[np.ndarray] = []
+        codes, size, flush = WordCodes(), 0, 0
 
         def packed() -> Iterator[pa.RecordBatch]:
-            context, word, doc = (np.concatenate(x) for x in (contexts, words, held))
-            place = places(context, word, hot, buckets)
-            order = np.lexsort((word, context, place))
-            place, context, word, doc = place[order], context[order], word[order], doc[order]
-            ends = np.searchsorted(place, np.arange(buckets + 1))
+            # behind the words come start and end, which stand for no word of a text
+            vocabulary, rank = np.unique(np.append(codes.hashes(), [START, END]), return_inverse=True)
+            n_words = np.array([len(f) for f in found], np.int64)
+            ends = np.cumsum(n_words + 1)
+            token = np.concatenate(found)
+            # in front of a document's first word is the start, behind its last one the end
+            context = np.full(ends[-1], rank[-2], np.uint64)
+            word = np.full(ends[-1], rank[-1], np.uint64)
+            doc = np.repeat(np.arange(len(docs)), n_words + 1)
+            at = np.arange(len(token)) + np.repeat(np.arange(len(docs)), n_words)
+            word[at] = context[at + 1] = rank[token]
+            wide = bits(len(vocabulary))
+            pair, doc = in_order(context << wide | word, 1 << int(2 * wide), doc, len(docs))
+            starts = np.flatnonzero(np.diff(pair, prepend=~pair[:1]))
+            times = np.diff(starts, append=len(pair))
+            pair = pair[starts]
+            context, word = vocabulary[pair >> wide], vocabulary[pair & ((np.uint64(1) << wide) - np.uint64(1))]
+            place = smallest(places(context, word, hot, buckets))
+            order = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[order], np.arange(buckets + 1))
             chunk = (TaskContext.get().partitionId() << 16) + flush
             for b in np.flatnonzero(np.diff(ends)).tolist():
-                a, z = ends[b], ends[b + 1]
-                new_context = np.diff(context[a:z], prepend=~context[a : a + 1]) != 0
-                new_pair = new_context | (np.diff(word[a:z], prepend=~word[a : a + 1]) != 0)
-                pairs = np.flatnonzero(new_pair)
-                changes = np.flatnonzero(new_context[pairs])
-                own_docs, at_doc = np.unique(doc[a:z], return_inverse=True)
+                at = order[ends[b] : ends[b + 1]]
+                n = times[at]
+                own = doc[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                changes = np.flatnonzero(np.diff(context[at], prepend=~context[at[:1]]))
+                own_docs, at_doc = distinct(own, len(docs))
                 ids = np.array([docs[d][0] or 0 for d in own_docs], np.int64)
                 marks = np.array([(docs[d][0] is None) * 2 + docs[d][1] for d in own_docs], np.uint8)
                 body = pack(
-                    seven_bytes(context[a:z][pairs[changes]]),
-                    smallest(np.diff(changes, append=len(pairs))),
-                    seven_bytes(word[a:z][pairs]),
-                    smallest(np.diff(pairs, append=z - a)),
+                    seven_bytes(context[at][changes]),
+                    smallest(np.diff(changes, append=len(at))),
+                    seven_bytes(word[at]),
+                    smallest(n),
                     smallest(at_doc),
                     np.diff(ids, prepend=0),
                     marks,
@@ -169,15 +218,12 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
             for doc_id, out, text in zip(
                 *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True
             ):
-                found = hashes.of(tokens_of(text)) & HASH_BITS
-                contexts.append(np.concatenate([[START], found]))
-                words.append(np.concatenate([found, [END]]))
-                held.append(np.full(len(found) + 1, len(docs), np.int32))
+                found.append(codes.of(tokens_of(text)))
                 docs.append((doc_id, out))
                 size += len(text)
             if size >= FLUSH_BYTES:
                 yield from packed()
-                docs, contexts, words, held, size, flush = [], [], [], [], 0, flush + 1
+                docs, found, codes, size, flush = [], [], WordCodes(), 0, flush + 1
         if docs:
             yield from packed()
 
@@ -249,7 +295,7 @@ class Dishes:
         self.expected = self.tables.astype(float)
         self.log_s = log_stirling(int(np.clip(customers.max(initial=1), 1, WHOLE)), discount)
         some = np.flatnonzero((customers > 1) & (customers <= WHOLE))
-        some = some[np.argsort(customers[some], kind="stable")]
+        some = some[np.argsort(smallest(customers[some]), kind="stable")]
         sizes, starts = np.unique(customers[some], return_index=True)
         self.few = list(zip(sizes.tolist(), np.split(some, starts[1:]), strict=True)) if len(some) else []
         self.many = np.flatnonzero(customers > WHOLE)
@@ -257,14 +303,44 @@ class Dishes:
     def draw(self, weight: np.ndarray, random) -> None:
         """Take new tables for all dishes."""
         for c, at in self.few:
-            log_w = self.log_s[c, 1 : c + 1] + np.log(weight[at])[:, None] * np.arange(1, c + 1)
-            w = np.exp(log_w - log_w.max(axis=1, keepdims=True))
-            self.expected[at] = w @ np.arange(1, c + 1) / w.sum(axis=1)
-            w = np.cumsum(w, axis=1)
-            self.tables[at] = 1 + (w[:, :-1] <= (random.random(len(at)) * w[:, -1])[:, None]).sum(axis=1)
+            u, w = random.random(len(at)), weight[at]
+            # powers of these weights stay far from overflow; for more customers they gain nothing
+            small = (w < np.exp(500 / (c - 1))) & (c <= 12)
+            for way, mine in ((self._by_powers, small), (self._by_logarithms, ~small)):
+                if mine.all():
+                    self.tables[at], self.expected[at] = way(c, w, u)
+                elif mine.any():
+                    self.tables[at[mine]], self.expected[at[mine]] = way(c, w[mine], u[mine])
         if len(self.many):
             self._steps(weight[self.many], random)
 
+    def _by_powers(self, c: int, weight: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tables at the quantiles ``u`` of dishes with ``c`` customers, and their mean."""
+        ways = np.exp(self.log_s[c, 1 : c + 1] - self.log_s[c, 1])
+        tables, mean = np.ones(len(u), np.int8), np.ones(len(u))
+        for a in range(0, len(u), 8192):  # such blocks stay in the cache
+            w, m = weight[a : a + 8192], mean[a : a + 8192]
+            upto, power = np.ones((c, len(w))), np.ones(len(w))
+            for t in range(1, c):
+                power *= w
+                now = power * ways[t]
+                np.add(upto[t - 1], now, out=upto[t])
+                now *= t + 1
+                m += now
+            m /= upto[-1]
+            aim, mine = u[a : a + 8192] * upto[-1], tables[a : a + 8192]
+            for below in upto[:-1]:
+                mine += (below <= aim).view(np.int8)
+        return tables, mean
+
+    def _by_logarithms(self, c: int, weight: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for weights of any size."""
+        log_w = self.log_s[c, 1 : c + 1] + np.log(weight)[:, None] * np.arange(1, c + 1)
+        w = np.exp(log_w - log_w.max(axis=1, keepdims=True))
+        mean = w @ np.arange(1, c + 1) / w.sum(axis=1)
+        w = np.cumsum(w, axis=1)
+        return 1 + (w[:, :-1] <= (u * w[:, -1])[:, None]).sum(axis=1), mean
+
     def _propose(self, weight: np.ndarray, random) -> tuple[np.ndarray, np.ndarray]:
         """Tables of the dishes with many customers, seated one by one a few times, and the logarithm of
         how much more likely each way of seating is than it was proposed.
@@ -316,23 +392,28 @@ class Bucket:
     """All pairs of a bucket's contexts and words; dishes are those with customers."""
 
     def __init__(self, bodies: list[bytes], chunks: list[int], hot: np.ndarray):
-        contexts, words, taught = [], [], []
+        contexts, runs, words, taught = [], [], [], []
         #: Of each body, where its pairs start and what it has for each occurrence and document.
         self.chunks: list[tuple[int, int, list[np.ndarray]]] = []
         n_pairs = 0
         for body, chunk in zip(bodies, chunks, strict=True):
             context, run, word, n, at_doc, id_steps, mark, own_docs = unpack(body)
-            contexts.append(np.repeat(from_seven_bytes(context), run))
+            contexts.append(from_seven_bytes(context))
+            runs.append(run)
             words.append(from_seven_bytes(word))
             starts = np.cumsum(n, dtype=np.int64) - n
             taught.append(np.add.reduceat(((mark & 1) == 0)[at_doc], starts, dtype=np.int32))
             self.chunks.append((chunk, n_pairs, [n, at_doc, id_steps, mark, own_docs]))
             n_pairs += len(n)
-        words, contexts, taught = (np.concatenate(x) for x in (words, contexts, taught))
+        words, contexts, runs, taught = (np.concatenate(x) for x in (words, contexts, runs, taught))
         self.words, word = np.unique(words, return_inverse=True)
         self.contexts, context = np.unique(contexts, return_inverse=True)
-        pairs, at = np.unique(context * len(self.words) + word, return_inverse=True)
-        self.pair = at.astype(np.int32)
+        n_keys = len(self.contexts) * len(self.words)
+        pairs, order = in_order(np.repeat(context, runs) * len(self.words) + word, n_keys, np.arange(n_pairs), n_pairs)
+        new = np.diff(pairs, prepend=~pairs[:1]) != 0
+        at = np.empty(n_pairs, np.int32)
+        at[order] = np.cumsum(new) - 1
+        pairs, self.pair = pairs[new].astype(np.int64), at
         self.of_context, self.of_word = np.divmod(pairs, len(self.words))
         self.customers = np.bincount(at, taught, minlength=len(pairs)).astype(np.int64)
         self.in_context = np.bincount(self.of_context, self.customers, minlength=len(self.contexts))
