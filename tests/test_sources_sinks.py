@@ -3,7 +3,9 @@ import hashlib
 import os
 import re
 
+import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from collartrail import session
@@ -19,6 +21,7 @@ from tests.test_geo_paths import _fixes
 from tests.test_pairing import FIXES
 from tests.test_tracks import _deployments
 from tests.util import formatted, rows, ts
+from workload import queries
 
 
 def _touch(root, *names):
@@ -72,6 +75,32 @@ def test_mounted_scan_lists_hidden_files_too(spark, tmp_path):
     assert videos.scan_mounted_videos(spark, nothing).count() == 0
 
 
+def test_many_small_folders_are_listed_as_one_table(tmp_path):
+    _touch(str(tmp_path), *[f"{i}/{i}.mp4" for i in range(50)])
+    folders = [str(tmp_path), *[f"{tmp_path}/{i}" for i in range(50)]]
+    (listed,) = videos._entries(iter([pd.DataFrame({"folder": folders[:20]}), pd.DataFrame({"folder": folders[20:]})]))
+    files = listed[~listed["is_folder"]]
+    assert len(listed) == 100 and sorted(files["length"]) == sorted(len(f"{i}/{i}.mp4") for i in range(50))
+    assert listed["modificationTime"].notna().sum() == 50
+    assert not list(videos._entries(iter([pd.DataFrame({"folder": []})])))
+
+
+def test_video_files_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    """However small the table of their names is, one task does not make them all."""
+    events = spark.range(1000).selectExpr("id as event_id", "timestamp_ntz '2024-01-02' as ts", "id as user_id")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+
+    def note(batches):
+        task = TaskContext.get().partitionId()
+        for batch in batches:
+            (tmp_path / f"task-{task}").touch()
+            yield batch[["path"]]
+
+    monkeypatch.setattr(queries, "_make_files", note)
+    queries._video_files(spark, str(tmp_path))
+    assert len(list(tmp_path.glob("task-*"))) > 8
+
+
 def test_parse_odd_names(spark):
     data = ["/v/B-1_7/2023-02-01 15.mp4", "/v/B1_7/2023-02-01 150012 extra parts.mp4", "/v/B1_7/x.mp4"]
     got = rows(
