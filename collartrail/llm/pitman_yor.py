@@ -32,6 +32,7 @@ before the pass, and a split context keeps its x.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from collartrail.llm.arrow import by_bytes
-from collartrail.llm.shingles import WordHashes, mix
+from collartrail.llm.shingles import CACHE_WORDS, WordHashes, mix
 from collartrail.llm.text import id_and_text, remainder_of_id
 
 DISCOUNT, STRENGTH = 0.8, 1.0
@@ -240,13 +241,22 @@ def _hot_contexts(rows: DataFrame, buckets: int) -> np.ndarray:
 
     def run(batches):
         contexts, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        hashes = WordHashes()
+        words: Counter[bytes] = Counter()
+
+        def with_words() -> tuple[np.ndarray, np.ndarray]:
+            found = WordHashes().of(list(words)) & HASH_BITS
+            all_contexts, at = np.unique(np.concatenate([contexts, found]), return_inverse=True)
+            n = np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))])
+            return all_contexts, np.bincount(at, n, minlength=len(all_contexts)).astype(np.int64)
+
         for batch in by_bytes(batches):
-            found = hashes.of([w for t in batch.column("text").to_pylist() for w in tokens_of(t)]) & HASH_BITS
-            found = np.concatenate([found, np.full(batch.num_rows, START)])
-            context, n = np.unique(found, return_counts=True)
-            contexts, at = np.unique(np.concatenate([contexts, context]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+            for text in batch.column("text").to_pylist():
+                words.update(tokens_of(text))
+            contexts, counts = np.append(contexts, START), np.append(counts, batch.num_rows)
+            if len(words) > CACHE_WORDS:
+                contexts, counts = with_words()
+                words.clear()
+        contexts, counts = with_words()
         hot = counts * buckets * 8 >= HOT_SHARE * counts.sum()
         yield pa.RecordBatch.from_arrays(
             [
@@ -300,22 +310,23 @@ class Dishes:
         self.few = list(zip(sizes.tolist(), np.split(some, starts[1:]), strict=True)) if len(some) else []
         self.many = np.flatnonzero(customers > WHOLE)
 
-    def draw(self, weight: np.ndarray, random) -> None:
-        """Take new tables for all dishes."""
+    def draw(self, weight: np.ndarray, random, mean: bool = True) -> None:
+        """Take new tables for all dishes; without ``mean``, what is ``expected`` is not kept up."""
         for c, at in self.few:
             u, w = random.random(len(at)), weight[at]
             # powers of these weights stay far from overflow; for more customers they gain nothing
             small = (w < np.exp(500 / (c - 1))) & (c <= 12)
             for way, mine in ((self._by_powers, small), (self._by_logarithms, ~small)):
-                if mine.all():
-                    self.tables[at], self.expected[at] = way(c, w, u)
-                elif mine.any():
-                    self.tables[at[mine]], self.expected[at[mine]] = way(c, w[mine], u[mine])
+                if mine.any():
+                    own = at if mine.all() else at[mine]
+                    self.tables[own], expected = way(c, w[mine], u[mine], mean)
+                    if mean:
+                        self.expected[own] = expected
         if len(self.many):
             self._steps(weight[self.many], random)
 
-    def _by_powers(self, c: int, weight: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tables at the quantiles ``u`` of dishes with ``c`` customers, and their mean."""
+    def _by_powers(self, c: int, weight: np.ndarray, u: np.ndarray, want_mean: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Tables at the quantiles ``u`` of dishes with ``c`` customers, and their mean if wanted."""
         ways = np.exp(self.log_s[c, 1 : c + 1] - self.log_s[c, 1])
         tables, mean = np.ones(len(u), np.int8), np.ones(len(u))
         for a in range(0, len(u), 8192):  # such blocks stay in the cache
@@ -325,19 +336,20 @@ class Dishes:
                 power *= w
                 now = power * ways[t]
                 np.add(upto[t - 1], now, out=upto[t])
-                now *= t + 1
-                m += now
+                if want_mean:
+                    now *= t + 1
+                    m += now
             m /= upto[-1]
             aim, mine = u[a : a + 8192] * upto[-1], tables[a : a + 8192]
             for below in upto[:-1]:
                 mine += (below <= aim).view(np.int8)
         return tables, mean
 
-    def _by_logarithms(self, c: int, weight: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _by_logarithms(self, c: int, weight: np.ndarray, u: np.ndarray, want_mean: bool) -> tuple[np.ndarray, np.ndarray]:
         """The same for weights of any size."""
         log_w = self.log_s[c, 1 : c + 1] + np.log(weight)[:, None] * np.arange(1, c + 1)
         w = np.exp(log_w - log_w.max(axis=1, keepdims=True))
-        mean = w @ np.arange(1, c + 1) / w.sum(axis=1)
+        mean = w @ np.arange(1, c + 1) / w.sum(axis=1) if want_mean else None
         w = np.cumsum(w, axis=1)
         return 1 + (w[:, :-1] <= (u * w[:, -1])[:, None]).sum(axis=1), mean
 
@@ -444,13 +456,17 @@ class Bucket:
                 for c, t in zip(self.contexts[at], self.all_tables[at], strict=True)
             ]
         start = np.maximum(self.over_contexts(self.customers > 0)[at], 1)
-        for _ in range(n):
-            tables = self.tables_of_contexts()
+        # dishes of one customer or none have as many tables, whatever is drawn
+        drawn = np.flatnonzero(self.customers > 1)
+        of_context, p = self.of_context[drawn], parent[self.of_word[drawn]]
+        others, weight = self.over_contexts(self.customers == 1), np.ones(len(self.customers))
+        for k in range(n):
+            tables = others + np.bincount(of_context, self.dishes.tables[drawn], minlength=len(self.contexts))
             x = random.gamma(STRENGTH / DISCOUNT + tables)
             grown = np.maximum(tables[at], 1) / start
             x[at] = shared if settled else STRENGTH / DISCOUNT + self.all_tables[at] * grown
-            weight = DISCOUNT * x[self.of_context] * parent[self.of_word]
-            self.dishes.draw(np.maximum(weight, 1e-300), random)
+            weight[drawn] = np.maximum(DISCOUNT * x[of_context] * p, 1e-300)
+            self.dishes.draw(weight, random, mean=k == n - 1)
 
 
 def dealt(place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -564,7 +580,7 @@ def language_model_scores(
         dishes, random = Dishes(customers, PARENT_DISCOUNT), np.random.default_rng(int(own["share"].iloc[0]))
         # of one table for each word, x is about the number of words, which cancels against the base
         for _ in range(BURN_IN):
-            dishes.draw(np.full(len(customers), PARENT_DISCOUNT), random)
+            dishes.draw(np.full(len(customers), PARENT_DISCOUNT), random, mean=False)
         sums = [taught.sum(), (taught > 0).sum(), customers.sum(), dishes.tables.sum()]
         return answered(own, sums, at_word, [customers, dishes.tables, taught], at_split, by_split)
 
@@ -619,7 +635,7 @@ def language_model_scores(
         tables = []
         for s in range(SAMPLES):
             for _ in range(KEPT if s else BURN_IN):
-                dishes.draw(weight, random)
+                dishes.draw(weight, random, mean=False)
             tables.append(dishes.tables.copy())
         found = [customers.sum(), *(t.sum() for t in tables)]
         return answered(own, found, at_word, [customers, *tables], at_split, by_split)

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, docs_of
 
@@ -303,3 +304,38 @@ def test_severity_is_the_expected_grade(spark):
         steps = [1.0, *at_least, 0.0]
         assert abs(r.severity - sum(g * (steps[g] - steps[g + 1]) for g in range(4))) < 1e-9
         assert abs(r.p_toxic - at_least[0]) < 1e-9 and r.toxic == (at_least[0] >= 0.5)
+
+
+def test_draws_without_a_mean_give_the_same_tables():
+    customers = np.array([0, 1, 2, 5, 40, 150, 900] * 30)
+    weight = np.random.default_rng(0).gamma(1.0, 3.0, len(customers)) + 1e-3
+    weight[::7] = 1e60
+    one, other = (pitman_yor.Dishes(customers, 0.8) for _ in range(2))
+    at_start = other.expected.copy()
+    a, b = np.random.default_rng(1), np.random.default_rng(1)
+    for _ in range(3):
+        one.draw(weight, a)
+        other.draw(weight, b, mean=False)
+        assert (one.tables == other.tables).all()
+    few = customers <= pitman_yor.WHOLE
+    assert (other.expected[few] == at_start[few]).all() and (one.expected[few] != at_start[few]).any()
+    other.draw(weight, b)
+    one.draw(weight, a)
+    assert (one.expected == other.expected).all()
+
+
+def test_words_counted_in_parts_are_the_same_hot_contexts(monkeypatch):
+    class Rows:
+        def mapInArrow(self, run, schema):
+            texts = [" ".join(f"w{k % m}" for k in range(300)) for m in (1, 3, 50, 299)] * 3
+            batches = [pa.RecordBatch.from_pydict({"text": texts[i : i + 2]}) for i in range(0, len(texts), 2)]
+            (found,) = run(iter(batches))
+            counts.append(dict(zip(*found.to_pydict().values(), strict=True)))
+            raise StopIteration
+
+    counts: list[dict] = []
+    for most in (10**6, 10):
+        monkeypatch.setattr(pitman_yor, "CACHE_WORDS", most)
+        with pytest.raises(StopIteration):
+            pitman_yor._hot_contexts(Rows(), 4)
+    assert counts[0] == counts[1] and counts[0][None] == 3 * (4 * 300 + 4)
