@@ -32,12 +32,12 @@ before the pass, and a split context keeps its x.
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext, cloudpickle
@@ -64,6 +64,9 @@ HOT_SHARE = 0.125
 HASH_BITS = np.uint64((1 << 56) - 1)
 START = np.uint64(xxhash.xxh3_64_intdigest(b" start")) & HASH_BITS
 END = np.uint64(xxhash.xxh3_64_intdigest(b" end")) & HASH_BITS
+#: Bytes beyond which a word is hashed by itself, and masks of the first 0 to 8 bytes.
+LONG_WORD = 32
+_LOWER_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 PACKED = "bucket int, chunk long, body binary"
 ASKED = "share int, bucket int, body binary"
@@ -113,18 +116,52 @@ def from_seven_bytes(planes: np.ndarray) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-class WordCodes(dict):
-    """Words numbered as they come."""
+class Tokens:
+    """What stands between blanks in each text of a batch, A-Z in lower case.
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = code = len(self)
-        return code
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    Words get numbers by hashes of eight bytes at a time, of all tokens at once; only distinct words are cut out.
+    """
 
-    def hashes(self) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, self), np.uint64, len(self)) & HASH_BITS
+    def __init__(self, texts: pa.Array):
+        texts = texts.cast(pa.large_string())
+        _, offsets, body = texts.buffers()
+        edges = np.frombuffer(offsets, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+        body = body.slice(edges[0], edges[-1] - edges[0]).to_pybytes().lower() if edges[-1] > edges[0] else b""
+        edges = edges - edges[0]
+        of_bytes = np.frombuffer(body, np.uint8)
+        blank = (of_bytes == 32) | (of_bytes - np.uint8(9) < 5)
+        # a text ends what the one before it left open
+        first = np.zeros(len(body) + 1, bool)
+        first[edges] = True
+        starts = np.flatnonzero(~blank & (first[:-1] | np.append(True, blank[:-1])))
+        ends = np.flatnonzero(~blank & (first[1:] | np.append(blank[1:], True))) + 1
+        #: Tokens of each text.
+        self.counts = np.diff(np.searchsorted(starts, edges))
+        #: The word of each token, as a place among the hashes of distinct words.
+        self.words, found = pd.factorize(_keys(body, starts, ends - starts))
+        at = np.empty(len(found), np.int64)
+        at[self.words[::-1]] = np.arange(len(starts))[::-1]
+        # each with the byte behind it, which a blank replaces
+        sizes = ends[at] - starts[at] + 1
+        stops = np.cumsum(sizes)
+        cut = np.append(of_bytes, np.uint8(32))[np.arange(sizes.sum()) + np.repeat(starts[at] + sizes - stops, sizes)]
+        cut[stops - 1] = 32
+        words = cut.tobytes().split()
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) & HASH_BITS
+
+
+def _keys(body: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit numbers of tokens that tell words of one body apart."""
+    eight = np.ndarray(len(body) + 1, "<u8", body + bytes(8), strides=(1,))
+    keys, at = mix(lengths.astype(np.uint64)), np.arange(len(starts))
+    for done in range(0, LONG_WORD, 8):
+        rest = lengths[at] - done
+        keys[at] = mix(keys[at] ^ (eight[starts[at] + done] & _LOWER_BYTES[np.minimum(rest, 8)]))
+        at = at[rest > 8]
+    if len(at):
+        edges = zip(starts[at].tolist(), (starts + lengths)[at].tolist(), strict=True)
+        keys[at] = WordHashes().of([body[a:b] for a, b in edges])
+    return keys
 
 
 def bits(n: int) -> np.uint64:
@@ -142,6 +179,15 @@ def in_order(pairs: np.ndarray, n_pairs: int, other: np.ndarray, n_other: int) -
     return pairs[order], other[order].astype(np.int64)
 
 
+def ranked(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and the place of each value among them; only the distinct are sorted."""
+    at, found = pd.factorize(values)
+    order = np.argsort(found)
+    rank = np.empty(len(found), np.int64)
+    rank[order] = np.arange(len(found))
+    return found[order], rank[at]
+
+
 def distinct(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct whole numbers from 0, ascending, and the place of each value among them."""
     if below > 4 * len(values):
@@ -151,10 +197,6 @@ def distinct(values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(seen), (np.cumsum(seen) - 1)[values]
 
 
-def tokens_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
-
-
 def places(context: np.ndarray, word: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket of each token: by context, for hot contexts by word as well."""
     key = np.where(np.isin(context, hot), context ^ mix(word), context)
@@ -167,21 +209,25 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
 
     def run(batches):
         docs: list[tuple[int | None, bool]] = []
-        found: list[np.ndarray] = []
-        codes, size, flush = WordCodes(), 0, 0
+        found: list[Tokens] = []
+        size, flush = 0, 0
 
         def packed() -> Iterator[pa.RecordBatch]:
             # behind the words come start and end, which stand for no word of a text
-            vocabulary, rank = np.unique(np.append(codes.hashes(), [START, END]), return_inverse=True)
-            n_words = np.array([len(f) for f in found], np.int64)
+            hashes = [t.hashes for t in found]
+            vocabulary, rank = ranked(np.concatenate([*hashes, [START, END]]))
+            ranks = np.split(rank, np.cumsum([len(h) for h in hashes]))
+            n_words = np.concatenate([t.counts for t in found])
             ends = np.cumsum(n_words + 1)
-            token = np.concatenate(found)
+            token = np.concatenate([r[t.words] for t, r in zip(found, ranks, strict=False)])
+            all_ids = np.array([i or 0 for i, _ in docs], np.int64)
+            all_marks = np.array([(i is None) * 2 + out for i, out in docs], np.uint8)
             # in front of a document's first word is the start, behind its last one the end
             context = np.full(ends[-1], rank[-2], np.uint64)
             word = np.full(ends[-1], rank[-1], np.uint64)
             doc = np.repeat(np.arange(len(docs)), n_words + 1)
             at = np.arange(len(token)) + np.repeat(np.arange(len(docs)), n_words)
-            word[at] = context[at + 1] = rank[token]
+            word[at] = context[at + 1] = token
             wide = bits(len(vocabulary))
             pair, doc = in_order(context << wide | word, 1 << int(2 * wide), doc, len(docs))
             starts = np.flatnonzero(np.diff(pair, prepend=~pair[:1]))
@@ -198,16 +244,14 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 own = doc[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())]
                 changes = np.flatnonzero(np.diff(context[at], prepend=~context[at[:1]]))
                 own_docs, at_doc = distinct(own, len(docs))
-                ids = np.array([docs[d][0] or 0 for d in own_docs], np.int64)
-                marks = np.array([(docs[d][0] is None) * 2 + docs[d][1] for d in own_docs], np.uint8)
                 body = pack(
                     seven_bytes(context[at][changes]),
                     smallest(np.diff(changes, append=len(at))),
                     seven_bytes(word[at]),
                     smallest(n),
                     smallest(at_doc),
-                    np.diff(ids, prepend=0),
-                    marks,
+                    np.diff(all_ids[own_docs], prepend=0),
+                    all_marks[own_docs],
                     own_docs.astype(np.int32),
                 )
                 yield pa.RecordBatch.from_arrays(
@@ -216,15 +260,12 @@ def _packed(rows: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
                 )
 
         for batch in by_bytes(batches):
-            for doc_id, out, text in zip(
-                *(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "text")), strict=True
-            ):
-                found.append(codes.of(tokens_of(text)))
-                docs.append((doc_id, out))
-                size += len(text)
+            docs += zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out")), strict=True)
+            found.append(Tokens(batch.column("text")))
+            size += pc.sum(pc.utf8_length(batch.column("text"))).as_py() or 0
             if size >= FLUSH_BYTES:
                 yield from packed()
-                docs, found, codes, size, flush = [], [], WordCodes(), 0, flush + 1
+                docs, found, size, flush = [], [], 0, flush + 1
         if docs:
             yield from packed()
 
@@ -240,23 +281,22 @@ def _hot_contexts(rows: DataFrame, buckets: int) -> np.ndarray:
     """
 
     def run(batches):
-        contexts, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        words: Counter[bytes] = Counter()
+        # contexts with their numbers, and those that are not yet added to them
+        contexts, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
 
-        def with_words() -> tuple[np.ndarray, np.ndarray]:
-            found = WordHashes().of(list(words)) & HASH_BITS
-            all_contexts, at = np.unique(np.concatenate([contexts, found]), return_inverse=True)
-            n = np.concatenate([counts, np.fromiter(words.values(), np.int64, len(words))])
-            return all_contexts, np.bincount(at, n, minlength=len(all_contexts)).astype(np.int64)
+        def added() -> None:
+            found, at = ranked(np.concatenate(contexts))
+            n = np.bincount(at, np.concatenate(counts), minlength=len(found)).astype(np.int64)
+            contexts[:], counts[:] = [found], [n]
 
         for batch in by_bytes(batches):
-            for text in batch.column("text").to_pylist():
-                words.update(tokens_of(text))
-            contexts, counts = np.append(contexts, START), np.append(counts, batch.num_rows)
-            if len(words) > CACHE_WORDS:
-                contexts, counts = with_words()
-                words.clear()
-        contexts, counts = with_words()
+            tokens = Tokens(batch.column("text"))
+            contexts += [tokens.hashes, np.array([START])]
+            counts += [np.bincount(tokens.words, minlength=len(tokens.hashes)), np.array([batch.num_rows])]
+            if sum(map(len, contexts[1:])) > max(CACHE_WORDS, len(contexts[0])):
+                added()
+        added()
+        contexts, counts = contexts[0], counts[0]
         hot = counts * buckets * 8 >= HOT_SHARE * counts.sum()
         yield pa.RecordBatch.from_arrays(
             [
@@ -378,16 +418,24 @@ class Dishes:
             end = np.minimum(high, c)
             opens = weight * (((low + high) / 2 + shift) / (c + shift)) ** d
             at = np.flatnonzero(c > low)
+            a, n, t, stop, steps = opens[at], seated[at], tables[at], end[at], []
+            seated[at] = stop
             while len(at):
-                a, n, t, stop = opens[at], seated[at], tables[at], end[at]
-                chance = np.clip(random.beta(a, n - d * t), 1e-15, 1)
+                chance = np.maximum(random.beta(a, n - d * t), 1e-15)
                 reached = n + np.minimum(random.geometric(chance), stop)
                 new = reached <= stop
                 reached = np.minimum(reached, stop)
-                log_w[at] += log_gamma(reached - d * t + a) - log_gamma(n - d * t + a)
-                log_w[at] += np.where(new, np.log(weight[at] / a), 0)
-                seated[at], tables[at] = reached, t + new
-                at = at[reached < stop]
+                steps.append((at, a, n, t, reached, new))
+                n, t, left = reached, t + new, reached < stop
+                if not left.all():
+                    at, a, n, t, stop = at[left], a[left], n[left], t[left], stop[left]
+            # what a step weighs is worked out for many at once, and added up in their order
+            at, a, n, t, reached, new = (np.concatenate(x) for x in zip(*steps, strict=True))
+            tables += np.bincount(at, new, minlength=len(c))
+            gains = np.empty((len(at), 2))
+            gains[:, 0] = log_gamma(reached - d * t + a) - log_gamma(n - d * t + a)
+            gains[:, 1] = np.where(new, np.log(weight / opens)[at], 0)
+            log_w += np.bincount(np.repeat(at, 2), gains.ravel(), minlength=len(c))
             low = high
         return tables.astype(np.int64).reshape(PROPOSALS, -1), log_w.reshape(PROPOSALS, -1)
 
@@ -418,8 +466,8 @@ class Bucket:
             self.chunks.append((chunk, n_pairs, [n, at_doc, id_steps, mark, own_docs]))
             n_pairs += len(n)
         words, contexts, runs, taught = (np.concatenate(x) for x in (words, contexts, runs, taught))
-        self.words, word = np.unique(words, return_inverse=True)
-        self.contexts, context = np.unique(contexts, return_inverse=True)
+        self.words, word = ranked(words)
+        self.contexts, context = ranked(contexts)
         n_keys = len(self.contexts) * len(self.words)
         pairs, order = in_order(np.repeat(context, runs) * len(self.words) + word, n_keys, np.arange(n_pairs), n_pairs)
         new = np.diff(pairs, prepend=~pairs[:1]) != 0
@@ -547,7 +595,7 @@ def language_model_scores(
 
         def over(first: int, n: int):
             keys = [x[first] for x in asked]
-            found, at = np.unique(np.concatenate(keys), return_inverse=True)
+            found, at = ranked(np.concatenate(keys))
             total = [
                 np.bincount(at, np.concatenate([x[first + 1 + k] for x in asked]), minlength=len(found))
                 for k in range(n)

@@ -339,3 +339,60 @@ def test_words_counted_in_parts_are_the_same_hot_contexts(monkeypatch):
         with pytest.raises(StopIteration):
             pitman_yor._hot_contexts(Rows(), 4)
     assert counts[0] == counts[1] and counts[0][None] == 3 * (4 * 300 + 4)
+
+
+def test_tokens_of_a_batch_are_those_of_each_text():
+    words = [b"A", b"a", b"a\0", b"\0", b"a\0\0", "ß".encode(), "Ä".encode(), "\u00a0\u2003x".encode(), b"\x1c"]
+    words += [b"xY" * 40 + bytes([97 + k]) for k in range(3)] + [b"x" * n for n in (*range(1, 42), 5000)]
+    blanks = [b" ", b"\t", b"\n \n", b"\x0b", b"\x0c", b"\r"]
+    texts = [blanks[k % 6].join(words[k::7] + words[k : k + 3]).decode() for k in range(30)]
+    texts += ["", "end", "start", " \n", " both sides ", "", "x", "x y", "y", ""]
+    table = pa.RecordBatch.from_pydict({"text": texts})
+    for batch in (table, table.slice(3, 9), table.slice(32, 6), table.slice(30, 1), table.slice(30, 0)):
+        found = pitman_yor.Tokens(batch.column("text"))
+        plain = [t.encode().lower().split() for t in batch.column("text").to_pylist()]
+        assert found.counts.tolist() == [len(p) for p in plain]
+        hashes = pitman_yor.WordHashes().of([w for p in plain for w in p]) & pitman_yor.HASH_BITS
+        assert (found.hashes[found.words] == hashes).all()
+        assert len(found.hashes) == len(np.unique(hashes))
+
+
+def proposed_one_table_at_a_time(dishes, weight, random):
+    """What ``_propose`` gives, weighed at each table."""
+    n_proposals, d = pitman_yor.PROPOSALS, dishes.discount
+    c, weight = (np.tile(x, n_proposals) for x in (dishes.customers[dishes.many], weight))
+    below, above = np.full(len(c), np.log(1e-9)), np.log(weight + c + 1.0)
+    for _ in range(30):
+        x = np.exp((below + above) / 2)
+        less = x * ((x + c - (1 + d) / 2) / (x + (1 - d) / 2)) ** d < weight
+        below, above = np.where(less, (below + above) / 2, below), np.where(less, above, (below + above) / 2)
+    shift = np.exp(below) - (1 + d) / 2
+    seated, tables, log_w = (np.ones(len(c)) for _ in range(3))
+    low = 1
+    while low < c.max():
+        high = max(low + 1, int(low * 1.42))
+        opens = weight * (((low + high) / 2 + shift) / (c + shift)) ** d
+        at = np.flatnonzero(c > low)
+        while len(at):
+            a, n, t, stop = opens[at], seated[at], tables[at], np.minimum(high, c)[at]
+            reached = n + np.minimum(random.geometric(np.clip(random.beta(a, n - d * t), 1e-15, 1)), stop)
+            new, reached = reached <= stop, np.minimum(reached, stop)
+            gain = [math.lgamma(r) - math.lgamma(s) for r, s in zip(reached - d * t + a, n - d * t + a, strict=True)]
+            log_w[at] += gain + np.where(new, np.log(weight[at] / a), 0)
+            seated[at], tables[at] = reached, t + new
+            at = at[reached < stop]
+        low = high
+    return tables.reshape(n_proposals, -1), log_w.reshape(n_proposals, -1)
+
+
+def test_proposals_are_weighed_many_at_once(monkeypatch):
+    """The same tables and weights as step by step, in two calls for each range of seats, not for each table."""
+    dishes = pitman_yor.Dishes(np.array([201, 3, 700, 100_000, 260, 5000]), 0.8)
+    weight = np.array([0.01, 4.0, 3e4, 0.5, 20.0])
+    calls, plain = [], pitman_yor.log_gamma
+    monkeypatch.setattr(pitman_yor, "log_gamma", lambda z: calls.append(len(z)) or plain(z))
+    tables, log_w = dishes._propose(weight, np.random.default_rng(5))
+    want, want_log_w = proposed_one_table_at_a_time(dishes, weight, np.random.default_rng(5))
+    assert (tables == want).all() and (tables > 100).any()
+    assert log_w == pytest.approx(want_log_w, abs=1e-5, rel=1e-9)
+    assert len(calls) <= 2 * math.log(100_000, 1.3)
