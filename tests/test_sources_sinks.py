@@ -6,6 +6,7 @@ import re
 import pandas as pd
 import pytest
 from pyspark import TaskContext
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from collartrail import session
@@ -54,6 +55,33 @@ def test_scan_and_parse(spark, tmp_path):
     assert "content" not in plan
 
 
+def test_spark_lists_a_store_some_folders_at_a_time(spark, tmp_path, monkeypatch):
+    """The driver never holds the listing of all folders, and sees what a single listing would show."""
+    root = str(tmp_path / "v")
+    odd = ["B[1]_{2}*", "B?1_2", "B\\1_2", "B 1_2", "B=1", "_x=1", "_x_1", ".h_1", "_metadata_1", "B1._COPYING_", "B1:2"]
+    _touch(root, *[f"{folder}/{n}.mp4" for folder in odd for n in ("a", "deep/er/b", "deep/_c", ".d/e", "_d/f")])
+    _touch(root, *[f"C{i}_{i}/{n}.mp4" for i in range(300) for n in ("a", "b")])
+    _touch(root, "a.mp4", "C1_1/x.MP4", "C1_1/notes.txt", "groupedvideos/1/a.mp4")
+    os.makedirs(root + "/empty_1")
+    whole = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    want = [(os.path.relpath(r.path.removeprefix("file:"), root), r.length) for r in whole.select("path", "length").collect()]
+    want = sorted(x for x in want if x[0].endswith("mp4") and "/" in x[0] and "grouped" not in x[0])
+    listed, load = [], DataFrameReader.load
+
+    def watched(self, path=None, *some, **named):
+        listed.append([path] if isinstance(path, str) else path)
+        return load(self, path, *some, **named)
+
+    monkeypatch.setattr(videos, "BATCH", 100, raising=False)
+    monkeypatch.setattr(DataFrameReader, "load", watched)
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    got = [(os.path.relpath(r.path.removeprefix("file:"), root), r.length) for r in videos.scan_videos(spark, root).collect()]
+    assert sorted(got) == want and len(want) == 2 * (300 + 8)
+    assert len(listed) > 4 and max(map(len, listed[1:])) <= 100
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert videos.scan_videos(spark, root + "/empty_1").count() == 0
+
+
 def test_mounted_scan_lists_hidden_files_too(spark, tmp_path):
     root = str(tmp_path / "v")
     _touch(
