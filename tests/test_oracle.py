@@ -91,6 +91,34 @@ def test_few_made_videos_have_content_while_they_are_copied(spark, tmp_path, mon
     assert len(filled) > 1 and max(filled) < 60 <= sum(filled)
 
 
+def test_made_videos_are_emptied_after_their_wave_and_removed_after_the_last(spark, tmp_path, monkeypatch):
+    """No file goes while others are still to be made, which some file systems make slow."""
+    (tmp_path / "events.parquet").mkdir()
+    spark.range(40).selectExpr("id as event_id", "id as user_id", "timestamp_ntz '2024-01-01' as ts").write.mode(
+        "overwrite"
+    ).parquet(str(tmp_path / "events.parquet"))
+    (tmp_path / "a").mkdir()
+    for i in range(40):
+        (tmp_path / "a" / f"{i}.mp4").touch()
+    manifest = spark.createDataFrame(
+        [(f"{tmp_path}/a/{i}.mp4", f"{tmp_path}/t") for i in range(40)], "source string, target string"
+    )
+    there, sources, copy = [], [], sinks.copy_videos
+
+    def watched(part, **named):
+        log = copy(part, **named)
+        there.append(len(os.listdir(tmp_path / "a")))
+        sources.extend(r.source for r in log.collect() if r.outcome == "copied")
+        return log
+
+    monkeypatch.setattr(sinks, "copy_videos", watched)
+    monkeypatch.setattr(workload_queries, "WAVE", 10)
+    log = workload_queries._copy_made(spark, str(tmp_path), manifest)
+    assert len(there) > 2 and set(there) == {40} and len(set(sources)) == 40 == log.count()
+    assert not os.listdir(tmp_path / "a")
+    assert {(tmp_path / "t" / f"{i}.mp4").read_text() for i in range(40)} == {f"{i}.mp4" for i in range(40)}
+
+
 def test_one_source_for_two_targets_and_two_sources_for_one_in_waves(spark, tmp_path, monkeypatch):
     (tmp_path / "events.parquet").mkdir()
     spark.range(6).selectExpr("id as event_id", "id as user_id", "timestamp_ntz '2024-01-01' as ts").write.mode(
