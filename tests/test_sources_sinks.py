@@ -434,6 +434,20 @@ def test_copying_without_hard_links_and_one_source_per_name(spark, tmp_path, mon
     assert (tmp_path / "u" / "v.mp4").read_text() == "a"
 
 
+def test_a_copy_is_whole_and_has_times_and_mode_however_little_is_written_at_once(tmp_path, monkeypatch):
+    body = os.urandom(100_000)
+    (tmp_path / "a.mp4").write_bytes(body)
+    os.chmod(tmp_path / "a.mp4", 0o440)
+    os.utime(tmp_path / "a.mp4", ns=(1_600_000_000_123_456_789, 1_500_000_000_987_654_321))
+    write = os.write
+    monkeypatch.setattr(sinks.os, "write", lambda to, some: write(to, some[:7_777]))
+    got = sinks._copy_one(str(tmp_path / "a.mp4"), str(tmp_path / "new" / "er"))
+    assert got == ("copied", 100_000, hashlib.sha256(body).hexdigest())
+    (copy,) = (tmp_path / "new" / "er").iterdir()
+    assert copy.name == "a.mp4" and copy.read_bytes() == body
+    assert copy.stat().st_mode & 0o777 == 0o440 and copy.stat().st_mtime_ns == 1_500_000_000_987_654_321
+
+
 def test_copies_are_read_back_and_changed_ones_found(spark, tmp_path):
     for name, body in (("a.mp4", b"first"), ("b.mp4", b""), ("c.mp4", b"x" * 3_000_000)):
         (tmp_path / name).write_bytes(body)
